@@ -20,7 +20,7 @@ from metricwin.sources.events import dirty_envelopes, read_events, stream_events
 from metricwin.specs import CPU_MEM, NET_DISK, PairSpec, net_disk_spec
 from metricwin.storage import fresh_dir
 from metricwin.streaming.alerts import dedup_stream, stream_alerts
-from metricwin.streaming.ingest import checkpoint_path, read_landed, start_ingest, start_table
+from metricwin.streaming.ingest import data_folder, read_landed, start_ingest, start_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,7 +195,8 @@ def alerts_cpu_mem_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.validation_summary(_windowed(CPU_MEM)(spark, folder), CPU_MEM)
+    readings = pairing.readings_of(_wide(spark, folder), CPU_MEM)
+    return alerts.validation_summary(alerts.kept_windows(readings, CPU_MEM), CPU_MEM)
 
 
 def _unsorted(spark: SparkSession, folder: str) -> DataFrame:
@@ -233,17 +234,16 @@ def _csv_roundtrip(spec: PairSpec, skip_empty: bool) -> Query:
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     base = fresh_dir(spark, "ingest")
     messages = dirty_envelopes(_stream_wide(spark, folder))
-    run = start_ingest(messages, f"{base}/landed", checkpoint_path(f"{base}/checkpoint"))
-    run.awaitTermination()
-    return read_landed(spark, f"{base}/landed").select(
+    start_ingest(messages, base).awaitTermination()
+    return read_landed(spark, base).select(
         "metric", "server_id", "ts", "value", "offset"
     )
 
 
 def _stream_result(spark: SparkSession, result: DataFrame) -> DataFrame:
     base = fresh_dir(spark, "stream")
-    start_table(result, f"{base}/out", checkpoint_path(f"{base}/checkpoint")).awaitTermination()
-    return spark.read.schema(result.schema).parquet(f"{base}/out")
+    start_table(result, base).awaitTermination()
+    return spark.read.schema(result.schema).parquet(data_folder(base))
 
 
 def _stream_alerts(spec: PairSpec) -> Query:

@@ -17,7 +17,13 @@ from metricwin.sources.csv_tables import read_wide_text, wide_rows
 from metricwin.sources.topics import file_stream, kafka_stream
 from metricwin.specs import CPU_MEM, TOPICS, net_disk_spec
 from metricwin.streaming.alerts import stream_alerts
-from metricwin.streaming.ingest import checkpoint_path, read_landed, start_ingest, start_table
+from metricwin.streaming.ingest import (
+    read_landed,
+    run_folder,
+    start_ingest,
+    start_table,
+    stream_landed,
+)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,23 +41,21 @@ def _parser() -> argparse.ArgumentParser:
     source = ingest.add_mutually_exclusive_group(required=True)
     source.add_argument("--kafka", help="bootstrap servers")
     source.add_argument("--folder")
-    ingest.add_argument("--out", required=True)
-    ingest.add_argument("--checkpoint", required=True)
-    ingest.add_argument("--replay", action="store_true", help="read everything again")
+    ingest.add_argument("--out", required=True, help="each run gets a folder below")
+    ingest.add_argument("--replay", action="store_true", help="read everything again, as a new run")
     ingest.add_argument("--strict", action="store_true", help="fail on text that is no JSON object")
     ingest.add_argument("--interval", help="keep running, one batch per interval")
 
     for name in ("cpu-mem", "net-disk"):
         job = commands.add_parser(name, help=f"{name} alerts")
-        job.add_argument("--readings", help="folder landed by ingest")
+        job.add_argument("--readings", nargs="+", help="folders of ingest runs")
         job.add_argument("--first-csv")
         job.add_argument("--second-csv")
         job.add_argument("--out", required=True)
         job.add_argument("--single-file", action="store_true")
         job.add_argument("--report", action="store_true")
         job.add_argument("--label-style", default="possible", help="net-disk only")
-        job.add_argument("--stream", action="store_true", help="over --readings as a stream")
-        job.add_argument("--checkpoint", help="with --stream")
+        job.add_argument("--stream", action="store_true", help="over one run as a stream")
         job.add_argument("--delay", default="1 minute", help="with --stream")
         job.add_argument("--interval", help="with --stream: keep running")
     return parser
@@ -61,14 +65,11 @@ def _alert_command(spark: SparkSession, args: argparse.Namespace) -> None:
     cpu_mem = args.command == "cpu-mem"
     spec = CPU_MEM if cpu_mem else net_disk_spec(args.label_style)
     if args.stream:
-        landed = spark.readStream.schema(spark.read.parquet(args.readings).schema).parquet(
-            args.readings
-        )
-        result = stream_alerts(landed.where("status = 'accepted'"), spec, args.delay)
-        start_table(result, args.out, args.checkpoint, args.interval).awaitTermination()
+        result = stream_alerts(stream_landed(spark, args.readings[0]), spec, args.delay)
+        start_table(result, args.out, args.interval).awaitTermination()
         return
     if args.readings:
-        readings = read_landed(spark, args.readings)
+        readings = read_landed(spark, *args.readings)
     else:
         readings = csv_readings(spark, args.first_csv, args.second_csv, spec)
     # Only the CPU/MEM job leaves its output alone when there is nothing to write.
@@ -83,8 +84,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.command in ("cpu-mem", "net-disk"):
         if not args.readings and not (args.first_csv and args.second_csv):
             parser.error("give --readings, or --first-csv and --second-csv")
-        if args.stream and not (args.readings and args.checkpoint):
-            parser.error("--stream needs --readings and --checkpoint")
+        if args.stream and len(args.readings or []) != 1:
+            parser.error("--stream needs the --readings of one run")
     spark = configure(SparkSession.builder.appName(f"metricwin-{args.command}").getOrCreate())
     if args.command == "publish":
         messages = envelopes(wide_rows(read_wide_text(spark, args.wide_csv), args.on_bad))
@@ -106,13 +107,9 @@ def main(argv: list[str] | None = None) -> None:
             messages = kafka_stream(spark, args.kafka, TOPICS)
         else:
             messages = file_stream(spark, args.folder)
-        start_ingest(
-            messages,
-            args.out,
-            checkpoint_path(args.checkpoint, args.replay),
-            args.interval,
-            args.strict,
-        ).awaitTermination()
+        folder = run_folder(args.out, args.replay)
+        print(f"run folder: {folder}", flush=True)
+        start_ingest(messages, folder, args.interval, args.strict).awaitTermination()
     else:
         _alert_command(spark, args)
 

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 DAY = 86400
 
 # One or two digits per part, hours below 24, an optional fraction of a second.
-_TIME_TEXT = r"^([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d(\.\d+)?$"
+_TIME_TEXT = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]:[0-5]?[0-9](\.[0-9]+)?$"
 
 
 def _parts(ts: Column) -> tuple[Column, Column, Column]:
+    # substring_index is several times cheaper per row than split or split_part.
     text = F.trim(ts)
-    second = F.substring_index(F.split_part(text, F.lit(":"), F.lit(3)), ".", 1)
-    return F.split_part(text, F.lit(":"), F.lit(1)), F.split_part(text, F.lit(":"), F.lit(2)), second
+    minute = F.substring_index(F.substring_index(text, ":", 2), ":", -1)
+    second = F.substring_index(F.substring_index(text, ":", -1), ".", 1)
+    return F.substring_index(text, ":", 1), minute, second
 
 
 def normalised(ts: Column) -> Column:
@@ -56,7 +58,6 @@ def nearest_event_time(ts: Column, record_time: Column) -> Column:
     the result runs on across midnight and can carry a watermark. Null if ``ts`` is no time.
     """
     record = F.unix_seconds(record_time)
-    guess = record - F.pmod(record, F.lit(DAY)) + seconds_of_day(ts)
-    gap = guess - record
-    shift = F.when(gap > DAY // 2, -DAY).when(gap < -(DAY // 2), DAY).otherwise(0)
-    return F.timestamp_seconds(guess + shift)
+    half = F.lit(DAY // 2)
+    gap = F.pmod(seconds_of_day(ts) - F.pmod(record, F.lit(DAY)) + half, F.lit(DAY)) - half
+    return F.timestamp_seconds(record + gap)

@@ -11,11 +11,7 @@ def field_or(fields: Column, name: Column, default: Column) -> Column:
 
     A null map (not a JSON object) gives null, never the default.
     """
-    return (
-        F.when(fields.isNull(), F.lit(None))
-        .when(F.map_contains_key(fields, name), fields[name])
-        .otherwise(default)
-    )
+    return F.coalesce(fields[name], F.when(~F.map_contains_key(fields, name), default))
 
 
 def first_filled(fields: Column, *names: str) -> Column:
@@ -24,5 +20,5 @@ def first_filled(fields: Column, *names: str) -> Column:
 
 
 def number(text: Column) -> Column:
-    """A double from a number's text; quotes left by bare NaN are dropped, else null."""
-    return F.trim(F.trim(text), F.lit('"')).try_cast("double")
+    """A double from a number's text; blanks and the quotes left by bare NaN do not matter."""
+    return F.trim(text, F.lit('" ')).try_cast("double")

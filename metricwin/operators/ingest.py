@@ -36,6 +36,8 @@ def parse_envelopes(messages: DataFrame, strict: bool = False) -> DataFrame:
     is rejected, or fails the job if ``strict``. Other topics are left out.
     """
     fields = F.from_json("value", MESSAGE, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    # Exploding an array of one keeps the parse in a step of its own: a filter on its result
+    # would otherwise be moved below it and parse each message again per condition.
     parsed = messages.where(F.col("topic").isin(*TOPIC_METRIC)).select(
         "topic",
         _by_topic(TOPIC_METRIC).alias("metric"),
@@ -43,7 +45,7 @@ def parse_envelopes(messages: DataFrame, strict: bool = False) -> DataFrame:
         "timestamp",
         "offset",
         F.col("value").alias("message"),
-        fields.alias("fields"),
+        F.explode(F.array(fields)).alias("fields"),
     )
     f = F.col("fields")
     lenient = F.col("topic").isin(*CPU_MEM_TOPICS)
@@ -136,11 +138,10 @@ def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFram
 def dedup(readings: DataFrame, order: str = "offset") -> DataFrame:
     """Keep the earliest reading per metric, server and time.
 
-    An aggregate, not a window: copies are dropped before the shuffle.
+    An aggregate, not a window: copies are dropped before the shuffle. Each column has an
+    aggregate of its own so that the buffers are fixed-width and hashing needs no sort.
     """
-    keys = ["metric", "server_id", "ts"]
+    keys = [c for c in ("metric", "kind", "server_id", "ts") if c in readings.columns]
     rest = [c for c in readings.columns if c not in (*keys, order)]
-    first = readings.groupBy(*keys).agg(
-        F.min(order).alias(order), F.min_by(F.struct(*rest), order).alias("kept")
-    )
-    return first.select(*keys, order, "kept.*").select(*readings.columns)
+    first = [F.min_by(c, order).alias(c) for c in rest]
+    return readings.groupBy(*keys).agg(F.min(order).alias(order), *first).select(*readings.columns)

@@ -21,7 +21,8 @@ from metricwin.specs import PairSpec
 
 def readings_of(wide: DataFrame, spec: PairSpec) -> DataFrame:
     """The two metrics of wide readings as one long table, in a single scan."""
-    return wide.unpivot(["server_id", spec.key], list(spec.metrics), "metric", "value")
+    sides = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in spec.metrics]
+    return wide.select("server_id", spec.key, F.inline(F.array(*sides)))
 
 
 def readings_from_tables(tables: dict[str, DataFrame], spec: PairSpec) -> DataFrame:
@@ -86,10 +87,14 @@ def joined_stats(pairs: DataFrame, spec: PairSpec) -> DataFrame:
 
 
 def with_seconds(joined: DataFrame, spec: PairSpec) -> DataFrame:
-    """Add ``time_sec``, whole seconds on the pair's clock; rows without a time go."""
+    """Add ``time_sec``, whole seconds on the pair's clock, null where there is no time.
+
+    Such rows go when windows are built. A filter here would be moved below the match and
+    run the text pattern on every reading instead of once per matched key.
+    """
     key = F.col(spec.key)
     seconds = seconds_of_day(key) if spec.clock == "time_of_day" else F.unix_seconds(key)
-    return joined.withColumn("time_sec", seconds).where(F.col("time_sec").isNotNull())
+    return joined.withColumn("time_sec", seconds)
 
 
 def bounds(timed: DataFrame, spec: PairSpec) -> DataFrame:

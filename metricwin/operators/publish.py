@@ -29,6 +29,4 @@ def envelopes(wide: DataFrame) -> DataFrame:
     """
     carried = [c for c in ("timestamp", "offset") if c in wide.columns]
     messages = F.array(*[_message(t, f) for t, f in TOPIC_FIELDS.items()])
-    return wide.select(F.explode(messages).alias("m"), *carried).select(
-        "m.topic", "m.value", *carried
-    )
+    return wide.select(F.inline(messages), *carried)

@@ -73,16 +73,16 @@ def clamp_windows(windows: DataFrame, spec: PairSpec) -> DataFrame:
     """Drop windows that start before the data does, over all servers together.
 
     The first second of the data is the least of the windows' first seconds, so it is found
-    in the aggregated windows, not by another pass over the input. The bound is one row.
-    Taking the whole earliest row for it, and testing ``time_sec`` too (which no row fails),
-    makes both uses of the windows ask for the same columns: Spark then runs the shuffle
-    below them once and reuses it.
+    in the aggregated windows, not by another pass over the input. Taking the whole earliest
+    row for it, and testing ``time_sec`` beside the start (no window's first second lies
+    before the data's), makes both uses of the windows ask for the same columns: Spark then
+    runs the shuffles below them once and reuses them.
     """
     if spec.clamp == "none":
         return windows
     rest = [c for c in windows.columns if c not in ("time_sec", "server_id", "window_start_sec")]
     earliest = windows.agg(F.min(F.struct("time_sec", *rest)).alias("earliest"))
-    begin = earliest.select(F.col("earliest.time_sec").alias("begin_sec"))
-    bound = F.col("begin_sec") if spec.clamp == "raw" else slot(F.col("begin_sec"), spec)
-    inside = (F.col("window_start_sec") >= bound) & (F.col("time_sec") >= F.col("begin_sec"))
-    return windows.join(F.broadcast(begin), inside).drop("begin_sec")
+    begin = earliest.select("earliest.time_sec").scalar()
+    bound = begin if spec.clamp == "raw" else slot(begin, spec)
+    before = F.greatest(bound - F.col("window_start_sec"), begin - F.col("time_sec"))
+    return windows.where(before <= 0)

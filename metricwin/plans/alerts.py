@@ -17,6 +17,12 @@ def timed_pairs(readings: DataFrame, spec: PairSpec) -> DataFrame:
     return pairing.with_seconds(pairing.joined_stats(pairs, spec), spec)
 
 
+def kept_windows(readings: DataFrame, spec: PairSpec) -> DataFrame:
+    """Only which windows there are, without their aggregates."""
+    stats = windows.window_stats(timed_pairs(readings, spec), spec)
+    return windows.clamp_windows(stats.select("server_id", "window_start_sec", "time_sec"), spec)
+
+
 def windowed(readings: DataFrame, spec: PairSpec) -> DataFrame:
     """Rounded aggregates per server and kept window."""
     stats = windows.window_stats(timed_pairs(readings, spec), spec)
@@ -60,15 +66,15 @@ def last_rows(result: DataFrame, n: int = 20) -> DataFrame:
     return result.orderBy(F.col("window_start").desc(), "server_id").limit(n)
 
 
-def validation_summary(results: DataFrame, spec: PairSpec) -> DataFrame:
-    """One row of checks on windowed results, in a single aggregate.
+def validation_summary(kept: DataFrame, spec: PairSpec) -> DataFrame:
+    """One row of checks on kept windows or windowed results, in a single aggregate.
 
     The first and last window start are those of the result: every kept second's own slot
     is a window of it, so the expected count needs no further look at the readings.
     """
     start = F.col("window_start_sec")
     span = (F.max(start) - F.min(start)) / spec.slide + 1
-    return results.agg(
+    return kept.agg(
         F.count("*").alias("total_rows"),
         (F.count("*") + 1).alias("rows_with_header"),
         F.count_distinct(clock_text(start)).alias("unique_windows"),

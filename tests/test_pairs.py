@@ -1,0 +1,304 @@
+import math
+import random
+from collections import defaultdict
+from dataclasses import replace
+from datetime import datetime, timezone
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from metricwin.functions.clock import seconds_of_day
+from metricwin.operators import pairing, windows
+from metricwin.plans import alerts
+from metricwin.specs import CPU_MEM, NET_DISK, net_disk_spec
+
+READINGS = "server_id string, ts string, metric string, value double"
+
+
+def hms(sec):
+    sec %= 86400
+    return f"{sec // 3600:02d}:{sec // 60 % 60:02d}:{sec % 60:02d}"
+
+
+def both(spec, rows):
+    """The same rows as readings of both metrics."""
+    return [(s, t, m, v) for s, t, v in rows for m in spec.metrics]
+
+
+def starts(spark, spec, rows):
+    df = spark.createDataFrame(both(spec, rows), READINGS)
+    out = defaultdict(set)
+    for r in alerts.windowed(df, spec).collect():
+        out[r.server_id].add(r.window_start_sec)
+    return dict(out)
+
+
+def brute(rows, spec):
+    """Row-by-row join, then windows, in plain Python."""
+    side = {m: defaultdict(list) for m in spec.metrics}
+    for s, t, m, v in rows:
+        side[m][s, t].append(v)
+    joined = [
+        (s, sum(int(p) * f for p, f in zip(t.split(":"), (3600, 60, 1))), a, b)
+        for (s, t), left in side[spec.first].items()
+        for a in left
+        for b in side[spec.second].get((s, t), [])
+    ]
+    if not joined:
+        return {}
+    first = min(t for _, t, _, _ in joined)
+    if spec.clamp == "floor":
+        first = first // spec.slide * spec.slide
+    groups = defaultdict(list)
+    for s, t, a, b in joined:
+        w = t // spec.slide * spec.slide
+        while w > t - spec.size:
+            if spec.clamp == "none" or w >= first:
+                groups[s, w].append((a, b))
+            w -= spec.slide
+
+    def finish(values):
+        values = [v for v in values if v is not None]
+        if not values:
+            return None
+        v = max(values) if spec.statistic == "max" else math.fsum(values) / len(values)
+        return float(Decimal(repr(v)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+    return {k: (finish([a for a, _ in g]), finish([b for _, b in g])) for k, g in groups.items()}
+
+
+def random_rows(spec, seed, n=600):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        # Few keys, so that most have several copies on each side; quarters are exact floats.
+        value = None if rng.random() < 0.05 else rng.randrange(0, 40000) / 4
+        key = (f"s{rng.randrange(3)}", hms(rng.randrange(7, 240)))
+        rows.append((*key, rng.choice(spec.metrics), value))
+    return rows
+
+
+CLAMP_ROWS = [("s1", "00:00:05", 1.0), ("s1", "00:00:12", 3.0), ("s1", "00:00:44", 5.0), ("s2", "00:00:41", 9.0)]
+
+
+@pytest.mark.parametrize(
+    ("clamp", "s1"),
+    [
+        ("floor", {0, 10, 20, 30, 40}),
+        ("raw", {10, 20, 30, 40}),
+        ("none", {-20, -10, 0, 10, 20, 30, 40}),
+    ],
+)
+def test_clamp_example(spark, clamp, s1):
+    got = starts(spark, replace(CPU_MEM, clamp=clamp), CLAMP_ROWS)
+    assert got == {"s1": s1, "s2": {20, 30, 40}}
+
+
+def test_raw_clamp_on_the_grid_keeps_the_first_window(spark):
+    got = starts(spark, NET_DISK, [("s1", "00:00:10", 1.0)])
+    assert got == {"s1": {10}}
+
+
+def test_midnight(spark):
+    df = spark.createDataFrame(both(CPU_MEM, [("s1", "23:59:55", 1.0)]), READINGS)
+    spec = replace(CPU_MEM, clamp="none")
+    rows = alerts.sorted_alerts(df, spec).collect()
+    assert [(r.window_start, r.window_end) for r in rows] == [
+        ("23:59:30", "00:00:00"),
+        ("23:59:40", "00:00:10"),
+        ("23:59:50", "00:00:20"),
+    ]
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize(
+    "spec",
+    [
+        CPU_MEM,
+        NET_DISK,
+        replace(CPU_MEM, clamp="none"),
+        replace(CPU_MEM, clamp="raw", panes=True),
+        replace(NET_DISK, panes=True, clamp="floor"),
+        replace(CPU_MEM, size=25, slide=10),
+        replace(NET_DISK, size=10, slide=10, clamp="floor"),
+    ],
+)
+def test_equals_row_by_row_join(spark, spec, seed):
+    rows = random_rows(spec, seed)
+    df = spark.createDataFrame(rows, READINGS).repartition(5)
+    got = {(r[0], r[1]): (r[3], r[4]) for r in alerts.windowed(df, spec).collect()}
+    assert got == brute(rows, spec)
+
+
+def test_hot_key_is_counted_not_multiplied(spark):
+    """A third of all rows on one key: 10^10 joined rows, one matched row."""
+    hot, rest = 100_000, 200_000
+    n = F.col("id")
+    base = spark.range(0, hot + rest, 1, 8)
+    keys = base.select(
+        F.lit("s1").alias("server_id"),
+        F.when(n < hot, F.lit("00:00:10")).otherwise(
+            F.concat(F.lit("00:0"), (n % 9).cast("string"), F.lit(":10"))
+        ).alias("ts"),
+        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), (n % 4).cast("double").alias("value"))
+                           for m in CPU_MEM.metrics])),
+    )
+    pairs = pairing.joined_stats(pairing.pair_readings(keys, CPU_MEM), CPU_MEM)
+    rows = {r.ts: r for r in pairs.collect()}
+    assert len(rows) == 9
+    copies = hot + sum(1 for i in range(hot, hot + rest) if i % 9 == 0)
+    assert rows["00:00:10"].joined_rows == float(copies) ** 2
+
+
+def test_sum_and_count_of_joined_rows(spark):
+    rows = [("s", "00:00:01", "cpu_pct", v) for v in (1.0, 2.0, None)]
+    rows += [("s", "00:00:01", "mem_pct", v) for v in (10.0, 30.0)]
+    rows += [("s", "00:00:02", "cpu_pct", 5.0), (None, "00:00:01", "cpu_pct", 1.0), (None, "00:00:01", "mem_pct", 1.0)]
+    rows += [("s", "", m, 1.0) for m in CPU_MEM.metrics]
+    df = spark.createDataFrame(rows, READINGS)
+    (r,) = pairing.joined_stats(pairing.pair_readings(df, CPU_MEM), CPU_MEM).collect()
+    assert (r.joined_rows, r.first_n, r.first_sum, r.second_n, r.second_sum) == (6, 4, 6, 6, 120)
+
+
+def test_time_texts_are_matched_as_text(spark):
+    rows = [("s", "1:02:03", "cpu_pct", 1.0), ("s", "01:02:03", "mem_pct", 1.0)]
+    assert alerts.alerts(spark.createDataFrame(rows, READINGS), CPU_MEM).count() == 0
+
+
+def test_unreadable_times_are_in_no_window(spark):
+    rows = both(CPU_MEM, [("s", "later", 1.0), ("s", "24:00:00", 1.0), ("s", "00:01:00", 1.0)])
+    got = alerts.windowed(spark.createDataFrame(rows, READINGS), CPU_MEM).collect()
+    assert [r.window_start_sec for r in got] == [60]
+
+
+@pytest.mark.parametrize("spec", [CPU_MEM, NET_DISK])
+def test_empty_input(spark, spec):
+    df = spark.createDataFrame([], READINGS)
+    assert alerts.sorted_alerts(df, spec).collect() == []
+    one_side = spark.createDataFrame([("s", "00:00:01", spec.first, 1.0)], READINGS)
+    assert alerts.sorted_alerts(one_side, spec).collect() == []
+    summary = alerts.validation_summary(alerts.windowed(df, spec), spec).first()
+    assert tuple(summary) == (0, 1, 0, 0, 0)
+
+
+def label_of(spark, spec, a, b):
+    rows = [("s", "00:00:00", spec.first, a), ("s", "00:00:00", spec.second, b)]
+    got = alerts.alerts(spark.createDataFrame(rows, READINGS), spec).collect()
+    return {r.alert for r in got}
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "label"),
+    [
+        (81.69, 76.53, ""),
+        (81.694, 76.534, ""),
+        (81.70, 76.53, "CPU spike suspected"),
+        (81.69, 76.54, "Memory saturation suspected"),
+        (81.70, 76.54, "High CPU + Memory stress"),
+        (None, 99.0, ""),
+        (99.0, None, ""),
+        (float("nan"), 1.0, "CPU spike suspected"),
+    ],
+)
+def test_cpu_mem_labels(spark, a, b, label):
+    assert label_of(spark, CPU_MEM, a, b) == {label}
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "label"),
+    [
+        (3740.67, 2465.45, ""),
+        (3740.674, 2465.454, ""),
+        (3740.675, 1.0, "Possible DDoS"),
+        (1.0, 2465.455, "Disk thrash suspected"),
+        (3740.68, 2465.46, "Network flood + Disk thrash suspected"),
+    ],
+)
+def test_net_disk_labels(spark, a, b, label):
+    assert label_of(spark, NET_DISK, a, b) == {label}
+
+
+def test_label_style(spark):
+    assert label_of(spark, net_disk_spec("flood"), 9000.0, 1.0) == {"Network flood suspected"}
+
+
+def test_one_nan_makes_the_mean_nan_unless_dropped(spark):
+    rows = both(CPU_MEM, [("s", "00:00:00", float("nan")), ("s", "00:00:01", 10.0)])
+    df = spark.createDataFrame(rows, READINGS)
+    assert all(math.isnan(r.avg_cpu) and r.alert for r in alerts.alerts(df, CPU_MEM).collect())
+    kept = alerts.alerts(df, replace(CPU_MEM, drop_nan=True)).collect()
+    assert {(r.avg_cpu, r.alert) for r in kept} == {(10.0, "")}
+
+
+def test_float_values_are_widened_before_rounding(spark):
+    df = spark.createDataFrame(both(CPU_MEM, [("s", "00:00:00", 81.69)]), READINGS)
+    assert {r.avg_cpu for r in alerts.alerts(df, CPU_MEM).collect()} == {81.69}
+
+
+def test_event_time_clock_keeps_days_apart(spark):
+    spec = replace(CPU_MEM, clock="event_time")
+    rows = [
+        ("s", datetime(2024, 1, day, 10, 0, 0, tzinfo=timezone.utc), m, float(day))
+        for day in (1, 2)
+        for m in spec.metrics
+    ]
+    df = spark.createDataFrame(rows, "server_id string, event_time timestamp, metric string, value double")
+    got = {(r.window_start, r.avg_cpu) for r in alerts.alerts(df, spec).collect()}
+    assert ("2024-01-01 10:00:00", 1.0) in got and ("2024-01-02 10:00:00", 2.0) in got
+
+
+# -- properties ---------------------------------------------------------------------------
+
+
+def test_array_form_equals_builtin_window(spark):
+    df = spark.range(0, 400, 1, 3).select((F.col("id") - 100).alias("time_sec"))
+    ours = windows.explode_windows(df, CPU_MEM).select("time_sec", "window_start_sec")
+    span = F.window(F.timestamp_seconds("time_sec"), "30 seconds", "10 seconds")
+    theirs = df.select("time_sec", F.unix_seconds(span["start"]).alias("window_start_sec"))
+    assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    assert ours.groupBy("time_sec").count().where("count <> 3").isEmpty()
+
+
+def test_order_and_partitioning_do_not_matter(spark):
+    rows = random_rows(CPU_MEM, 11)
+    results = []
+    for seed, parts in ((1, 1), (2, 7)):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, READINGS).repartition(parts)
+        results.append([tuple(r) for r in alerts.sorted_alerts(df, CPU_MEM).collect()])
+    assert results[0] == results[1]
+
+
+def test_floor_keeps_all_that_raw_keeps(spark):
+    df = spark.createDataFrame(random_rows(NET_DISK, 5), READINGS)
+    floor = alerts.alerts(df, replace(NET_DISK, clamp="floor"))
+    raw = alerts.alerts(df, NET_DISK)
+    assert raw.exceptAll(floor).isEmpty() and floor.count() > raw.count()
+
+
+def test_unmatched_sides_are_dropped(spark):
+    df = spark.createDataFrame([("s", hms(i), "cpu_pct", 1.0) for i in range(50)], READINGS)
+    assert pairing.pair_readings(df, CPU_MEM).isEmpty()
+
+
+def test_bounds(spark):
+    rows = both(CPU_MEM, [("s", "00:00:15", 1.0), ("t", "00:01:41", 1.0), ("t", "bad", 1.0)])
+    timed = alerts.timed_pairs(spark.createDataFrame(rows, READINGS), CPU_MEM)
+    assert tuple(pairing.bounds(timed, CPU_MEM).first()) == (15, 101, 10, 100, 10)
+    assert tuple(pairing.bounds(timed, replace(CPU_MEM, clamp="raw")).first()) == (15, 101, 20, 100, 9)
+    assert tuple(pairing.bounds(timed, replace(CPU_MEM, clamp="none")).first()) == (15, 101, -10, 100, 12)
+
+
+def test_spec_checks():
+    with pytest.raises(ValueError, match="clamp"):
+        replace(CPU_MEM, clamp="ceil")
+    with pytest.raises(ValueError, match="slide"):
+        replace(CPU_MEM, size=5, slide=10)
+    with pytest.raises(ValueError, match="panes"):
+        replace(CPU_MEM, size=25, panes=True)
+
+
+def test_seconds_of_day_in_rows(spark):
+    df = spark.createDataFrame([("00:01:40",)], "ts string")
+    assert df.select(seconds_of_day(F.col("ts"))).first()[0] == 100

@@ -1,0 +1,193 @@
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from metricwin.operators import ingest
+from metricwin.operators.publish import envelopes
+from metricwin.plans import alerts
+from metricwin.sources.events import dirty_envelopes, read_events, wide_readings
+from metricwin.sources.topics import file_batch, file_stream
+from metricwin.specs import CPU_MEM, NET_DISK
+from metricwin.streaming.alerts import dedup_stream, stream_alerts
+from metricwin.streaming.ingest import (
+    data_folder,
+    read_landed,
+    run_folder,
+    start_ingest,
+    start_metric_csv,
+    start_table,
+    stream_landed,
+)
+DELAY = "1 minute"
+
+
+@pytest.fixture(scope="module")
+def topic(spark, data, tmp_path_factory):
+    """Clean messages in four files, in time order."""
+    folder = str(tmp_path_factory.mktemp("topic"))
+    messages = envelopes(wide_readings(read_events(spark, data)))
+    for part in range(4):
+        low, high = part * 250, (part + 1) * 250
+        chunk = messages.where((F.col("offset") >= low) & (F.col("offset") < high))
+        chunk.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def run(df, tmp_path, name):
+    out = str(tmp_path / name)
+    start_table(df, out).awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(data_folder(out))
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def closed(spark, topic, spec):
+    """Batch result for the windows the watermark passes."""
+    spec = replace(spec, clock="event_time", clamp="none")
+    readings = ingest.accepted(ingest.parse_envelopes(file_batch(spark, topic)))
+    last = readings.agg(F.max("event_time").alias("m")).first().m
+    limit = (last - timedelta(minutes=1)).strftime("%Y-%m-%d %H:%M:%S")
+    return rows(alerts.alerts(readings, spec).where(F.col("window_end") <= limit))
+
+
+@pytest.mark.parametrize("spec", [CPU_MEM, NET_DISK], ids=["cpu_mem", "net_disk"])
+@pytest.mark.parametrize("files", [1, 4])
+def test_stream_equals_batch_on_closed_windows(spark, topic, tmp_path, spec, files):
+    readings = ingest.accepted(ingest.parse_envelopes(file_stream(spark, topic, files)))
+    got = rows(run(stream_alerts(readings, spec, DELAY), tmp_path, "out"))
+    want = closed(spark, topic, spec)
+    assert got == want and len(got) > 1000
+
+
+def test_restart_neither_drops_nor_repeats(spark, topic, tmp_path):
+    readings = ingest.accepted(ingest.parse_envelopes(file_stream(spark, topic, 1)))
+    result = stream_alerts(readings, CPU_MEM, DELAY)
+    for _ in range(2):
+        got = rows(run(result, tmp_path, "out"))
+    assert got == closed(spark, topic, CPU_MEM)
+
+
+def _reading(second, value, metric, server="s"):
+    t = datetime(2024, 1, 1, 10, 0, 0, tzinfo=timezone.utc) + timedelta(seconds=second)
+    return (server, t, metric, value)
+
+
+READING = "server_id string, event_time timestamp, metric string, value double"
+
+
+def _stream(spark, tmp_path, batches):
+    """One file per batch, in order."""
+    folder = str(tmp_path / "in")
+    for batch in batches:
+        spark.createDataFrame(batch, READING).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(READING).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _both(second, value):
+    return [_reading(second, value, m) for m in CPU_MEM.metrics]
+
+
+def test_late_readings_are_dropped(spark, tmp_path):
+    # Lateness is judged by the watermark of the batch before.
+    seconds = [(0, 10.0), (300, 20.0), (310, 20.0), (1, 90.0), (290, 50.0), (900, 1.0)]
+    batches = [_both(*s) for s in seconds]
+    got = rows(run(stream_alerts(_stream(spark, tmp_path, batches), CPU_MEM, DELAY), tmp_path, "out"))
+    by_start = {r[1][-8:]: r[3] for r in got}
+    assert by_start["10:00:00"] == 10.0  # the reading of second 1 came after the watermark
+    assert by_start["10:04:50"] == 30.0  # (50 + 20 + 20) / 3: second 290 came late, but within the delay
+    assert "10:15:00" not in by_start  # still open
+
+
+def test_data_start_clamps_leading_windows(spark, tmp_path):
+    batches = [_both(5, 10.0), _both(600, 1.0)]
+    begin = datetime(2024, 1, 1, 10, 0, 5)
+    stream = _stream(spark, tmp_path, batches)
+    floor = rows(run(stream_alerts(stream, CPU_MEM, DELAY, begin), tmp_path, "floor"))
+    raw = rows(run(stream_alerts(stream, replace(CPU_MEM, clamp="raw"), DELAY, begin), tmp_path, "raw"))
+    free = rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "free"))
+    assert [r[1][-8:] for r in floor] == ["10:00:00"]
+    assert raw == []
+    assert [r[1][-8:] for r in free] == ["09:59:40", "09:59:50", "10:00:00"]
+
+
+def test_windows_cross_midnight(spark, tmp_path):
+    late = 14 * 3600 - 5  # 23:59:55
+    batches = [_both(late, 10.0), _both(late + 10, 30.0), _both(late + 600, 1.0)]
+    got = rows(run(stream_alerts(_stream(spark, tmp_path, batches), CPU_MEM, DELAY), tmp_path, "out"))
+    by_start = {r[1]: r[3] for r in got}
+    assert by_start["2024-01-01 23:59:50"] == 20.0
+    assert by_start["2024-01-02 00:00:00"] == 30.0
+
+
+def test_replayed_readings_count_once_with_dedup(spark, tmp_path):
+    first = [_reading(0, 10.0, "cpu_pct"), _reading(1, 20.0, "cpu_pct"), _reading(0, 1.0, "mem_pct"), _reading(1, 1.0, "mem_pct")]
+    replay = [first[0], first[2]]
+    stream = _stream(spark, tmp_path, [first, replay, _both(600, 1.0)])
+    plain = rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "plain"))
+    once = rows(run(stream_alerts(stream, CPU_MEM, DELAY, dedup=True), tmp_path, "once"))
+    # Four joined rows of 10.0 and one of 20.0 against one of each.
+    assert {r[3] for r in plain} == {12.0}
+    assert {r[3] for r in once} == {15.0}
+    kept = rows(run(dedup_stream(stream, DELAY).select("metric", "value"), tmp_path, "kept"))
+    assert len(kept) == 6
+
+
+def test_ingest_lands_counts_resumes_and_replays(spark, data, tmp_path):
+    folder, base = str(tmp_path / "topic"), str(tmp_path / "landed")
+    messages = dirty_envelopes(wide_readings(read_events(spark, data)))
+    half = F.col("offset") < 500
+    messages.where(half).coalesce(1).write.parquet(folder)
+    first = run_folder(base)
+    query = start_ingest(file_stream(spark, folder), first)
+    query.awaitTermination()
+    parsed = ingest.parse_envelopes(messages)
+    counts = {r.kind: r for r in ingest.message_counts(parsed.where(half)).collect()}
+    seen = query.recentProgress[0]["observedMetrics"]["messages"]
+    assert seen["cpu"] == counts["cpu"].messages and seen["network"] == counts["network"].messages
+    assert seen["rejected"] == counts["total"].rejected
+
+    messages.where(~half).coalesce(1).write.mode("append").parquet(folder)
+    assert run_folder(base) == first
+    start_ingest(file_stream(spark, folder), first).awaitTermination()
+    columns = ["metric", "server_id", "ts", "value", "offset"]
+    landed = read_landed(spark, first).select(*columns)
+    want = ingest.accepted(parsed).select(*columns)
+    assert landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
+    rejects = read_landed(spark, first, status="rejected")
+    assert rejects.count() == ingest.rejected(parsed).count()
+    plan = read_landed(spark, first)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+
+    # A replay reads everything again; dedup brings it back to one reading each.
+    second = run_folder(base, replay=True)
+    start_ingest(file_stream(spark, folder), second).awaitTermination()
+    everything = read_landed(spark, first, second)
+    assert everything.count() == 2 * want.count()
+    assert ingest.dedup(everything).count() == ingest.dedup(ingest.accepted(parsed)).count()
+
+    # Landed readings are a stream in turn.
+    result = stream_alerts(stream_landed(spark, first), CPU_MEM, DELAY)
+    assert run(result, tmp_path, "alerts").count() > 0
+
+
+def test_strict_ingest_fails(spark, data, tmp_path):
+    folder = str(tmp_path / "topic")
+    dirty_envelopes(wide_readings(read_events(spark, data))).coalesce(1).write.parquet(folder)
+    query = start_ingest(
+        file_stream(spark, folder), str(tmp_path / "out"), strict=True
+    )
+    with pytest.raises(Exception, match="(?i)malformed|failed"):
+        query.awaitTermination()
+
+
+def test_metric_csv_stream(spark, topic, tmp_path):
+    readings = ingest.accepted(ingest.parse_envelopes(file_stream(spark, topic)))
+    out = str(tmp_path / "net_in")
+    start_metric_csv(readings, "net_in", out).awaitTermination()
+    table = spark.read.option("header", True).csv(data_folder(out))
+    assert table.columns == ["server_id", "ts", "net_in"]
+    assert table.count() == 1000
