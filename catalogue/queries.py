@@ -90,8 +90,7 @@ def ingest_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ingest_every_10th(spark: SparkSession, folder: str) -> DataFrame:
-    # A short run length, so that small tables too are numbered across several runs.
-    reported = ingest.every_nth(_accepted(spark, folder), span=4096)
+    reported = ingest.every_nth(_accepted(spark, folder))
     return reported.select("kind", "ordinal", "server_id", "ts", "value", "offset")
 
 
@@ -140,21 +139,17 @@ def _timed(spark: SparkSession, folder: str, spec: PairSpec) -> DataFrame:
 
 
 def _bounds(spec: PairSpec) -> Query:
-    return lambda spark, folder: pairing.bounds(_timed(spark, folder, spec), spec)
+    return lambda spark, folder: windows.bounds(_timed(spark, folder, spec), spec)
 
 
 def windows_exploded(spark: SparkSession, folder: str) -> DataFrame:
-    timed = _timed(spark, folder, CPU_MEM)
-    limits = F.broadcast(pairing.bounds(timed, CPU_MEM).select("first_start", "last_start"))
-    exploded = windows.explode_windows(timed, CPU_MEM)
-    inside = F.col("window_start_sec").between(F.col("first_start"), F.col("last_start"))
-    return exploded.join(limits, inside).select(
+    return windows.bounded_windows(_timed(spark, folder, CPU_MEM), CPU_MEM).select(
         "server_id",
         "ts",
         "time_sec",
-        windows.slot(F.col("time_sec"), CPU_MEM).alias("base_window"),
+        "base_window",
         "window_start_sec",
-        (F.col("window_start_sec") + CPU_MEM.size).alias("window_end_sec"),
+        "window_end_sec",
         "joined_rows",
     )
 

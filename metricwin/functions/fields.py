@@ -19,6 +19,6 @@ def first_filled(fields: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(fields[F.lit(n)], F.lit("")) for n in names])
 
 
-def number(text: Column) -> Column:
-    """A double from a number's text; blanks and the quotes left by bare NaN do not matter."""
-    return F.trim(text, F.lit('" ')).try_cast("double")
+def number(text: Column, value_type: str = "double") -> Column:
+    """A number's text as a number, else null; blanks and quotes left by bare NaN do not matter."""
+    return F.trim(text, F.lit('" ')).try_cast(value_type)

@@ -35,7 +35,8 @@ def parse_envelopes(messages: DataFrame, strict: bool = False) -> DataFrame:
     in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object
     is rejected, or fails the job if ``strict``. Other topics are left out.
     """
-    fields = F.from_json("value", MESSAGE, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
+    options = {"mode": "FAILFAST" if strict else "PERMISSIVE", "allowSingleQuotes": "false"}
+    fields = F.from_json("value", MESSAGE, options)
     # Exploding an array of one keeps the parse in a step of its own: a filter on its result
     # would otherwise be moved below it and parse each message again per condition.
     parsed = messages.where(F.col("topic").isin(*TOPIC_METRIC)).select(

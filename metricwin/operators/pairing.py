@@ -95,21 +95,3 @@ def with_seconds(joined: DataFrame, spec: PairSpec) -> DataFrame:
     key = F.col(spec.key)
     seconds = seconds_of_day(key) if spec.clock == "time_of_day" else F.unix_seconds(key)
     return joined.withColumn("time_sec", seconds)
-
-
-def bounds(timed: DataFrame, spec: PairSpec) -> DataFrame:
-    """One row: first and last joined second, first and last window start, windows expected."""
-    slot = lambda c: F.floor(c / spec.slide) * spec.slide
-    ends = timed.agg(F.min("time_sec").alias("min_sec"), F.max("time_sec").alias("max_sec"))
-    first, last = slot(F.col("min_sec")), slot(F.col("max_sec"))
-    if spec.clamp == "raw":
-        first = F.ceil(F.col("min_sec") / spec.slide) * spec.slide
-    elif spec.clamp == "none":
-        first = slot(F.col("min_sec") - spec.size) + spec.slide
-    return ends.select(
-        "min_sec",
-        "max_sec",
-        first.alias("first_start"),
-        last.alias("last_start"),
-        ((last - first) / spec.slide + 1).cast("long").alias("expected_windows"),
-    )

@@ -34,6 +34,33 @@ def explode_windows(timed: DataFrame, spec: PairSpec, seconds: str = "time_sec")
     ).where(F.col("window_start_sec").isNotNull())
 
 
+def bounds(timed: DataFrame, spec: PairSpec) -> DataFrame:
+    """One row: first and last matched second, first and last window start, windows expected."""
+    ends = timed.agg(F.min("time_sec").alias("min_sec"), F.max("time_sec").alias("max_sec"))
+    first, last = slot(F.col("min_sec"), spec), slot(F.col("max_sec"), spec)
+    if spec.clamp == "raw":
+        first = F.ceil(F.col("min_sec") / spec.slide) * spec.slide
+    elif spec.clamp == "none":
+        first = slot(F.col("min_sec") - spec.size, spec) + spec.slide
+    return ends.select(
+        "min_sec",
+        "max_sec",
+        first.alias("first_start"),
+        last.alias("last_start"),
+        ((last - first) / spec.slide + 1).cast("long").alias("expected_windows"),
+    )
+
+
+def bounded_windows(timed: DataFrame, spec: PairSpec) -> DataFrame:
+    """Each matched row with the windows it lies in, from the first to the last of the data."""
+    limits = bounds(timed, spec)
+    first, last = (limits.select(c).scalar() for c in ("first_start", "last_start"))
+    start = F.col("window_start_sec")
+    return explode_windows(timed, spec).where(start.between(first, last)).withColumns(
+        {"base_window": slot(F.col("time_sec"), spec), "window_end_sec": start + spec.size}
+    )
+
+
 def stat_columns(spec: PairSpec) -> list[Column]:
     """Aggregates that combine joined statistics; they may be applied level upon level."""
     if spec.statistic == "avg":

@@ -45,5 +45,5 @@ def wide_rejects(raw: DataFrame) -> DataFrame:
 def read_metric_csv(spark: SparkSession, path: str, metric: str, value_type: str) -> DataFrame:
     """One metric table: ``server_id``, ``ts`` and the metric, null where it is no number."""
     return _headed_csv(spark, path, metric_text(metric)).select(
-        "server_id", "ts", number(F.col(metric)).cast(value_type).alias(metric)
+        "server_id", "ts", number(F.col(metric), value_type).alias(metric)
     )

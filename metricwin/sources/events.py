@@ -24,13 +24,19 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", "events*.parquet")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def stream_events(
+    spark: SparkSession, folder: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """The table as a stream, be it one file or a folder of files.
+
+    Without ``files_per_trigger`` all files present make one batch; in smaller batches,
+    files that are not in time order have late readings.
+    """
+    reader = spark.readStream.schema(EVENTS)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    # A pattern, since a stream refuses the plain path of a single file.
+    return reader.parquet(f"{folder}/events*.parquet")
 
 
 def wide_readings(events: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ def test_metric_forms_cpu(spark):
         BODY % "",
         BODY % ', "cpu_pct": "high"',
         "not json",
+        "{'timestamp': '10:00:00'}",
         "[1]",
     ]
     assert _values(spark, "topic-cpu", "cpu_pct", forms) == [
@@ -46,6 +47,7 @@ def test_metric_forms_cpu(spark):
         (None, None),
         (None, "malformed"),
         (None, "malformed"),
+        (None, "malformed"),
     ]
 
 
@@ -57,6 +59,7 @@ def test_metric_forms_net(spark):
         BODY % "",
         BODY % ', "net_in": "high"',
         "not json",
+        "{'timestamp': '10:00:00'}",
         "[1]",
     ]
     assert _values(spark, "topic-net", "net_in", forms) == [
@@ -67,6 +70,7 @@ def test_metric_forms_net(spark):
         (None, "bad_value"),
         (None, "malformed"),
         (None, "malformed"),
+        (None, "malformed"),
     ]
 
 

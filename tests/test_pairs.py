@@ -285,9 +285,9 @@ def test_unmatched_sides_are_dropped(spark):
 def test_bounds(spark):
     rows = both(CPU_MEM, [("s", "00:00:15", 1.0), ("t", "00:01:41", 1.0), ("t", "bad", 1.0)])
     timed = alerts.timed_pairs(spark.createDataFrame(rows, READINGS), CPU_MEM)
-    assert tuple(pairing.bounds(timed, CPU_MEM).first()) == (15, 101, 10, 100, 10)
-    assert tuple(pairing.bounds(timed, replace(CPU_MEM, clamp="raw")).first()) == (15, 101, 20, 100, 9)
-    assert tuple(pairing.bounds(timed, replace(CPU_MEM, clamp="none")).first()) == (15, 101, -10, 100, 12)
+    assert tuple(windows.bounds(timed, CPU_MEM).first()) == (15, 101, 10, 100, 10)
+    assert tuple(windows.bounds(timed, replace(CPU_MEM, clamp="raw")).first()) == (15, 101, 20, 100, 9)
+    assert tuple(windows.bounds(timed, replace(CPU_MEM, clamp="none")).first()) == (15, 101, -10, 100, 12)
 
 
 def test_spec_checks():
