@@ -240,6 +240,7 @@ GROUP BY server_id, ts, t, base_window, w""",
     "alerts_cpu_mem_messages": _alerts(CPU_MEM, source="accepted"),
     "alerts_net_disk_messages": _alerts(NET_DISK, source="accepted"),
     "alerts_cpu_mem_dedup": _alerts(CPU_MEM, source="deduped"),
+    "alerts_net_disk_dedup": _alerts(NET_DISK, source="deduped"),
     "validation_summary": f"""WITH {_windowed(CPU_MEM)}
 SELECT count(*) AS total_rows, count(*) + 1 AS rows_with_header,
        count(DISTINCT {_clock("w")}) AS unique_windows,

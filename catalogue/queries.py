@@ -185,10 +185,6 @@ def _message_alerts(spec: PairSpec) -> Query:
     return lambda spark, folder: alerts.sorted_alerts(_accepted(spark, folder), spec)
 
 
-def alerts_cpu_mem_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.sorted_alerts(ingest.dedup(_accepted(spark, folder)), CPU_MEM)
-
-
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
     readings = pairing.readings_of(_wide(spark, folder), CPU_MEM)
     return alerts.validation_summary(alerts.kept_windows(readings, CPU_MEM), CPU_MEM)
@@ -290,7 +286,8 @@ QUERIES: dict[str, Query] = {
     "alerts_cpu_mem_event_time": _event_time_alerts(CPU_MEM),
     "alerts_cpu_mem_messages": _message_alerts(CPU_MEM),
     "alerts_net_disk_messages": _message_alerts(NET_DISK),
-    "alerts_cpu_mem_dedup": alerts_cpu_mem_dedup,
+    "alerts_cpu_mem_dedup": _message_alerts(replace(CPU_MEM, dedup_by="offset")),
+    "alerts_net_disk_dedup": _message_alerts(replace(NET_DISK, dedup_by="offset")),
     "validation_summary": validation_summary,
     "first_20": first_20,
     "last_20": last_20,

@@ -22,13 +22,13 @@ from metricwin.specs import PairSpec
 def readings_of(wide: DataFrame, spec: PairSpec) -> DataFrame:
     """The two metrics of wide readings as one long table, in a single scan."""
     sides = [F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in spec.metrics]
-    return wide.select("server_id", spec.key, F.inline(F.array(*sides)))
+    return wide.select(*spec.carried, F.inline(F.array(*sides)))
 
 
 def readings_from_tables(tables: dict[str, DataFrame], spec: PairSpec) -> DataFrame:
     """Two metric tables (``server_id``, time, metric) as one long table."""
     parts = [
-        tables[m].select("server_id", spec.key, F.lit(m).alias("metric"), F.col(m).alias("value"))
+        tables[m].select(*spec.carried, F.lit(m).alias("metric"), F.col(m).alias("value"))
         for m in spec.metrics
     ]
     return reduce(DataFrame.unionByName, parts)
@@ -39,6 +39,24 @@ def _value(spec: PairSpec) -> Column:
     return F.when(~F.isnan(value), value) if spec.drop_nan else value
 
 
+def _side_stats(side: str, metric: str, spec: PairSpec) -> list[Column]:
+    """One side's aggregates; all buffers are fixed-width, so hashing needs no sort."""
+    mine, value = F.col("metric") == metric, _value(spec)
+    if spec.dedup_by:
+        rows = F.max(F.when(mine, 1).otherwise(0))
+        # Rows of the other side have a null order and are passed over.
+        earliest = F.min_by(F.when(mine, value), F.when(mine, F.col(spec.dedup_by)))
+        count, total, largest = earliest.isNotNull().cast("long"), earliest, earliest
+    else:
+        rows = F.count(F.when(mine, 1))
+        mine_value = F.when(mine, value)
+        count, total, largest = F.count(mine_value), F.sum(mine_value), F.max(mine_value)
+    named = [rows.cast("long").alias(f"{side}_rows")]
+    if spec.statistic == "avg":
+        return [*named, count.alias(f"{side}_n"), total.alias(f"{side}_sum")]
+    return [*named, largest.alias(f"{side}_max")]
+
+
 def pair_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
     """One row per (server, time) found on both sides, for batch and streams.
 
@@ -46,16 +64,6 @@ def pair_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
     side ``_n`` and ``_sum`` (values that are not null) or ``_max``.
     Servers or times that are null or empty match nothing.
     """
-    value = _value(spec)
-    stats = []
-    for side, metric in (("first", spec.first), ("second", spec.second)):
-        mine = F.col("metric") == metric
-        stats.append(F.count(F.when(mine, 1)).alias(f"{side}_rows"))
-        if spec.statistic == "avg":
-            stats.append(F.count(F.when(mine, value)).alias(f"{side}_n"))
-            stats.append(F.sum(F.when(mine, value)).alias(f"{side}_sum"))
-        else:
-            stats.append(F.max(F.when(mine, value)).alias(f"{side}_max"))
     filled = F.col(spec.key).isNotNull()
     if spec.clock == "time_of_day":
         filled = F.col(spec.key) != ""
@@ -63,7 +71,7 @@ def pair_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
         readings.where(F.col("metric").isin(*spec.metrics))
         .where((F.col("server_id") != "") & filled)
         .groupBy("server_id", spec.key)
-        .agg(*stats)
+        .agg(*_side_stats("first", spec.first, spec), *_side_stats("second", spec.second, spec))
         .where((F.col("first_rows") > 0) & (F.col("second_rows") > 0))
     )
 

@@ -55,6 +55,8 @@ class PairSpec:
     onto one clock, ``event_time`` uses the ``event_time`` timestamp column.
     ``panes`` adds a roll-up to one row per slide interval before windows are built; it
     pays when a server has several readings per slide.
+    ``dedup_by`` names a column; of several readings of a metric for one server and time only
+    the one with the least value there counts. By default all count.
     """
 
     first: str
@@ -73,6 +75,7 @@ class PairSpec:
     decimals: int = DECIMALS
     drop_nan: bool = False
     panes: bool = False
+    dedup_by: str | None = None
 
     def __post_init__(self) -> None:
         choices = {
@@ -98,6 +101,11 @@ class PairSpec:
         """Column that readings of the two metrics are matched on, beside the server."""
         return "ts" if self.clock == "time_of_day" else "event_time"
 
+    @property
+    def carried(self) -> tuple[str, ...]:
+        """Columns a reading needs beside its metric and value."""
+        return ("server_id", self.key, *([self.dedup_by] if self.dedup_by else []))
+
 
 CPU_MEM = PairSpec(
     first="cpu_pct",

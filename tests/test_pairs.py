@@ -161,6 +161,23 @@ def test_sum_and_count_of_joined_rows(spark):
     assert (r.joined_rows, r.first_n, r.first_sum, r.second_n, r.second_sum) == (6, 4, 6, 6, 120)
 
 
+@pytest.mark.parametrize("spec", [CPU_MEM, NET_DISK])
+def test_dedup_by_keeps_the_earliest_of_each_side(spark, spec):
+    rng = random.Random(2)
+    rows = random_rows(spec, 17)
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    first = {}
+    for s, t, m, v, _ in numbered:
+        first.setdefault((s, t, m), v)
+    rng.shuffle(numbered)
+    df = spark.createDataFrame(numbered, READINGS + ", offset long").repartition(4)
+    once = replace(spec, dedup_by="offset")
+    got = {(r[0], r[1]): (r[3], r[4]) for r in alerts.windowed(df, once).collect()}
+    assert got == brute([(*k, v) for k, v in first.items()], spec)
+    plan = pairing.pair_readings(df, once)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
 def test_time_texts_are_matched_as_text(spark):
     rows = [("s", "1:02:03", "cpu_pct", 1.0), ("s", "01:02:03", "mem_pct", 1.0)]
     assert alerts.alerts(spark.createDataFrame(rows, READINGS), CPU_MEM).count() == 0

@@ -128,7 +128,9 @@ def test_replayed_readings_count_once_with_dedup(spark, tmp_path):
     replay = [first[0], first[2]]
     stream = _stream(spark, tmp_path, [first, replay, _both(600, 1.0)])
     plain = rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "plain"))
-    once = rows(run(stream_alerts(stream, CPU_MEM, DELAY, dedup=True), tmp_path, "once"))
+    stamped = stream.withColumn("offset", F.unix_micros("event_time"))
+    spec = replace(CPU_MEM, dedup_by="offset")
+    once = rows(run(stream_alerts(stamped, spec, DELAY), tmp_path, "once"))
     # Four joined rows of 10.0 and one of 20.0 against one of each.
     assert {r[3] for r in plain} == {12.0}
     assert {r[3] for r in once} == {15.0}
@@ -136,6 +138,13 @@ def test_replayed_readings_count_once_with_dedup(spark, tmp_path):
     assert len(kept) == 6
 
 
+def test_dedup_drops_copies_that_differ(spark, tmp_path):
+    """Copies of one reading spread over all salts still leave one."""
+    many = [_reading(0, float(i), "cpu_pct") for i in range(200)]
+    stream = _stream(spark, tmp_path, [many, many])
+    assert run(dedup_stream(stream, DELAY), tmp_path, "kept").count() == 1
+
+
 def test_ingest_lands_counts_resumes_and_replays(spark, data, tmp_path):
     folder, base = str(tmp_path / "topic"), str(tmp_path / "landed")
     messages = dirty_envelopes(wide_readings(read_events(spark, data)))
