@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from metricwin.schemas import WIDE_COLUMNS, alert_schema
 from metricwin.sinks.tables import read_alerts, write_metric_csv, write_readings
 from metricwin.sources.csv_tables import read_wide_text, wide_rejects, wide_rows
 from metricwin.sources.events import dirty_envelopes, read_events, stream_events, wide_readings
-from metricwin.specs import CPU_MEM, NET_DISK, PairSpec, net_disk_spec
+from metricwin.specs import CPU_MEM, NET_DISK, TOPIC_METRIC, TOPICS, PairSpec, net_disk_spec
 from metricwin.storage import fresh_dir
 from metricwin.streaming.alerts import dedup_stream, stream_alerts
 from metricwin.streaming.ingest import data_folder, read_landed, start_ingest, start_table
@@ -37,12 +37,13 @@ def _stream_wide(spark: SparkSession, folder: str) -> DataFrame:
     return wide_readings(stream_events(spark, folder))
 
 
-def _parsed(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.parse_envelopes(dirty_envelopes(_wide(spark, folder)))
+def _parsed(spark: SparkSession, folder: str, topics: Sequence[str] = TOPICS) -> DataFrame:
+    messages = dirty_envelopes(_wide(spark, folder), topics)
+    return ingest.parse_envelopes(messages, topics=topics)
 
 
-def _accepted(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.accepted(_parsed(spark, folder))
+def _accepted(spark: SparkSession, folder: str, topics: Sequence[str] = TOPICS) -> DataFrame:
+    return ingest.accepted(_parsed(spark, folder, topics))
 
 
 # -- sources and messages -----------------------------------------------------------------
@@ -77,8 +78,10 @@ def publish_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _ingest_metric(metric: str) -> Query:
-    return lambda spark, folder: ingest.metric_table(_accepted(spark, folder), metric)
+def _ingest_metric(topic: str) -> Query:
+    return lambda spark, folder: ingest.metric_table(
+        _accepted(spark, folder, [topic]), TOPIC_METRIC[topic]
+    )
 
 
 def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,7 +185,9 @@ def _event_time_alerts(spec: PairSpec) -> Query:
 
 
 def _message_alerts(spec: PairSpec) -> Query:
-    return lambda spark, folder: alerts.sorted_alerts(_accepted(spark, folder), spec)
+    return lambda spark, folder: alerts.sorted_alerts(
+        _accepted(spark, folder, spec.topics), spec
+    )
 
 
 def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,7 +212,7 @@ def _csv_roundtrip(spec: PairSpec, skip_empty: bool) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         base = fresh_dir(spark, "csv")
-        parsed = ingest.parse_envelopes(envelopes(_wide(spark, folder)))
+        parsed = ingest.parse_envelopes(envelopes(_wide(spark, folder)), topics=spec.topics)
         write_readings(ingest.accepted(parsed), f"{base}/readings")
         readings = spark.read.parquet(f"{base}/readings")
         for metric in spec.metrics:
@@ -240,7 +245,7 @@ def _stream_result(spark: SparkSession, result: DataFrame) -> DataFrame:
 def _stream_alerts(spec: PairSpec) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         messages = envelopes(_stream_wide(spark, folder))
-        readings = ingest.accepted(ingest.parse_envelopes(messages))
+        readings = ingest.accepted(ingest.parse_envelopes(messages, topics=spec.topics))
         return _stream_result(spark, stream_alerts(readings, spec, STREAM_DELAY))
 
     return query
@@ -262,10 +267,10 @@ QUERIES: dict[str, Query] = {
     "scan_wide_csv": scan_wide_csv,
     "scan_wide_rejects": scan_wide_rejects,
     "publish_envelopes": publish_envelopes,
-    "ingest_cpu": _ingest_metric("cpu_pct"),
-    "ingest_mem": _ingest_metric("mem_pct"),
-    "ingest_net": _ingest_metric("net_in"),
-    "ingest_disk": _ingest_metric("disk_io"),
+    "ingest_cpu": _ingest_metric("topic-cpu"),
+    "ingest_mem": _ingest_metric("topic-mem"),
+    "ingest_net": _ingest_metric("topic-net"),
+    "ingest_disk": _ingest_metric("topic-disk"),
     "ingest_rejects": ingest_rejects,
     "ingest_counts": ingest_counts,
     "ingest_every_10th": ingest_every_10th,

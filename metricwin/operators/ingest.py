@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from metricwin.specs import (
     MISSING_VALUE,
     TOPIC_KIND,
     TOPIC_METRIC,
+    TOPICS,
     UNKNOWN_SERVER,
 )
 
@@ -26,20 +29,22 @@ def _by_topic(names: dict[str, str]) -> Column:
     return choice
 
 
-def parse_envelopes(messages: DataFrame, strict: bool = False) -> DataFrame:
-    """Read every message; ``reason`` says why one is rejected and is null for a reading.
+def parse_envelopes(
+    messages: DataFrame, strict: bool = False, topics: Sequence[str] = TOPICS
+) -> DataFrame:
+    """Read the topics' messages; ``reason`` says why one is rejected, null for a reading.
 
     Defaults: a missing server is ``unknown``, a missing metric 0.0. CPU and MEM take
     ``ts`` or else ``timestamp`` and fall back to the record's own time; NET and DISK take
     ``timestamp`` only, empty if missing. A metric that is null or no number stays null
     in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object
-    is rejected, or fails the job if ``strict``. Other topics are left out.
+    is rejected, or fails the job if ``strict``. Other topics are left out before parsing.
     """
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE", "allowSingleQuotes": "false"}
     fields = F.from_json("value", MESSAGE, options)
     # Exploding an array of one keeps the parse in a step of its own: a filter on its result
     # would otherwise be moved below it and parse each message again per condition.
-    parsed = messages.where(F.col("topic").isin(*TOPIC_METRIC)).select(
+    parsed = messages.where(F.col("topic").isin(*topics)).select(
         "topic",
         _by_topic(TOPIC_METRIC).alias("metric"),
         _by_topic(TOPIC_KIND).alias("kind"),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricwin.specs import TOPIC_METRIC
+from metricwin.specs import TOPIC_METRIC, TOPICS
 
 EVENTS = T.StructType(
     [
@@ -81,11 +83,11 @@ def _dirty_message(metric: str) -> Column:
     return F.when(rule == 97, F.lit("not json")).otherwise(message)
 
 
-def dirty_envelopes(wide: DataFrame) -> DataFrame:
-    """Four messages per wide reading, some broken, incomplete, null or quoted."""
+def dirty_envelopes(wide: DataFrame, topics: Sequence[str] = TOPICS) -> DataFrame:
+    """A message per wide reading and topic, some broken, incomplete, null or quoted."""
     messages = [
-        F.struct(F.lit(topic).alias("topic"), _dirty_message(metric).alias("value"))
-        for topic, metric in TOPIC_METRIC.items()
+        F.struct(F.lit(topic).alias("topic"), _dirty_message(TOPIC_METRIC[topic]).alias("value"))
+        for topic in topics
     ]
     spoilt = wide.withColumn("rule", _rule())
     return spoilt.select(F.inline(F.array(*messages)), "timestamp", "offset")

@@ -96,6 +96,10 @@ class PairSpec:
     def metrics(self) -> tuple[str, str]:
         return (self.first, self.second)
 
+    @property
+    def topics(self) -> tuple[str, ...]:
+        return tuple(t for t, metric in TOPIC_METRIC.items() if metric in self.metrics)
+
     @property
     def key(self) -> str:
         """Column that readings of the two metrics are matched on, beside the server."""
