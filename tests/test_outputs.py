@@ -2,7 +2,6 @@ import glob
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
@@ -87,12 +86,7 @@ def test_shared_dir_is_the_configured_one(spark):
 # -- command line -------------------------------------------------------------------------
 
 
-@pytest.fixture
-def keep_session(spark, monkeypatch):
-    monkeypatch.setattr(SparkSession, "stop", lambda self: None)
-
-
-def test_command_line_end_to_end(spark, data, tmp_path, keep_session, readings):
+def test_command_line_end_to_end(spark, data, tmp_path):
     d = {n: str(tmp_path / n) for n in ("wide", "topic", "landed", "cm", "nd", "st")}
     wide = wide_readings(read_events(spark, data))
     columns = ["ts", "server_id", "cpu_pct", "mem_pct", "net_in", "net_out", "disk_io"]
