@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from metricwin.llm.common import read
 from metricwin.llm.packing import pack
 from metricwin.llm.rans import write_tokens
+from metricwin.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), distance=2, shingle=3)
+
+
 def op7_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return write_tokens(read(spark, sf_dir, "documents"), tokenizer, end_id=1).documents()
@@ -25,6 +30,7 @@ def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_simhash": op3_simhash,
     "op7_range_ans": op7_range_ans,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
 }
