@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metricwin.llm.common import read
+from metricwin.llm.oracle import SECRETS
 from metricwin.llm.packing import pack
 from metricwin.llm.rans import write_tokens
+from metricwin.llm.secret_scan import secret_spans
 from metricwin.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +22,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), distance=2, shingle=3)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is taken as an owner, a source's documents in one language as a repository."""
+    repository = F.concat_ws("/", "source", "lang")
+    return secret_spans(read(spark, sf_dir, "documents"), F.col("source"), repository)
+
+
 def op7_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return write_tokens(read(spark, sf_dir, "documents"), tokenizer, end_id=1).documents()
@@ -31,8 +40,9 @@ def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
     "op7_range_ans": op7_range_ans,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_secrets": SECRETS}
