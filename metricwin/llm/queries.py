@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricwin.llm.common import read
+from metricwin.llm.language import fit, held_out, predict
 from metricwin.llm.oracle import SECRETS
 from metricwin.llm.packing import pack
 from metricwin.llm.rans import write_tokens
@@ -28,6 +29,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read(spark, sf_dir, "documents"), F.col("source"), repository)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
+    return predict(rows, fit(docs)).drop("text")
+
+
 def op7_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return write_tokens(read(spark, sf_dir, "documents"), tokenizer, end_id=1).documents()
@@ -41,6 +48,7 @@ def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
+    "op6_language": op6_language,
     "op7_range_ans": op7_range_ans,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
 }
