@@ -58,3 +58,39 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
        coalesce(max_repositories, 0) as max_repositories
 from texts left join lines using (rid) left join widest using (rid)
 """
+
+FIXITY = r"""
+with copies as (
+  select 'a' as side, page_id, url, coalesce(html, '') as body from pages
+  union all
+  select 'b', page_id, url, coalesce(
+    case when page_id % 97 = 5 then '?' || substring(html, 2)
+         when page_id % 97 = 50 then left(html, greatest(length(html) - 10, 0)) else html end, '')
+  from pages
+), records as (
+  select side, page_id, coalesce(page_id // 1024, -1) as file,
+    'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+    || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>' || chr(13) || chr(10)
+    || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+    || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(body)
+    || chr(13) || chr(10) || chr(13) || chr(10) || body || chr(13) || chr(10) || chr(13) || chr(10)
+    as record
+  from copies
+), hashed as (
+  select side, file, page_id, sha256(record) as digest, strlen(record) as len from records
+), placed as (
+  select *, row_number() over w - 1 as pos,
+    (sum(len) over (partition by side, file order by page_id nulls first, digest, len
+                    rows unbounded preceding))::bigint as stop
+  from hashed window w as (partition by side, file order by page_id nulls first, digest, len)
+)
+select coalesce(a.file, b.file) as file, coalesce(a.pos, b.pos) as pos,
+       coalesce(a.page_id, b.page_id) as page_id,
+       a.stop - a.len as begin_a, a.stop as end_a, a.digest as digest_a,
+       b.stop - b.len as begin_b, b.stop as end_b, b.digest as digest_b,
+       case when b.digest is null then 'missing' when a.digest is null then 'extra'
+            else 'differs' end as status
+from (from placed where side = 'a') a full join (from placed where side = 'b') b
+  on a.file = b.file and a.pos = b.pos
+where a.digest is distinct from b.digest
+"""

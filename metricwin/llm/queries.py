@@ -9,16 +9,47 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricwin.llm.common import read
+from metricwin.llm.fixity import compare
 from metricwin.llm.language import fit, held_out, predict
-from metricwin.llm.oracle import SECRETS
+from metricwin.llm.oracle import FIXITY, SECRETS
 from metricwin.llm.packing import pack
 from metricwin.llm.rans import write_tokens
 from metricwin.llm.secret_scan import secret_spans
+from metricwin.llm.sharding import shard
 from metricwin.llm.simhash import near_duplicates
+from metricwin.storage import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    maps = fresh_dir(spark, "slot-maps")
+    rows, _ = shard(read(spark, sf_dir, "documents"), shards=8, slots=4096, map_path=maps)
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").alias("virtual_slot"),
+    )
+
+
+def damaged(pages: DataFrame) -> DataFrame:
+    """A second copy of ``pages`` as a bad disk may leave it: of every 97 ids one page with its
+    first character lost and written again as another, and one cut short by ten characters."""
+    spoilt = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.expr("substring(html, 2)")))
+    spoilt = spoilt.when(F.col("page_id") % 97 == 50, F.expr("left(html, length(html) - 10)"))
+    return pages.withColumn("html", spoilt.otherwise(F.col("html")))
+
+
+def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return compare(pages, damaged(pages), per_file=1024, fanout=16)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), distance=2, shingle=3)
 
@@ -46,6 +77,8 @@ def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_virtual_slots": op1_virtual_slots,
+    "op2_merkle_fixity": op2_merkle_fixity,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op6_language": op6_language,
@@ -53,4 +86,4 @@ QUERIES: dict[str, Query] = {
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
 }
 
-ORACLE: dict[str, str] = {"op4_secrets": SECRETS}
+ORACLE: dict[str, str] = {"op2_merkle_fixity": FIXITY, "op4_secrets": SECRETS}
