@@ -13,6 +13,7 @@ from metricwin.llm.fixity import compare
 from metricwin.llm.language import fit, held_out, predict
 from metricwin.llm.oracle import FIXITY, SECRETS
 from metricwin.llm.packing import pack
+from metricwin.llm.pieces import digests
 from metricwin.llm.rans import write_tokens
 from metricwin.llm.secret_scan import secret_spans
 from metricwin.llm.sharding import shard
@@ -71,6 +72,11 @@ def op7_range_ans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return write_tokens(read(spark, sf_dir, "documents"), tokenizer, end_id=1).documents()
 
 
+def op8_aho_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return digests(read(spark, sf_dir, "documents"), model)
+
+
 def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return pack(read(spark, sf_dir, "documents"), tokenizer, end_id=1, length=2048)
@@ -83,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op6_language": op6_language,
     "op7_range_ans": op7_range_ans,
+    "op8_aho_viterbi": op8_aho_viterbi,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
 }
 
