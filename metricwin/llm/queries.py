@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metricwin.llm import cover_tree, multi_index
 from metricwin.llm.common import read
 from metricwin.llm.fixity import compare
 from metricwin.llm.language import fit, held_out, predict
@@ -61,6 +62,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(read(spark, sf_dir, "documents"), F.col("source"), repository)
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
@@ -82,15 +87,21 @@ def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), tokenizer, end_id=1, length=2048)
 
 
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_virtual_slots": op1_virtual_slots,
     "op2_merkle_fixity": op2_merkle_fixity,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
+    "op5_cover_tree": op5_cover_tree,
     "op6_language": op6_language,
     "op7_range_ans": op7_range_ans,
     "op8_aho_viterbi": op8_aho_viterbi,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
+    "op10_multi_index": op10_multi_index,
 }
 
 ORACLE: dict[str, str] = {"op2_merkle_fixity": FIXITY, "op4_secrets": SECRETS}
