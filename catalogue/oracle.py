@@ -2,9 +2,45 @@
 
 from __future__ import annotations
 
-from metricwin.specs import CPU_MEM, NET_DISK, PairSpec, net_disk_spec
+from dataclasses import dataclass, replace
+
+
+@dataclass(frozen=True)
+class Job:
+    """What the SQL needs to know of a job; stated here, not taken from what it checks."""
+
+    first: str
+    second: str
+    first_out: str
+    second_out: str
+    statistic: str
+    value_type: str
+    first_threshold: float
+    second_threshold: float
+    labels: tuple[str, str, str]
+    clamp: str
+
+
+# The two jobs' metrics, thresholds and label texts.
+CPU_MEM = Job(
+    "cpu_pct", "mem_pct", "avg_cpu", "avg_mem", "avg", "float", 81.69, 76.53,
+    ("High CPU + Memory stress", "CPU spike suspected", "Memory saturation suspected"), "floor",
+)
+NET_DISK = Job(
+    "net_in", "disk_io", "max_net_in", "max_disk_io", "max", "double", 3740.67, 2465.45,
+    ("Network flood + Disk thrash suspected", "Possible DDoS", "Disk thrash suspected"), "raw",
+)
+FLOOD = replace(
+    NET_DISK,
+    labels=(
+        "Network flood + Disk thrash suspected", "Network flood suspected", "Disk thrash suspected",
+    ),
+)
 
 DELAY_SECONDS = 60
+#: The published day, as seconds since 1970-01-01, and the delay of its stream.
+DAY_START = 1704067200
+DAY_DELAY_SECONDS = 25200
 
 WIDE = """
 wide AS (
@@ -36,7 +72,7 @@ def _clock(seconds: str) -> str:
     return f"strftime(make_timestamp((({seconds}) * 1000000)::bigint), '%H:%M:%S')"
 
 
-def _typed(column: str, spec: PairSpec) -> str:
+def _typed(column: str, spec: Job) -> str:
     return f"cast(cast({column} AS float) AS double)" if spec.value_type == "float" else column
 
 
@@ -50,7 +86,7 @@ def _metric_rows(metric: str) -> str:
          CASE WHEN rule = 89 THEN 'unknown' ELSE server_id END AS server_id,
          CASE WHEN rule = 71 THEN {no_time} ELSE ts END AS ts,
          CASE WHEN rule = 83 THEN NULL WHEN rule = 79 THEN 0.0 ELSE {metric} END AS value,
-         event_time,
+         event_time, record_ts, date_trunc('minute', record_ts) AS record_minute,
          CASE WHEN rule = 97 THEN 'malformed' {bad} END AS reason
   FROM ruled"""
 
@@ -67,10 +103,11 @@ accepted AS (SELECT * FROM parsed WHERE reason IS NULL)"""
 DEDUPED = f"""{MESSAGES},
 deduped AS (
   SELECT * FROM accepted
-  QUALIFY row_number() OVER (PARTITION BY metric, server_id, ts ORDER BY event_id) = 1)"""
+  QUALIFY ts = '' OR row_number() OVER (
+    PARTITION BY metric, server_id, ts ORDER BY record_ts, event_id) = 1)"""
 
 
-def _joined(spec: PairSpec, source: str = "wide", key: str = "ts") -> str:
+def _joined(spec: Job, source: str = "wide", key: str = "ts") -> str:
     """CTEs up to the row-by-row join: columns server_id, ts, a, b, t."""
     if source == "wide":
         head = WIDE
@@ -92,7 +129,7 @@ joined AS (
   FROM l JOIN r ON l.server_id = r.server_id AND l.ts = r.ts)"""
 
 
-def _windowed(spec: PairSpec, source: str = "wide", key: str = "ts", clamp: str | None = None) -> str:
+def _windowed(spec: Job, source: str = "wide", key: str = "ts", clamp: str | None = None) -> str:
     """CTEs up to the kept windows: columns server_id, w, a, b."""
     agg = spec.statistic
     keep = {
@@ -109,7 +146,7 @@ windowed AS (
   FROM slots {keep} GROUP BY server_id, w)"""
 
 
-def _label(spec: PairSpec) -> str:
+def _label(spec: Job) -> str:
     both, first, second = spec.labels
     t1, t2 = spec.first_threshold, spec.second_threshold
     return f"""CASE WHEN a > {t1} AND b > {t2} THEN '{both}'
@@ -118,7 +155,7 @@ def _label(spec: PairSpec) -> str:
 
 
 def _alerts(
-    spec: PairSpec,
+    spec: Job,
     source: str = "wide",
     key: str = "ts",
     clamp: str | None = None,
@@ -138,7 +175,7 @@ SELECT server_id, {start} AS window_start, {end} AS window_end,
 FROM windowed {where} {tail}"""
 
 
-def _joined_rows(spec: PairSpec) -> str:
+def _joined_rows(spec: Job) -> str:
     if spec.statistic == "avg":
         stats = """cast(count(a) AS double) AS first_n, sum(a) AS first_sum,
        cast(count(b) AS double) AS second_n, sum(b) AS second_sum"""
@@ -149,7 +186,7 @@ SELECT server_id, ts, cast(count(*) AS double) AS joined_rows, {stats}
 FROM joined GROUP BY server_id, ts"""
 
 
-def _bounds(spec: PairSpec) -> str:
+def _bounds(spec: Job) -> str:
     first = "min(t) // 10 * 10" if spec.clamp == "floor" else "(min(t) + 9) // 10 * 10"
     return f"""WITH {_joined(spec)}
 SELECT min(t) AS min_sec, max(t) AS max_sec, {first} AS first_start,
@@ -157,7 +194,7 @@ SELECT min(t) AS min_sec, max(t) AS max_sec, {first} AS first_start,
 FROM joined"""
 
 
-def _windowed_rows(spec: PairSpec) -> str:
+def _windowed_rows(spec: Job) -> str:
     return f"""WITH {_windowed(spec)}
 SELECT server_id, w AS window_start_sec, w + 30 AS window_end_sec,
        a AS {spec.first_out}, b AS {spec.second_out} FROM windowed"""
@@ -168,6 +205,38 @@ def _ingest(metric: str) -> str:
 SELECT server_id, ts, value AS {metric} FROM accepted WHERE metric = '{metric}'"""
 
 
+def _summary(spec: Job, key: str = "ts") -> str:
+    first = "min(t) // 10 * 10" if spec.clamp == "floor" else "(min(t) + 9) // 10 * 10"
+    return f"""WITH {_windowed(spec, key=key)}
+SELECT count(*) AS total_rows, count(*) + 1 AS rows_with_header,
+       count(DISTINCT w) AS unique_windows, count(DISTINCT server_id) AS unique_servers,
+       (SELECT (max(t) // 10 * 10 - {first}) // 10 + 1 FROM joined) AS expected_windows
+FROM windowed"""
+
+
+def _matched(spec: Job) -> str:
+    return f"""WITH {_joined(spec)}
+SELECT l.server_id, l.ts, '{spec.first}' AS metric, l.a AS value, n.k AS weight
+FROM l JOIN (SELECT server_id, ts, count(*) AS k FROM r GROUP BY ALL) n
+  ON l.server_id = n.server_id AND l.ts = n.ts
+UNION ALL
+SELECT r.server_id, r.ts, '{spec.second}', r.b, n.k
+FROM r JOIN (SELECT server_id, ts, count(*) AS k FROM l GROUP BY ALL) n
+  ON r.server_id = n.server_id AND r.ts = n.ts"""
+
+
+def _published_day(spec: Job) -> str:
+    """Every reading on one day, whatever its own; windows the day's stream has closed."""
+    start, end = (
+        f"strftime(make_timestamp((({DAY_START} + {w}) * 1000000)::bigint), '%Y-%m-%d %H:%M:%S')"
+        for w in ("w", "w + 30")
+    )
+    return f"""WITH {_windowed(spec, clamp="none")}
+SELECT server_id, {start} AS window_start, {end} AS window_end,
+       a AS {spec.first_out}, b AS {spec.second_out}, {_label(spec)} AS alert
+FROM windowed WHERE w + 30 <= (SELECT max({_seconds("ts")}) - {DAY_DELAY_SECONDS} FROM wide)"""
+
+
 # Windows the watermark has passed when the input is used up.
 CLOSED = f"""WHERE w + 30 <= (
   SELECT max(cast(epoch(event_time) AS bigint)) - {DELAY_SECONDS} FROM wide)"""
@@ -202,7 +271,7 @@ SELECT coalesce(kind, 'total') AS kind,
 FROM parsed GROUP BY ROLLUP (kind)""",
     "ingest_every_10th": f"""WITH {MESSAGES},
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY event_id) AS ordinal FROM accepted)
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY record_minute, event_id) AS ordinal FROM accepted)
 SELECT kind, ordinal, server_id, ts, value, event_id AS "offset" FROM numbered
 WHERE ordinal % 10 = 0""",
     "dedup_readings": f"""WITH {DEDUPED}
@@ -233,7 +302,7 @@ GROUP BY server_id, ts, t, base_window, w""",
     "windowed_max": _windowed_rows(NET_DISK),
     "alerts_cpu_mem": _alerts(CPU_MEM),
     "alerts_net_disk": _alerts(NET_DISK),
-    "alerts_net_disk_flood_label": _alerts(net_disk_spec("flood")),
+    "alerts_net_disk_flood_label": _alerts(FLOOD),
     "alerts_cpu_mem_unclamped": _alerts(CPU_MEM, clamp="none"),
     "alerts_cpu_mem_panes": _alerts(CPU_MEM),
     "alerts_cpu_mem_event_time": _alerts(CPU_MEM, key="event_time"),
@@ -241,12 +310,11 @@ GROUP BY server_id, ts, t, base_window, w""",
     "alerts_net_disk_messages": _alerts(NET_DISK, source="accepted"),
     "alerts_cpu_mem_dedup": _alerts(CPU_MEM, source="deduped"),
     "alerts_net_disk_dedup": _alerts(NET_DISK, source="deduped"),
-    "validation_summary": f"""WITH {_windowed(CPU_MEM)}
-SELECT count(*) AS total_rows, count(*) + 1 AS rows_with_header,
-       count(DISTINCT {_clock("w")}) AS unique_windows,
-       count(DISTINCT server_id) AS unique_servers,
-       (SELECT (max(t) // 10 * 10 - min(t) // 10 * 10) // 10 + 1 FROM joined) AS expected_windows
-FROM windowed""",
+    "validation_summary": _summary(CPU_MEM),
+    "validation_summary_net_disk": _summary(NET_DISK),
+    "validation_summary_event_time": _summary(CPU_MEM, key="event_time"),
+    "matched_readings_cpu_mem": _matched(CPU_MEM),
+    "matched_readings_net_disk": _matched(NET_DISK),
     "first_20": _alerts(CPU_MEM, tail="ORDER BY server_id, window_start LIMIT 20"),
     "last_20": _alerts(CPU_MEM, tail="ORDER BY window_start DESC, server_id LIMIT 20"),
     "csv_roundtrip": _alerts(CPU_MEM),
@@ -254,8 +322,52 @@ FROM windowed""",
     "stream_ingest": f"""WITH {MESSAGES}
 SELECT metric, server_id, ts, value, event_id AS "offset" FROM accepted""",
     "stream_dedup": f"""WITH {MESSAGES}
-SELECT DISTINCT metric, server_id, cast(epoch(event_time) AS bigint) AS event_sec FROM accepted
-WHERE ts <> ''""",
+SELECT metric, kind, server_id, ts, cast(epoch(event_time) AS bigint) AS event_sec, value,
+       event_id AS "offset"
+FROM accepted
+WHERE ts <> '' AND epoch(event_time) <= (
+  SELECT max(epoch(event_time)) - {DELAY_SECONDS} FROM accepted WHERE ts <> '')
+QUALIFY row_number() OVER (
+  PARTITION BY metric, server_id, event_time ORDER BY record_ts, event_id) = 1""",
     "stream_alerts_cpu_mem": _alerts(CPU_MEM, key="event_time", clamp="none", where=CLOSED),
     "stream_alerts_net_disk": _alerts(NET_DISK, key="event_time", clamp="none", where=CLOSED),
+    "scan_wide_other_layout": f"""WITH {WIDE}
+SELECT ts, server_id, cpu_pct, mem_pct, net_in, net_out, disk_io FROM wide""",
+    "metric_csv_other_layout": f"""WITH {WIDE} SELECT server_id, ts, net_in FROM wide""",
+    "published_files": f"""WITH {WIDE}
+SELECT metric, server_id, ts, value FROM (
+  SELECT server_id, ts, unnest(['cpu_pct', 'mem_pct', 'net_in', 'disk_io']) AS metric,
+         unnest([cpu_pct, mem_pct, net_in, disk_io]) AS value FROM wide)""",
+    "published_day_alerts": _published_day(CPU_MEM),
+    "strict_ingest": f"""WITH {WIDE}
+SELECT metric, server_id, ts, value FROM (
+  SELECT server_id, ts, unnest(['cpu_pct', 'mem_pct', 'net_in', 'disk_io']) AS metric,
+         unnest([cpu_pct, mem_pct, net_in, disk_io]) AS value FROM wide)""",
+    "stream_resume": f"""WITH {MESSAGES}
+SELECT metric, server_id, ts, value, event_id AS "offset" FROM accepted""",
+    "stream_replay": f"""WITH {MESSAGES}
+SELECT metric, server_id, ts, value, event_id AS "offset", cast(2 AS bigint) AS copies
+FROM accepted""",
+    "stream_rejects": f"""WITH {MESSAGES}
+SELECT kind, event_id AS "offset", reason FROM parsed WHERE reason IS NOT NULL""",
+    "stream_late": _alerts(CPU_MEM, key="event_time", clamp="none", where=CLOSED),
+    "alerts_kept_when_empty": _alerts(CPU_MEM),
+    "every_10th_of_two_publishes": f"""WITH {WIDE},
+sent AS (
+  SELECT kind, p AS "partition", event_id, server_id, ts, date_trunc('minute', record_ts) AS m
+  FROM wide CROSS JOIN (VALUES (1), (2)) AS publishes(p)
+  CROSS JOIN (VALUES ('cpu'), ('mem'), ('network'), ('disk')) AS kinds(kind)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY m, "partition", event_id) AS ordinal
+  FROM sent)
+SELECT kind, ordinal, "partition", event_id AS "offset", server_id, ts FROM numbered
+WHERE ordinal % 10 = 0""",
+    "dedup_two_publishes": f"""WITH {WIDE}
+SELECT metric, server_id, ts, min_by(value, (record_ts, event_id)) AS value,
+       min_by(event_id, (record_ts, event_id)) AS "offset"
+FROM (
+  SELECT server_id, ts, record_ts, event_id,
+         unnest(['cpu_pct', 'mem_pct', 'net_in', 'disk_io']) AS metric,
+         unnest([cpu_pct, mem_pct, net_in, disk_io]) AS value FROM wide)
+GROUP BY metric, server_id, ts""",
 }

@@ -4,27 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalogue.spoilt import dirty_envelopes
 from metricwin.functions.clock import normalised, on_epoch_day, seconds_of_day
 from metricwin.operators import ingest, pairing, windows
 from metricwin.operators.publish import envelopes
 from metricwin.plans import alerts
 from metricwin.plans.jobs import csv_readings, run_alert_job
-from metricwin.schemas import WIDE_COLUMNS, alert_schema
-from metricwin.sinks.tables import read_alerts, write_metric_csv, write_readings
-from metricwin.sources.csv_tables import read_wide_text, wide_rejects, wide_rows
-from metricwin.sources.events import dirty_envelopes, read_events, stream_events, wide_readings
+from metricwin.schemas import MESSAGE_ORDER, WIDE_COLUMNS, alert_schema
+from metricwin.sinks.tables import (
+    publish_files,
+    read_alerts,
+    stamped,
+    write_metric_csv,
+    write_readings,
+)
+from metricwin.sources.csv_tables import read_metric_csv, read_wide_text, wide_rejects, wide_rows
+from metricwin.sources.events import read_events, stream_events, wide_readings
+from metricwin.sources.topics import file_batch, file_stream
 from metricwin.specs import CPU_MEM, NET_DISK, TOPIC_METRIC, TOPICS, PairSpec, net_disk_spec
 from metricwin.storage import fresh_dir
 from metricwin.streaming.alerts import dedup_stream, stream_alerts
-from metricwin.streaming.ingest import data_folder, read_landed, start_ingest, start_table
+from metricwin.streaming.ingest import (
+    data_folder,
+    read_landed,
+    run_folder,
+    start_ingest,
+    start_table,
+    stream_landed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STREAM_DELAY = "1 minute"
+DAY, DAY_DELAY = date(2024, 1, 1), "7 hours"
 
 
 def _wide(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,6 +87,22 @@ def scan_wide_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return wide_rejects(_wide_csv(spark, folder)).select("ts", "server_id", "cpu_pct")
 
 
+def scan_wide_other_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide readings whose file has its columns in another order, and one more."""
+    path = fresh_dir(spark, "wide-csv")
+    wide = _wide(spark, folder).select("disk_io", F.lit("x").alias("note"), *WIDE_COLUMNS[-2::-1])
+    wide.write.option("header", True).csv(path)
+    return wide_rows(read_wide_text(spark, path))
+
+
+def metric_csv_other_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """The network table with the time first and its second metric kept."""
+    path = fresh_dir(spark, "net-csv")
+    wide = _wide(spark, folder).select("ts", "net_out", "net_in", "server_id")
+    wide.write.option("header", True).csv(path)
+    return read_metric_csv(spark, path, "net_in", "double")
+
+
 def publish_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     body = "timestamp string, server_id string, cpu_pct double, mem_pct double, net_in double, net_out double, disk_io double"
     sent = envelopes(_wide(spark, folder))
@@ -78,6 +111,37 @@ def publish_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def published_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Published to a folder of messages and read from there."""
+    topic = fresh_dir(spark, "topic")
+    publish_files(stamped(envelopes(_wide(spark, folder)), DAY), topic)
+    readings = ingest.accepted(ingest.parse_envelopes(file_batch(spark, topic)))
+    return readings.select("metric", "server_id", "ts", "value")
+
+
+def strict_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message is a JSON object, so a strict ingest takes them all."""
+    parsed = ingest.parse_envelopes(envelopes(_wide(spark, folder)), strict=True)
+    return ingest.accepted(parsed).select("metric", "server_id", "ts", "value")
+
+
+def _published_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The same offsets in two partitions, in no particular order."""
+    sent = envelopes(_wide(spark, folder))
+    twice = sent.select("*", F.explode(F.array(F.lit(2), F.lit(1))).alias("partition"))
+    return ingest.accepted(ingest.parse_envelopes(twice.repartition(7, F.col("value"))))
+
+
+def every_10th_of_two_publishes(spark: SparkSession, folder: str) -> DataFrame:
+    reported = ingest.every_nth(_published_twice(spark, folder), span=1000)
+    return reported.select("kind", "ordinal", "partition", "offset", "server_id", "ts")
+
+
+def dedup_two_publishes(spark: SparkSession, folder: str) -> DataFrame:
+    once = ingest.dedup(_published_twice(spark, folder))
+    return once.select("metric", "server_id", "ts", "value", "offset")
+
+
 def _ingest_metric(topic: str) -> Query:
     return lambda spark, folder: ingest.metric_table(
         _accepted(spark, folder, [topic]), TOPIC_METRIC[topic]
@@ -114,6 +178,12 @@ def _joined(spec: PairSpec) -> Query:
     return query
 
 
+def _matched(spec: PairSpec) -> Query:
+    return lambda spark, folder: pairing.matched_readings(
+        pairing.readings_of(_wide(spark, folder), spec), spec
+    )
+
+
 def time_of_day(spark: SparkSession, folder: str) -> DataFrame:
     """Whole, short and fractional forms of the same time, and one that is none."""
     ts = F.col("ts")
@@ -172,16 +242,15 @@ def _alerts(spec: PairSpec) -> Query:
     )
 
 
-def _event_time_alerts(spec: PairSpec) -> Query:
-    dated = replace(spec, clock="event_time")
+def _dated(spark: SparkSession, folder: str, spec: PairSpec) -> DataFrame:
+    wide = _wide(spark, folder)
+    wide = wide.withColumn("event_time", F.date_trunc("second", F.col("timestamp")))
+    return pairing.readings_of(wide, spec)
 
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        wide = _wide(spark, folder).withColumn(
-            "event_time", F.date_trunc("second", F.col("timestamp"))
-        )
-        return alerts.sorted_alerts(pairing.readings_of(wide, dated), dated)
 
-    return query
+def _event_time_alerts(spec: PairSpec) -> Query:
+    dated = replace(spec, clock="event_time")
+    return lambda spark, folder: alerts.sorted_alerts(_dated(spark, folder, dated), dated)
 
 
 def _message_alerts(spec: PairSpec) -> Query:
@@ -190,9 +259,16 @@ def _message_alerts(spec: PairSpec) -> Query:
     )
 
 
-def validation_summary(spark: SparkSession, folder: str) -> DataFrame:
-    readings = pairing.readings_of(_wide(spark, folder), CPU_MEM)
-    return alerts.validation_summary(alerts.kept_windows(readings, CPU_MEM), CPU_MEM)
+def _summary(spec: PairSpec) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        if spec.clock == "event_time":
+            readings = _dated(spark, folder, spec)
+        else:
+            readings = pairing.readings_of(_wide(spark, folder), spec)
+        limits = windows.bounds(alerts.timed_pairs(readings, spec), spec)
+        return alerts.validation_summary(alerts.kept_windows(readings, spec), limits)
+
+    return query
 
 
 def _unsorted(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,16 +300,92 @@ def _csv_roundtrip(spec: PairSpec, skip_empty: bool) -> Query:
     return query
 
 
+def alerts_kept_when_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A job without alerts leaves the file of the job before it alone."""
+    path = fresh_dir(spark, "alerts")
+    readings = pairing.readings_of(_wide(spark, folder), CPU_MEM)
+    run_alert_job(readings, CPU_MEM, path)
+    run_alert_job(readings.where("server_id is null"), CPU_MEM, path, skip_empty=True)
+    return read_alerts(spark, path, alert_schema(CPU_MEM))
+
+
 # -- streams, run until the input is used up ----------------------------------------------
 
+LANDED = ("metric", "server_id", "ts", "value", "offset")
 
-def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+
+def _ingested(spark: SparkSession, folder: str) -> str:
     base = fresh_dir(spark, "ingest")
     messages = dirty_envelopes(_stream_wide(spark, folder))
     start_ingest(messages, base).awaitTermination()
-    return read_landed(spark, base).select(
-        "metric", "server_id", "ts", "value", "offset"
-    )
+    return base
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return read_landed(spark, _ingested(spark, folder)).select(*LANDED)
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    rejects = read_landed(spark, _ingested(spark, folder), rejects=True)
+    return rejects.select("kind", "offset", "reason")
+
+
+def _topic_in_two_parts(spark: SparkSession, folder: str) -> tuple[str, list[DataFrame]]:
+    """An empty topic folder, and the messages in two halves by offset."""
+    messages = dirty_envelopes(_wide(spark, folder)).withColumn("partition", F.lit(0))
+    even = F.col("offset") % 2 == 0
+    return fresh_dir(spark, "topic"), [messages.where(even), messages.where(~even)]
+
+
+def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that is stopped and started again goes on where it was."""
+    topic, halves = _topic_in_two_parts(spark, folder)
+    run = run_folder(fresh_dir(spark, "landed"))
+    for half in halves:
+        publish_files(half, topic)
+        start_ingest(file_stream(spark, topic), run).awaitTermination()
+    return read_landed(spark, run).select(*LANDED)
+
+
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """A replay reads everything again, into a run of its own."""
+    topic, halves = _topic_in_two_parts(spark, folder)
+    for half in halves:
+        publish_files(half, topic)
+    base = fresh_dir(spark, "landed")
+    runs = [run_folder(base), run_folder(base, replay=True)]
+    for run in runs:
+        start_ingest(file_stream(spark, topic), run).awaitTermination()
+    return read_landed(spark, *runs).groupBy(*LANDED).agg(F.count("*").alias("copies"))
+
+
+def published_day_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """A day published to files in six-hour parts, ingested, and streamed in several batches."""
+    topic = fresh_dir(spark, "topic")
+    wide = _wide(spark, folder).withColumn("hour", F.substring("ts", 1, 2).cast("int"))
+    for part in range(4):
+        sent = envelopes(wide.where(F.floor(F.col("hour") / 6) == part).select(*WIDE_COLUMNS))
+        publish_files(stamped(sent, DAY, part), topic)
+        run = run_folder(f"{topic}-landed")
+        start_ingest(file_stream(spark, topic), run, day=DAY).awaitTermination()
+    readings = stream_landed(spark, run, files_per_trigger=6)
+    return _stream_result(spark, stream_alerts(readings, CPU_MEM, DAY_DELAY))
+
+
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings that come again long after their time, with other values, change nothing."""
+    topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "stream")
+    wide = _wide(spark, folder)
+    last = wide.agg(F.max("timestamp")).scalar()
+    late = wide.where(F.col("timestamp") < last - F.expr("interval 1 hour"))
+    late = late.withColumns({m: F.lit(1000.0) for m in CPU_MEM.metrics})
+    for partition, sent in enumerate((wide, late)):
+        publish_files(envelopes(sent).withColumn("partition", F.lit(partition)), topic)
+        messages = file_stream(spark, topic)
+        readings = ingest.accepted(ingest.parse_envelopes(messages, topics=CPU_MEM.topics))
+        result = stream_alerts(readings, CPU_MEM, STREAM_DELAY)
+        start_table(result, base).awaitTermination()
+    return spark.read.schema(result.schema).parquet(data_folder(base))
 
 
 def _stream_result(spark: SparkSession, result: DataFrame) -> DataFrame:
@@ -257,7 +409,13 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     twice = messages.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
     readings = ingest.accepted(ingest.parse_envelopes(twice.drop("delivery")))
     kept = dedup_stream(readings, STREAM_DELAY).select(
-        "metric", "server_id", F.unix_seconds("event_time").alias("event_sec")
+        "metric",
+        "kind",
+        "server_id",
+        "ts",
+        F.unix_seconds("event_time").alias("event_sec"),
+        "value",
+        "offset",
     )
     return _stream_result(spark, kept)
 
@@ -291,9 +449,13 @@ QUERIES: dict[str, Query] = {
     "alerts_cpu_mem_event_time": _event_time_alerts(CPU_MEM),
     "alerts_cpu_mem_messages": _message_alerts(CPU_MEM),
     "alerts_net_disk_messages": _message_alerts(NET_DISK),
-    "alerts_cpu_mem_dedup": _message_alerts(replace(CPU_MEM, dedup_by="offset")),
-    "alerts_net_disk_dedup": _message_alerts(replace(NET_DISK, dedup_by="offset")),
-    "validation_summary": validation_summary,
+    "alerts_cpu_mem_dedup": _message_alerts(replace(CPU_MEM, dedup_by=MESSAGE_ORDER)),
+    "alerts_net_disk_dedup": _message_alerts(replace(NET_DISK, dedup_by=MESSAGE_ORDER)),
+    "validation_summary": _summary(CPU_MEM),
+    "validation_summary_net_disk": _summary(NET_DISK),
+    "validation_summary_event_time": _summary(replace(CPU_MEM, clock="event_time")),
+    "matched_readings_cpu_mem": _matched(CPU_MEM),
+    "matched_readings_net_disk": _matched(NET_DISK),
     "first_20": first_20,
     "last_20": last_20,
     "csv_roundtrip": _csv_roundtrip(CPU_MEM, skip_empty=True),
@@ -302,4 +464,16 @@ QUERIES: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_alerts_cpu_mem": _stream_alerts(CPU_MEM),
     "stream_alerts_net_disk": _stream_alerts(NET_DISK),
+    "scan_wide_other_layout": scan_wide_other_layout,
+    "metric_csv_other_layout": metric_csv_other_layout,
+    "published_files": published_files,
+    "published_day_alerts": published_day_alerts,
+    "strict_ingest": strict_ingest,
+    "stream_resume": stream_resume,
+    "stream_replay": stream_replay,
+    "stream_rejects": stream_rejects,
+    "stream_late": stream_late,
+    "alerts_kept_when_empty": alerts_kept_when_empty,
+    "every_10th_of_two_publishes": every_10th_of_two_publishes,
+    "dedup_two_publishes": dedup_two_publishes,
 }

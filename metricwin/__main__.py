@@ -6,13 +6,16 @@ spark-submit or ``python -m metricwin <command> --help``.
 from __future__ import annotations
 
 import argparse
+from dataclasses import replace
+from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
 from metricwin.operators.publish import envelopes
 from metricwin.plans.jobs import csv_readings, run_alert_job
+from metricwin.schemas import MESSAGE_ORDER
 from metricwin.session import configure
-from metricwin.sinks.tables import publish_files, publish_kafka
+from metricwin.sinks.tables import publish_files, publish_kafka, stamped
 from metricwin.sources.csv_tables import read_wide_text, wide_rows
 from metricwin.sources.topics import file_stream, kafka_stream
 from metricwin.specs import CPU_MEM, TOPICS, net_disk_spec
@@ -33,6 +36,9 @@ def _parser() -> argparse.ArgumentParser:
     publish = commands.add_parser("publish", help="wide CSV to messages")
     publish.add_argument("--wide-csv", required=True)
     publish.add_argument("--on-bad", choices=("reject", "fail"), default="reject")
+    publish.add_argument(
+        "--date", type=date.fromisoformat, help="with --folder: the day the readings are of"
+    )
     target = publish.add_mutually_exclusive_group(required=True)
     target.add_argument("--kafka", help="bootstrap servers")
     target.add_argument("--folder")
@@ -45,6 +51,13 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--replay", action="store_true", help="read everything again, as a new run")
     ingest.add_argument("--strict", action="store_true", help="fail on text that is no JSON object")
     ingest.add_argument("--interval", help="keep running, one batch per interval")
+    ingest.add_argument(
+        "--date", type=date.fromisoformat, help="the day the readings are of, if they are of one"
+    )
+    ingest.add_argument("--max-offsets", type=int, help="with --kafka: messages per batch")
+    ingest.add_argument("--min-partitions", type=int, help="with --kafka: tasks per batch")
+    ingest.add_argument("--files-per-batch", type=int, help="with --folder")
+    ingest.add_argument("--spread", type=int, default=1, help="files a batch adds to a folder")
 
     for name in ("cpu-mem", "net-disk"):
         job = commands.add_parser(name, help=f"{name} alerts")
@@ -52,20 +65,29 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--first-csv")
         job.add_argument("--second-csv")
         job.add_argument("--out", required=True)
-        job.add_argument("--single-file", action="store_true")
+        job.add_argument(
+            "--dedup", action="store_true", help="count copies of a reading, as of a replay, once"
+        )
         job.add_argument("--report", action="store_true")
         job.add_argument("--label-style", default="possible", help="net-disk only")
         job.add_argument("--stream", action="store_true", help="over one run as a stream")
         job.add_argument("--delay", default="1 minute", help="with --stream")
         job.add_argument("--interval", help="with --stream: keep running")
+        job.add_argument("--files-per-batch", type=int, help="with --stream")
+        job.add_argument(
+            "--data-start", type=datetime.fromisoformat, help="with --stream: drop windows before"
+        )
     return parser
 
 
 def _alert_command(spark: SparkSession, args: argparse.Namespace) -> None:
     cpu_mem = args.command == "cpu-mem"
     spec = CPU_MEM if cpu_mem else net_disk_spec(args.label_style)
+    if args.dedup:
+        spec = replace(spec, dedup_by=MESSAGE_ORDER)
     if args.stream:
-        result = stream_alerts(stream_landed(spark, args.readings[0]), spec, args.delay)
+        landed = stream_landed(spark, args.readings[0], args.files_per_batch)
+        result = stream_alerts(landed, spec, args.delay, args.data_start)
         start_table(result, args.out, args.interval).awaitTermination()
         return
     if args.readings:
@@ -73,9 +95,7 @@ def _alert_command(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         readings = csv_readings(spark, args.first_csv, args.second_csv, spec)
     # Only the CPU/MEM job leaves its output alone when there is nothing to write.
-    run_alert_job(
-        readings, spec, args.out, skip_empty=cpu_mem, single_file=args.single_file, report=args.report
-    )
+    run_alert_job(readings, spec, args.out, skip_empty=cpu_mem, report=args.report)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -86,6 +106,8 @@ def main(argv: list[str] | None = None) -> None:
             parser.error("give --readings, or --first-csv and --second-csv")
         if args.stream and len(args.readings or []) != 1:
             parser.error("--stream needs the --readings of one run")
+        if args.dedup and not args.readings:
+            parser.error("--dedup needs --readings: CSV tables do not tell messages apart")
     spark = configure(SparkSession.builder.appName(f"metricwin-{args.command}").getOrCreate())
     if args.command == "publish":
         messages = envelopes(wide_rows(read_wide_text(spark, args.wide_csv), args.on_bad))
@@ -93,23 +115,19 @@ def main(argv: list[str] | None = None) -> None:
             publish_kafka(messages, args.kafka)
         else:
             # A folder has no broker to stamp messages.
-            publish_files(
-                messages.selectExpr(
-                    "topic",
-                    "value",
-                    "current_timestamp() as timestamp",
-                    "monotonically_increasing_id() as offset",
-                ),
-                args.folder,
-            )
+            publish_files(stamped(messages, args.date), args.folder)
     elif args.command == "ingest":
         if args.kafka:
-            messages = kafka_stream(spark, args.kafka, TOPICS)
+            messages = kafka_stream(
+                spark, args.kafka, TOPICS, args.max_offsets, args.min_partitions
+            )
         else:
-            messages = file_stream(spark, args.folder)
+            messages = file_stream(spark, args.folder, args.files_per_batch)
         folder = run_folder(args.out, args.replay)
         print(f"run folder: {folder}", flush=True)
-        start_ingest(messages, folder, args.interval, args.strict).awaitTermination()
+        start_ingest(
+            messages, folder, args.interval, args.strict, args.date, args.spread
+        ).awaitTermination()
     else:
         _alert_command(spark, args)
 

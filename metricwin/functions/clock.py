@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,10 +34,14 @@ def seconds_of_day(ts: Column) -> Column:
 
 
 def on_epoch_day(ts: Column) -> Column:
-    """The time of day as a timestamp on 1970-01-01 (in the session zone)."""
-    return F.try_to_timestamp(
-        F.concat(F.lit("1970-01-01 "), normalised(ts)), F.lit("yyyy-MM-dd HH:mm:ss")
-    )
+    """The time of day as a timestamp on 1970-01-01 UTC."""
+    return F.timestamp_seconds(seconds_of_day(ts))
+
+
+def on_day(ts: Column, day: date) -> Column:
+    """The time of day as a timestamp on a given day, UTC; null if it is no time."""
+    start = (day - date(1970, 1, 1)).days * DAY
+    return F.timestamp_seconds(seconds_of_day(ts) + start)
 
 
 def clock_text(seconds: Column) -> Column:
@@ -56,6 +62,7 @@ def nearest_event_time(ts: Column, record_time: Column) -> Column:
 
     A reading taken just before midnight and recorded just after it keeps its own day, so
     the result runs on across midnight and can carry a watermark. Null if ``ts`` is no time.
+    Right only for readings recorded within twelve hours; for others ``on_day`` has to be told.
     """
     record = F.unix_seconds(record_time)
     half = F.lit(DAY // 2)

@@ -19,6 +19,11 @@ def first_filled(fields: Column, *names: str) -> Column:
     return F.coalesce(*[F.nullif(fields[F.lit(n)], F.lit("")) for n in names])
 
 
+#: A decimal number, infinity or NaN; no type letters and no hexadecimal, which Spark would read.
+_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
+
+
 def number(text: Column, value_type: str = "double") -> Column:
     """A number's text as a number, else null; blanks and quotes left by bare NaN do not matter."""
-    return F.trim(text, F.lit('" ')).try_cast(value_type)
+    plain = F.trim(text, F.lit('" '))
+    return F.when(plain.rlike(_NUMBER), plain.try_cast(value_type))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwin.functions.clock import clock_text, nearest_event_time
+from metricwin.functions.clock import clock_text, nearest_event_time, on_day
 from metricwin.functions.fields import field_or, first_filled, number
-from metricwin.schemas import MESSAGE
+from metricwin.schemas import MESSAGE, MESSAGE_ORDER
 from metricwin.specs import (
     CPU_MEM_TOPICS,
     MISSING_VALUE,
@@ -18,8 +20,10 @@ from metricwin.specs import (
     TOPICS,
     UNKNOWN_SERVER,
 )
+from metricwin.storage import written
 
-READING_COLUMNS = ("metric", "kind", "server_id", "ts", "event_time", "value", "timestamp", "offset")
+READING_COLUMNS = ("metric", "kind", "server_id", "ts", "event_time", "value", *MESSAGE_ORDER)
+REJECT_COLUMNS = ("metric", "kind", "message", "reason", *MESSAGE_ORDER)
 
 
 def _by_topic(names: dict[str, str]) -> Column:
@@ -30,7 +34,10 @@ def _by_topic(names: dict[str, str]) -> Column:
 
 
 def parse_envelopes(
-    messages: DataFrame, strict: bool = False, topics: Sequence[str] = TOPICS
+    messages: DataFrame,
+    strict: bool = False,
+    topics: Sequence[str] = TOPICS,
+    day: date | None = None,
 ) -> DataFrame:
     """Read the topics' messages; ``reason`` says why one is rejected, null for a reading.
 
@@ -39,7 +46,13 @@ def parse_envelopes(
     ``timestamp`` only, empty if missing. A metric that is null or no number stays null
     in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object
     is rejected, or fails the job if ``strict``. Other topics are left out before parsing.
+
+    A time of day gets the date of ``day``, or else the date that brings it nearest to the record
+    time, which is right only for readings recorded within twelve hours. Messages without a
+    partition are of partition 0.
     """
+    if "partition" not in messages.columns:
+        messages = messages.withColumn("partition", F.lit(0))
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE", "allowSingleQuotes": "false"}
     fields = F.from_json("value", MESSAGE, options)
     # Exploding an array of one keeps the parse in a step of its own: a filter on its result
@@ -48,8 +61,7 @@ def parse_envelopes(
         "topic",
         _by_topic(TOPIC_METRIC).alias("metric"),
         _by_topic(TOPIC_KIND).alias("kind"),
-        "timestamp",
-        "offset",
+        *MESSAGE_ORDER,
         F.col("value").alias("message"),
         F.explode(F.array(fields)).alias("fields"),
     )
@@ -68,6 +80,10 @@ def parse_envelopes(
         number(field_or(f, F.col("metric"), F.lit(str(MISSING_VALUE)))).alias("number"),
         f.isNull().alias("malformed"),
     )
+    if day is None:
+        event_time = nearest_event_time(F.col("ts"), F.col("timestamp"))
+    else:
+        event_time = on_day(F.col("ts"), day)
     reason = F.when(F.col("malformed"), F.lit("malformed")).when(
         ~lenient & F.col("number").isNull(), F.lit("bad_value")
     )
@@ -77,10 +93,9 @@ def parse_envelopes(
         "kind",
         "server_id",
         "ts",
-        nearest_event_time(F.col("ts"), F.col("timestamp")).alias("event_time"),
+        event_time.alias("event_time"),
         F.col("number").alias("value"),
-        "timestamp",
-        "offset",
+        *MESSAGE_ORDER,
         "message",
         reason.alias("reason"),
     )
@@ -91,9 +106,7 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNotNull()).select(
-        "topic", "kind", "message", "reason", "timestamp", "offset"
-    )
+    return parsed.where(F.col("reason").isNotNull()).select("topic", *REJECT_COLUMNS)
 
 
 def metric_table(readings: DataFrame, metric: str, value_type: str = "double") -> DataFrame:
@@ -118,36 +131,65 @@ def message_counts(parsed: DataFrame) -> DataFrame:
 
 
 def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFrame:
-    """Every ``n``-th reading of each kind in offset order, with its ordinal.
+    """Every ``n``-th reading of each kind, with its ordinal.
 
-    Ordinals are counted within runs of ``span`` offsets, each sorted by a task of its own,
-    and shifted by the number of readings in the runs before; only one count per run is
-    ever brought together, so no task sees a whole topic.
+    Readings are taken by the minute of their record time, then partition, then offset, whatever
+    order the input is in. They are counted within runs of ``span`` offsets, each sorted by a task
+    of its own, and shifted by the readings in the runs before; only one count per run and day is
+    brought together, so no task sees a whole topic. The numbered readings are written to the
+    shared folder: the input is read and parsed once, and runs are counted from what was written.
     """
-    runs = readings.withColumn("run", F.floor(F.col("offset") / span))
-    earlier = Window.partitionBy("kind").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        runs.groupBy("kind", "run")
-        .agg(F.count("*").alias("n"))
-        .select("kind", "run", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    run = ["kind", "minute", "partition", "run"]
+    runs = readings.withColumns(
+        {
+            "minute": F.date_trunc("minute", F.col("timestamp")),
+            "run": F.floor(F.col("offset") / span),
+        }
+    )
+    place = F.row_number().over(Window.partitionBy(*run).orderBy("offset", "timestamp"))
+    numbered = written(runs.withColumn("place", place), "numbered")
+    counts = numbered.groupBy(*run).agg(F.max("place").alias("n"))
+    counts = counts.withColumn("day", F.to_date("minute"))
+    of_day = Window.partitionBy("kind", "day").orderBy("minute", "partition", "run")
+    counts = counts.withColumn("upto", F.sum("n").over(of_day))
+    last_of_day = counts.groupBy("kind", "day").agg(F.max("upto").alias("of_day"))
+    earlier = Window.partitionBy("kind").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = last_of_day.select(
+        "kind", "day", F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("days_before")
     )
-    place = F.row_number().over(Window.partitionBy("kind", "run").orderBy("offset"))
+    before = counts.join(
+        days.select("days_before", F.col("kind").alias("kind_"), F.col("day").alias("day_")),
+        F.col("kind").eqNullSafe(F.col("kind_")) & F.col("day").eqNullSafe(F.col("day_")),
+    ).select(
+        *[F.col(c).alias(f"of_{c}") for c in run],
+        (F.col("days_before") + F.col("upto") - F.col("n")).alias("before"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in run])
     return (
-        runs.withColumn("place", place)
-        .join(before, ["kind", "run"])
+        numbered.join(before, same)
         .withColumn("ordinal", F.col("before") + F.col("place"))
         .where(F.col("ordinal") % n == 0)
-        .drop("run", "place", "before")
+        .select(*readings.columns, "ordinal")
     )
 
 
-def dedup(readings: DataFrame, order: str = "offset") -> DataFrame:
-    """Keep the earliest reading per metric, server and time.
+def _told_apart(time: Column) -> Column:
+    """What tells copies-to-be apart that have no server or no time: the message itself."""
+    nameless = F.coalesce(F.col("server_id"), F.lit("")) == ""
+    timeless = F.coalesce(time.cast("string"), F.lit("")) == ""
+    return F.when(nameless | timeless, F.struct(*MESSAGE_ORDER))
+
+
+def dedup(readings: DataFrame, time: str = "ts") -> DataFrame:
+    """Keep the earliest message per metric, server and ``time`` (``ts`` or ``event_time``).
 
-    An aggregate, not a window: copies are dropped before the shuffle. Each column has an
-    aggregate of its own so that the buffers are fixed-width and hashing needs no sort.
+    Readings without a server or a time are no copies of each other and all stay; only the same
+    message delivered twice is dropped. An aggregate, not a window: copies are dropped before the
+    shuffle. Works on streams, whose state is one row per reading within the watermark.
     """
-    keys = [c for c in ("metric", "kind", "server_id", "ts") if c in readings.columns]
-    rest = [c for c in readings.columns if c not in (*keys, order)]
-    first = [F.min_by(c, order).alias(c) for c in rest]
-    return readings.groupBy(*keys).agg(F.min(order).alias(order), *first).select(*readings.columns)
+    keys = ["metric", "kind", "server_id", time]
+    rest = [c for c in readings.columns if c not in (*keys, *MESSAGE_ORDER)]
+    first = F.min(F.struct(*MESSAGE_ORDER, *rest)).alias("first")
+    apart = _told_apart(F.col(time)).alias("apart")
+    kept = readings.groupBy(*keys, apart).agg(first)
+    return kept.select(*[c if c in keys else F.col(f"first.{c}") for c in readings.columns])

@@ -45,7 +45,9 @@ def _side_stats(side: str, metric: str, spec: PairSpec) -> list[Column]:
     if spec.dedup_by:
         rows = F.max(F.when(mine, 1).otherwise(0))
         # Rows of the other side have a null order and are passed over.
-        earliest = F.min_by(F.when(mine, value), F.when(mine, F.col(spec.dedup_by)))
+        names = spec.dedup_order
+        order = F.col(names[0]) if len(names) == 1 else F.struct(*names)
+        earliest = F.min_by(F.when(mine, value), F.when(mine, order))
         count, total, largest = earliest.isNotNull().cast("long"), earliest, earliest
     else:
         rows = F.count(F.when(mine, 1))
@@ -76,6 +78,19 @@ def pair_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
     )
 
 
+def matched_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
+    """Each matched reading once, with the number of joined rows it would be in.
+
+    The row-by-row join of k and m copies has k * m rows; its readings and their weights are k + m.
+    """
+    pairs = pair_readings(readings, spec).select("server_id", spec.key, "first_rows", "second_rows")
+    sides = readings.where(F.col("metric").isin(*spec.metrics))
+    others = F.when(F.col("metric") == spec.first, F.col("second_rows")).otherwise(F.col("first_rows"))
+    return sides.join(pairs, ["server_id", spec.key]).select(
+        "server_id", spec.key, "metric", _value(spec).alias("value"), others.alias("weight")
+    )
+
+
 def joined_stats(pairs: DataFrame, spec: PairSpec) -> DataFrame:
     """What the joined rows of each (server, time) add up to.
 

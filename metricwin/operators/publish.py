@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metricwin.schemas import MESSAGE_ORDER
+
 # The metrics each topic's message carries.
 TOPIC_FIELDS = {
     "topic-cpu": ("cpu_pct",),
@@ -25,8 +27,8 @@ def _message(topic: str, fields: tuple[str, ...]) -> Column:
 def envelopes(wide: DataFrame) -> DataFrame:
     """Four JSON messages per wide reading, made in one pass without a shuffle.
 
-    ``timestamp`` (record time) and ``offset`` are carried along if the input has them.
+    Record time, partition and offset are carried along if the input has them.
     """
-    carried = [c for c in ("timestamp", "offset") if c in wide.columns]
+    carried = [c for c in MESSAGE_ORDER if c in wide.columns]
     messages = F.array(*[_message(t, f) for t, f in TOPIC_FIELDS.items()])
     return wide.select(F.inline(messages), *carried)

@@ -25,7 +25,12 @@ def kept_windows(readings: DataFrame, spec: PairSpec) -> DataFrame:
 
 def windowed(readings: DataFrame, spec: PairSpec) -> DataFrame:
     """Rounded aggregates per server and kept window."""
-    stats = windows.window_stats(timed_pairs(readings, spec), spec)
+    return windowed_pairs(timed_pairs(readings, spec), spec)
+
+
+def windowed_pairs(timed: DataFrame, spec: PairSpec) -> DataFrame:
+    """``windowed`` of readings that are matched already."""
+    stats = windows.window_stats(timed, spec)
     return windows.clamp_windows(stats, spec).select(
         "server_id",
         "window_start_sec",
@@ -66,18 +71,16 @@ def last_rows(result: DataFrame, n: int = 20) -> DataFrame:
     return result.orderBy(F.col("window_start").desc(), "server_id").limit(n)
 
 
-def validation_summary(kept: DataFrame, spec: PairSpec) -> DataFrame:
+def validation_summary(kept: DataFrame, limits: DataFrame) -> DataFrame:
     """One row of checks on kept windows or windowed results, in a single aggregate.
 
-    The first and last window start are those of the result: every kept second's own slot
-    is a window of it, so the expected count needs no further look at the readings.
+    ``limits`` is ``windows.bounds`` of the matched readings: how many windows there are from the
+    first to the last is a matter of the data's own bounds, as a window may hold no reading.
     """
-    start = F.col("window_start_sec")
-    span = (F.max(start) - F.min(start)) / spec.slide + 1
+    expected = limits.select("expected_windows").scalar()
     return kept.agg(
         F.count("*").alias("total_rows"),
         (F.count("*") + 1).alias("rows_with_header"),
-        F.count_distinct(clock_text(start)).alias("unique_windows"),
+        F.count_distinct("window_start_sec").alias("unique_windows"),
         F.count_distinct("server_id").alias("unique_servers"),
-        F.coalesce(span, F.lit(0)).cast("long").alias("expected_windows"),
-    )
+    ).withColumn("expected_windows", F.coalesce(expected, F.lit(0)).cast("long"))

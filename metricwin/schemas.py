@@ -2,13 +2,11 @@
 
 from pyspark.sql import types as T
 
+# Column names and their order in the files.
 WIDE_METRICS = ("cpu_pct", "mem_pct", "net_in", "net_out", "disk_io")
 WIDE_COLUMNS = ("ts", "server_id", *WIDE_METRICS)
 
-# A headed CSV of wide readings is read as text and typed afterwards.
-WIDE_TEXT = T.StructType([T.StructField(c, T.StringType()) for c in WIDE_COLUMNS])
-
-# Column order of the four metric CSV tables.
+# Column order of the four metric CSV tables.
 METRIC_CSV_COLUMNS = {
     "cpu_pct": ("ts", "server_id", "cpu_pct"),
     "mem_pct": ("ts", "server_id", "mem_pct"),
@@ -22,16 +20,34 @@ ENVELOPE = T.StructType(
         T.StructField("topic", T.StringType()),
         T.StructField("value", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
+        T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
     ]
 )
 
-# A map keeps the difference between a missing field and a JSON null.
-MESSAGE = T.MapType(T.StringType(), T.StringType())
+# What tells two messages apart and in which order they are taken.
+MESSAGE_ORDER = ("timestamp", "partition", "offset")
 
+# A reading or a reject as an ingest run lands it.
+LANDED = T.StructType(
+    [
+        T.StructField("metric", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("server_id", T.StringType()),
+        T.StructField("ts", T.StringType()),
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("record_date", T.DateType()),
+    ]
+)
 
-def metric_text(metric: str) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in METRIC_CSV_COLUMNS[metric]])
+# A map keeps the difference between a missing field and a JSON null.
+MESSAGE = T.MapType(T.StringType(), T.StringType())
 
 
 def alert_schema(spec) -> T.StructType:

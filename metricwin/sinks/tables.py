@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import uuid
+from datetime import date
 
-from metricwin.schemas import METRIC_CSV_COLUMNS
-from metricwin.storage import materialise
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
-# A result is written as one file only up to this many rows; one task writes it.
-SINGLE_FILE_ROWS = 1_000_000
+from metricwin.functions.clock import on_day
+from metricwin.schemas import ENVELOPE, METRIC_CSV_COLUMNS
+from metricwin.storage import remove, replace_dir
 
 
 def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None:
@@ -30,30 +31,49 @@ def publish_kafka(envelopes: DataFrame, servers: str) -> None:
     ).save()
 
 
+def stamped(envelopes: DataFrame, day: date | None = None, partition: int | None = None) -> DataFrame:
+    """Messages as a broker would keep them: with record time, partition and offset.
+
+    With ``day`` the record time is the message's own time on that day, else (or without a time)
+    the time of publishing. Every call is a partition of its own unless one is given, so that
+    offsets of several publishes into one folder are told apart.
+    """
+    if partition is None:
+        partition = uuid.uuid4().int % (1 << 31)
+    now = F.current_timestamp()
+    if day is not None:
+        now = F.coalesce(on_day(F.get_json_object("value", "$.timestamp"), day), now)
+    return envelopes.select(
+        "topic",
+        "value",
+        now.alias("timestamp"),
+        F.lit(partition).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+    )
+
+
 def publish_files(envelopes: DataFrame, folder: str, mode: str = "append") -> None:
-    envelopes.select("topic", "value", "timestamp", "offset").write.mode(mode).parquet(folder)
+    """Keep messages as Parquet files with the columns of a topic."""
+    envelopes.select(*ENVELOPE.names).write.mode(mode).parquet(folder)
 
 
-def write_alerts(
-    alerts: DataFrame,
-    path: str,
-    skip_empty: bool = False,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
-) -> bool:
+def write_alerts(alerts: DataFrame, path: str, skip_empty: bool = False) -> bool:
     """Write sorted alerts as headed CSV and say whether anything was written.
 
-    The parts are in order: part 0 holds the first rows. ``single_file`` gives one part
-    when the result has at most ``single_file_rows`` rows and ordered parts beyond that.
-    ``skip_empty`` leaves ``path`` alone when there are no alerts.
+    The parts are in order: part 0 holds the first rows. ``skip_empty`` leaves ``path`` as it was
+    when there are no alerts: rows are counted while they are written beside it, once.
     """
-    if skip_empty or single_file:
-        alerts = materialise(alerts)
-    if skip_empty and alerts.isEmpty():
+    if not skip_empty:
+        alerts.write.mode("overwrite").option("header", True).csv(path)
+        return True
+    spark, seen = alerts.sparkSession, Observation()
+    beside = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex}"
+    counted = alerts.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.option("header", True).csv(beside)
+    if not seen.get["rows"]:
+        remove(spark, beside)
         return False
-    if single_file and alerts.limit(single_file_rows + 1).count() <= single_file_rows:
-        alerts = alerts.coalesce(1)
-    alerts.write.mode("overwrite").option("header", True).csv(path)
+    replace_dir(spark, beside, path)
     return True
 
 

@@ -1,4 +1,4 @@
-"""Messages out of topics, as batch or stream: ``topic, value, timestamp, offset``.
+"""Messages out of topics, as batch or stream: ``topic, value, timestamp, partition, offset``.
 
 The Kafka forms need Spark's Kafka connector on the class path and a broker; neither was
 at hand when this was written, so they are untested. The file forms carry the same columns.
@@ -14,7 +14,7 @@ from metricwin.schemas import ENVELOPE
 
 
 def _columns(df: DataFrame) -> DataFrame:
-    return df.selectExpr("topic", "cast(value as string) as value", "timestamp", "offset")
+    return df.selectExpr(*ENVELOPE.names[:1], "cast(value as string) as value", *ENVELOPE.names[2:])
 
 
 def kafka_stream(

@@ -55,8 +55,8 @@ class PairSpec:
     onto one clock, ``event_time`` uses the ``event_time`` timestamp column.
     ``panes`` adds a roll-up to one row per slide interval before windows are built; it
     pays when a server has several readings per slide.
-    ``dedup_by`` names a column; of several readings of a metric for one server and time only
-    the one with the least value there counts. By default all count.
+    ``dedup_by`` names one or more columns; of several readings of a metric for one server and
+    time only the one that comes first in their order counts. By default all count.
     """
 
     first: str
@@ -75,7 +75,7 @@ class PairSpec:
     decimals: int = DECIMALS
     drop_nan: bool = False
     panes: bool = False
-    dedup_by: str | None = None
+    dedup_by: str | tuple[str, ...] | None = None
 
     def __post_init__(self) -> None:
         choices = {
@@ -108,7 +108,11 @@ class PairSpec:
     @property
     def carried(self) -> tuple[str, ...]:
         """Columns a reading needs beside its metric and value."""
-        return ("server_id", self.key, *([self.dedup_by] if self.dedup_by else []))
+        return ("server_id", self.key, *self.dedup_order)
+
+    @property
+    def dedup_order(self) -> tuple[str, ...]:
+        return (self.dedup_by,) if isinstance(self.dedup_by, str) else self.dedup_by or ()
 
 
 CPU_MEM = PairSpec(

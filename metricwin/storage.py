@@ -1,37 +1,79 @@
-"""Where intermediate tables and stream checkpoints go."""
+"""Where intermediate tables and stream checkpoints go, and how they are taken away again."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; every executor must see it.
 
-    Only a local session may go without the setting and gets a folder of its own.
+    Without the setting it is a folder in Spark's warehouse, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="metricwin-"))
-    return sc.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/metricwin-shared"
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nobody used before."""
-    return f"{shared_dir(spark)}/metricwin-{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nobody used before; ``clean`` removes it."""
+    path = f"{shared_dir(spark)}/metricwin-{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.mkdirs(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def replace_dir(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``, on the same file system."""
+    place, files = _file_system(spark, target)
+    files.delete(place, True)
+    files.mkdirs(place.getParent())
+    if not files.rename(_file_system(spark, source)[0], place):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove every intermediate folder of this process. Results that read them end with it."""
+    while _made:
+        remove(spark, _made.pop())
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder once and read from there ever after."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so that later actions do not recompute it."""
+@contextmanager
+def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder once, for several readings inside the block."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = fresh_dir(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+        _made.remove(path)

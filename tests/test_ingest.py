@@ -1,21 +1,27 @@
 import json
 import math
 import random
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from metricwin.functions.fields import number
 from metricwin.operators import ingest
 from metricwin.operators.publish import envelopes
-from metricwin.schemas import ENVELOPE
-from metricwin.sources.csv_tables import read_wide_text, wide_rejects, wide_rows
-
+from metricwin.schemas import ENVELOPE, WIDE_METRICS
+from metricwin.sinks.tables import stamped
+from metricwin.sources.csv_tables import read_metric_csv, read_wide_text, wide_rejects, wide_rows
+
+READING = (
+    "metric string, kind string, server_id string, ts string, value double,"
+    " timestamp timestamp, partition int, offset long"
+)
 RECORD = datetime(2024, 1, 1, 10, 0, 7, tzinfo=timezone.utc)
 
 
 def _messages(spark, pairs):
-    rows = [(topic, value, RECORD, i) for i, (topic, value) in enumerate(pairs)]
+    rows = [(topic, value, RECORD, 0, i) for i, (topic, value) in enumerate(pairs)]
     return spark.createDataFrame(rows, ENVELOPE)
 
 
@@ -159,45 +165,122 @@ def test_wide_csv_rejects_or_fails(spark, tmp_path):
         wide_rows(raw, on_bad="fail").collect()
 
 
-def test_csv_header_must_match(spark, tmp_path):
-    (tmp_path / "w.csv").write_text("server_id,ts,cpu_pct,mem_pct,net_in,net_out,disk_io\ns,t,1,2,3,4,5\n")
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("server_id,ts,x,cpu_pct,mem_pct,net_in,disk_io,net_out\ns,t,9,1,2,3,5,4\n")
+    got = wide_rows(read_wide_text(spark, str(tmp_path / "w.csv")))
+    assert [tuple(r) for r in got.collect()] == [("t", "s", 1.0, 2.0, 3.0, 4.0, 5.0)]
+    (tmp_path / "net.csv").write_text("ts,net_out,net_in,server_id\nt,4,3,s\n")
+    got = read_metric_csv(spark, str(tmp_path / "net.csv"), "net_in", "double")
+    assert [tuple(r) for r in got.collect()] == [("s", "t", 3.0)]
+
+
+def test_csv_misses_a_column(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("server_id,ts,cpu_pct\ns,t,1\n")
+    with pytest.raises(ValueError, match="no column mem_pct, net_in, net_out, disk_io"):
+        read_wide_text(spark, str(tmp_path / "w.csv"))
+
+
+def test_csv_files_of_a_folder_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("server_id,ts,net_in\ns,t,1\n")
+    (tmp_path / "b.csv").write_text("ts,server_id,net_in\nt,s,1\n")
     with pytest.raises(Exception, match="(?i)header"):
-        read_wide_text(spark, str(tmp_path / "w.csv")).collect()
+        read_metric_csv(spark, str(tmp_path), "net_in", "double").collect()
+
+
+def test_csv_folder_without_files(spark, tmp_path):
+    assert read_metric_csv(spark, str(tmp_path), "net_in", "double").collect() == []
+    assert read_wide_text(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["1.5f", "1.5d", "2D", "0x1p3", "1e", "", "1 2", "--1", "infin"])
+def test_no_number(spark, text):
+    row = spark.createDataFrame([(text,)], "t string").select(number(F.col("t"))).first()
+    assert row[0] is None
+
+
+@pytest.mark.parametrize("text", ["1.5", "-.5", "5.", "+1e-3", "Infinity", "-inf", " 7 ", "1E+2"])
+def test_number(spark, text):
+    row = spark.createDataFrame([(text,)], "t string").select(number(F.col("t"))).first()
+    assert row[0] == float(text)
+
+
+def test_day_dates_times_far_from_the_record(spark):
+    messages = _messages(spark, [("topic-net", BODY.replace("10:00:00", "23:30:00") % ', "net_in": 1')])
+    near = ingest.parse_envelopes(messages).first()
+    told = ingest.parse_envelopes(messages, day=date(2024, 1, 1)).first()
+    assert near.event_time == datetime(2023, 12, 31, 23, 30)
+    assert told.event_time == datetime(2024, 1, 1, 23, 30)
+
+
+def test_stamped_messages(spark):
+    wide = spark.createDataFrame([("23:30:00", "s", 1.0, 1.0, 1.0, 1.0, 1.0), (None, "s", *[1.0] * 5)], ", ".join(
+        ["ts string", "server_id string", *(f"{m} double" for m in WIDE_METRICS)]))
+    sent = envelopes(wide)
+    dated = stamped(sent, date(2024, 1, 1)).where("value like '%23:30%'").collect()
+    assert {r.timestamp for r in dated} == {datetime(2024, 1, 1, 23, 30)}
+    assert stamped(sent, date(2024, 1, 1)).where("timestamp is null").count() == 0
+    one, two = (stamped(sent).select("partition").distinct().collect() for _ in range(2))
+    assert len(one) == len(two) == 1 and one != two
 
 
 def test_every_nth_over_gaps_and_many_runs(spark):
     rng = random.Random(3)
     rows = []
     for kind in ("network", "disk"):
-        offsets = rng.sample(range(5000), 730)
-        rows += [(kind, o, float(o)) for o in offsets]
-    rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "kind string, offset long, value double")
-    got = {(r.kind, r.ordinal, r.offset) for r in ingest.every_nth(df, 10, span=64).collect()}
+        for partition in (1, 0):
+            for o in rng.sample(range(5000), 730):
+                # Offsets go with time, over two days.
+                time = RECORD + timedelta(seconds=o * 40)
+                rows.append((kind, time, partition, o, float(o)))
+    rows.append(("cpu", None, None, None, 1.0))
     want = set()
     for kind in ("network", "disk"):
-        ordered = sorted(o for k, o, _ in rows if k == kind)
-        want |= {(kind, i, o) for i, o in enumerate(ordered, 1) if i % 10 == 0}
-    assert got == want
+        own = sorted((t.replace(second=0), p, o) for k, t, p, o, _ in rows if k == kind)
+        want |= {(kind, i, p, o) for i, (_, p, o) in enumerate(own, 1) if i % 10 == 0}
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(
+            rows, "kind string, timestamp timestamp, partition int, offset long, value double"
+        ).repartition(seed + 2)
+        got = {
+            (r.kind, r.ordinal, r.partition, r.offset)
+            for r in ingest.every_nth(df, 10, span=64).collect()
+        }
+        assert got == want
 
 
 def test_dedup_keeps_the_earliest(spark):
     df = spark.createDataFrame(
         [
-            ("cpu_pct", "s1", "10:00:00", 5.0, 3),
-            ("cpu_pct", "s1", "10:00:00", None, 1),
-            ("cpu_pct", "s1", "10:00:01", 7.0, 2),
-            ("mem_pct", "s1", "10:00:00", 8.0, 9),
+            ("cpu_pct", "cpu", "s1", "10:00:00", 5.0, RECORD, 0, 3),
+            ("cpu_pct", "cpu", "s1", "10:00:00", None, RECORD, 0, 1),
+            ("cpu_pct", "cpu", "s1", "10:00:00", 6.0, RECORD, 1, 0),
+            ("cpu_pct", "cpu", "s1", "10:00:01", 7.0, RECORD, 0, 2),
+            ("mem_pct", "mem", "s1", "10:00:00", 8.0, RECORD + timedelta(seconds=1), 0, 8),
+            ("mem_pct", "mem", "s1", "10:00:00", 9.0, RECORD, 0, 9),
         ],
-        "metric string, server_id string, ts string, value double, offset long",
+        READING,
     )
     kept = ingest.dedup(df)
-    assert {(r.metric, r.ts, r.value, r.offset) for r in kept.collect()} == {
-        ("cpu_pct", "10:00:00", None, 1),
-        ("cpu_pct", "10:00:01", 7.0, 2),
-        ("mem_pct", "10:00:00", 8.0, 9),
+    assert kept.columns == df.columns
+    assert {(r.metric, r.ts, r.value, r.partition, r.offset) for r in kept.collect()} == {
+        ("cpu_pct", "10:00:00", None, 0, 1),
+        ("cpu_pct", "10:00:01", 7.0, 0, 2),
+        ("mem_pct", "10:00:00", 9.0, 0, 9),
     }
-    assert "SortAggregate" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_leaves_readings_without_server_or_time(spark):
+    places = [("s", ""), ("s", None), (None, "10:00:00"), ("", "10:00:00"), ("s", "10:00:00")]
+    rows = [
+        ("net_in", "network", server, ts, 1.0, RECORD, 0, 10 * i + k)
+        for i, (server, ts) in enumerate(places)
+        for k in range(3)
+    ]
+    # The same message twice is one message.
+    kept = ingest.dedup(spark.createDataFrame(rows + rows[:1], READING)).collect()
+    assert len(kept) == 4 * 3 + 1
 
 
 def test_unknown_servers_match_each_other(spark):

@@ -195,7 +195,8 @@ def test_empty_input(spark, spec):
     assert alerts.sorted_alerts(df, spec).collect() == []
     one_side = spark.createDataFrame([("s", "00:00:01", spec.first, 1.0)], READINGS)
     assert alerts.sorted_alerts(one_side, spec).collect() == []
-    summary = alerts.validation_summary(alerts.windowed(df, spec), spec).first()
+    limits = windows.bounds(alerts.timed_pairs(df, spec), spec)
+    summary = alerts.validation_summary(alerts.windowed(df, spec), limits).first()
     assert tuple(summary) == (0, 1, 0, 0, 0)
 
 

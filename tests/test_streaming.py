@@ -1,13 +1,18 @@
+import glob
 from dataclasses import replace
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue.spoilt import dirty_envelopes
+from metricwin.__main__ import main
 from metricwin.operators import ingest
 from metricwin.operators.publish import envelopes
 from metricwin.plans import alerts
-from metricwin.sources.events import dirty_envelopes, read_events, wide_readings
+from metricwin.schemas import ENVELOPE, WIDE_COLUMNS
+from metricwin.sinks.tables import publish_files, stamped
+from metricwin.sources.events import read_events, wide_readings
 from metricwin.sources.topics import file_batch, file_stream
 from metricwin.specs import CPU_MEM, NET_DISK
 from metricwin.streaming.alerts import dedup_stream, stream_alerts
@@ -128,21 +133,73 @@ def test_replayed_readings_count_once_with_dedup(spark, tmp_path):
     replay = [first[0], first[2]]
     stream = _stream(spark, tmp_path, [first, replay, _both(600, 1.0)])
     plain = rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "plain"))
-    stamped = stream.withColumn("offset", F.unix_micros("event_time"))
-    spec = replace(CPU_MEM, dedup_by="offset")
-    once = rows(run(stream_alerts(stamped, spec, DELAY), tmp_path, "once"))
+    named = stream.withColumns(
+        {"timestamp": F.col("event_time"), "partition": F.lit(0), "offset": F.unix_micros("event_time")}
+    )
+    spec = replace(CPU_MEM, dedup_by=("timestamp", "partition", "offset"))
+    once = rows(run(stream_alerts(named, spec, DELAY), tmp_path, "once"))
     # Four joined rows of 10.0 and one of 20.0 against one of each.
     assert {r[3] for r in plain} == {12.0}
     assert {r[3] for r in once} == {15.0}
-    kept = rows(run(dedup_stream(stream, DELAY).select("metric", "value"), tmp_path, "kept"))
-    assert len(kept) == 6
+    kept = rows(run(dedup_stream(_full(named), DELAY).select("metric", "value"), tmp_path, "kept"))
+    # The last two are still within the delay.
+    assert kept == [("cpu_pct", 10.0), ("cpu_pct", 20.0), ("mem_pct", 1.0), ("mem_pct", 1.0)]
+
 
+def _full(stream):
+    return stream.withColumns({"kind": F.lit("k"), "ts": F.date_format("event_time", "HH:mm:ss")})
 
-def test_dedup_drops_copies_that_differ(spark, tmp_path):
-    """Copies of one reading spread over all salts still leave one."""
+
+def test_stream_dedup_keeps_the_earliest_whole(spark, tmp_path):
+    """Of copies that differ the first in message order stays, with all its columns."""
     many = [_reading(0, float(i), "cpu_pct") for i in range(200)]
-    stream = _stream(spark, tmp_path, [many, many])
-    assert run(dedup_stream(stream, DELAY), tmp_path, "kept").count() == 1
+    stream = _full(_stream(spark, tmp_path, [many[100:], many, _both(600, 1.0)]))
+    named = stream.withColumns(
+        {"timestamp": F.col("event_time"), "partition": F.lit(0), "offset": (F.col("value") % 150).cast("long")}
+    )
+    kept = run(dedup_stream(named, DELAY), tmp_path, "kept")
+    assert sorted(kept.columns) == sorted(named.columns)
+    (row,) = kept.collect()
+    # Offsets 0 and 50 to 199 of the second batch; the least offset is of value 0 or 150.
+    assert row.offset == 0 and row.value == 0.0 and row.ts == "10:00:00"
+
+
+def test_empty_topic_gives_empty_alerts(spark, tmp_path):
+    topic, base = str(tmp_path / "topic"), run_folder(str(tmp_path / "landed"))
+    spark.createDataFrame([], ENVELOPE).write.parquet(topic)
+    # The alerts may start before the ingest has landed anything, or has begun at all.
+    def early():
+        return run(stream_alerts(stream_landed(spark, base), CPU_MEM, DELAY), tmp_path, "early")
+
+    assert early().count() == 0
+    start_ingest(file_stream(spark, topic), base).awaitTermination()
+    readings = read_landed(spark, base)
+    assert readings.count() == read_landed(spark, base, rejects=True).count() == 0
+    assert alerts.alerts(readings, CPU_MEM).count() == 0
+    # Once there are rows, the same alert stream goes on with them.
+    publish_files(stamped(envelopes(wide_readings(read_events(spark, "/root/testdata/sf0.001")))), topic)
+    start_ingest(file_stream(spark, topic), base, day=date(2024, 1, 1)).awaitTermination()
+    assert early().count() > 0
+
+
+def test_two_publishes_have_their_own_offsets(spark, data, tmp_path):
+    topic = str(tmp_path / "topic")
+    sent = envelopes(wide_readings(read_events(spark, data)).limit(20))
+    for _ in range(2):
+        publish_files(stamped(sent), topic)
+    messages = file_batch(spark, topic)
+    assert messages.select("partition", "offset").distinct().count() == messages.count() == 160
+
+
+def test_cli_publishes_a_day(spark, data, tmp_path):
+    """Readings of a whole day get the right dates whenever they are published."""
+    d = {n: str(tmp_path / n) for n in ("wide", "topic", "landed")}
+    wide_readings(read_events(spark, data)).select(*WIDE_COLUMNS).write.option("header", True).csv(d["wide"])
+    main(["publish", "--wide-csv", d["wide"], "--folder", d["topic"], "--date", "2024-01-01"])
+    main(["ingest", "--folder", d["topic"], "--out", d["landed"], "--date", "2024-01-01"])
+    landed = read_landed(spark, run_folder(d["landed"]))
+    assert {str(r[0]) for r in landed.select(F.to_date("event_time")).distinct().collect()} == {"2024-01-01"}
+    assert landed.where(F.date_format("event_time", "HH:mm:ss") != F.col("ts")).isEmpty()
 
 
 def test_ingest_lands_counts_resumes_and_replays(spark, data, tmp_path):
@@ -166,10 +223,14 @@ def test_ingest_lands_counts_resumes_and_replays(spark, data, tmp_path):
     landed = read_landed(spark, first).select(*columns)
     want = ingest.accepted(parsed).select(*columns)
     assert landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
-    rejects = read_landed(spark, first, status="rejected")
+    rejects = read_landed(spark, first, rejects=True)
     assert rejects.count() == ingest.rejected(parsed).count()
     plan = read_landed(spark, first)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(status" in plan
+    assert "PartitionFilters: [isnotnull(metric" in plan
+    # A batch adds one file to a folder.
+    days = want.sparkSession.read.parquet(data_folder(first)).select("metric", "record_date")
+    written = glob.glob(f"{data_folder(first)}/metric=*/record_date=*/*.parquet")
+    assert len(written) <= 2 * days.distinct().count()
 
     # A replay reads everything again; dedup brings it back to one reading each.
     second = run_folder(base, replay=True)
