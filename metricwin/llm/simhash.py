@@ -186,9 +186,19 @@ def near_duplicates(
 def keep_one(docs: DataFrame, distance: int = 2, shingle: int = 3) -> DataFrame:
     """The rows of ``docs`` whose doc_id is their component's smallest, one row for each component.
 
-    Of rows that repeat a kept doc_id one stays; rows without doc_id stay, for nothing names them.
+    Only the ids to drop are joined with ``docs``, not the ids to keep: they are few, so that texts
+    are shuffled only if they are too many to broadcast. Of rows that repeat a kept doc_id one
+    stays; rows without doc_id stay, for nothing names them.
     """
     found = near_duplicates(docs.select("doc_id", "text"), distance, shingle)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.union(docs.where("doc_id is null"))
+    by_id = found.where("doc_id is not null").groupBy("doc_id")
+    # A doc_id with several texts is kept if any of them is its component's first.
+    ids = by_id.agg(
+        F.count("*").alias("rows"),
+        F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"),
+    )
+    special = table(ids.where("rows > 1 or stays = 0"), "simhash-special")
+    plain = docs.join(special.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    repeated = special.where("stays = 1").select("doc_id")
+    once = docs.join(repeated, "doc_id", "left_semi").select(docs.columns)
+    return plain.union(once.dropDuplicates(["doc_id"]))
