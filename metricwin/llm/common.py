@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,17 +10,14 @@ from pyspark.sql import functions as F
 from metricwin.storage import fresh_dir
 
 
-def table(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+def table(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet once and return the written table.
 
     Later steps read the files, so a lost executor costs a re-read and not a re-run.
     """
     spark = df.sparkSession
     path = fresh_dir(spark, label)
-    writer = df.write.option("compression", "zstd")
-    if by:
-        writer = writer.partitionBy(*by)
-    writer.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -31,23 +25,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@contextmanager
-def settings(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Session settings (dots as double underscores) that hold inside the block only."""
-    names = {key.replace("__", "."): value for key, value in values.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def clean_vector(vector: str | Column, dim: int | None = None) -> Column:
     """Whether a vector has only finite components, not all zero, and ``dim`` of them if given."""
     v = F.col(vector) if isinstance(vector, str) else vector
