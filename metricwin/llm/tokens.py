@@ -250,10 +250,13 @@ def ids_of(blob: bytes | memoryview, n_tokens: int) -> np.ndarray:
 
 
 def part_bases(tokens: DataFrame) -> DataFrame:
-    """For each part the ids in all parts before it; as many rows as there are partitions."""
+    """For each part the ids in all parts before it; as many rows as there are partitions.
+
+    Written, so that a join knows its size and broadcasts it only while it is small.
+    """
     from pyspark.sql import Window
 
     totals = tokens.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("part_tokens").over(before), F.lit(0))
-    return totals.select("part", base.alias("base"))
+    return table(totals.select("part", base.alias("base")), "part-bases")
