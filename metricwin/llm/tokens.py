@@ -1,7 +1,7 @@
 """Token ids of whole texts, and the table of them that other operators read twice.
 
-A corpus repeats its words, so ``TextEncoder`` cuts texts at places where the tokenizer's own
-pre-tokenizer always cuts, encodes each distinct cut once with the library and looks the rest up.
+Texts repeat their words, so ``TextEncoder`` cuts some megabytes of them at places where the
+tokenizer's own pre-tokenizer always cuts, and encodes each distinct cut once with the library.
 Texts whose white space makes such cuts unsafe are encoded whole. Both ways give the ids of the
 library on the whole text, which the tests compare.
 """
@@ -27,84 +27,180 @@ SPACE = (
 )
 #: Letters that neither lower case nor composition can end in a mark. Fixed values.
 LETTER = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}"
-#: A stop or comma that is not one between such a letter and a space, line end or text end.
-ODD_STOP = rf"(?:^|[^{LETTER}])[.,]|[.,][^ \n]"
+#: A stop or comma that is not one between such a letter and a space, line end or text end, or a
+#: mark that composes with the letter before it.
+ODD_STOP = rf"(?:^|[^{LETTER}])[.,]|[.,][^ \n]|[\x{{300}}-\x{{36f}}]"
+WORD = rf"\A[{LETTER}]+\z"
 NO_SPACE_BEFORE = "\x01"
-SLICE_BYTES = 4 << 20
+BARE_WORD = rf"\A\x01[{LETTER}]+\z"
+#: ASCII signs but the apostrophe, which may begin an ending like 's.
+SIGNS = r"[!-&(-/:-@\[-`{-~]+"
+SIGNED_WORD = rf"\A[{LETTER}]+{SIGNS}\z"
+BEFORE_SIGNS = "\x02"
+SLICE_BYTES = 16 << 20
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies, but for the space."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {
+        b: chr(256 + k) for k, b in enumerate(hidden) if b != ord(" ")
+    }
 
 
 class TextEncoder:
     """Encodes texts with a file of the ``tokenizers`` library; special tokens are plain text.
 
-    ``remember`` bounds the distinct cuts kept in memory; beyond it the memory starts anew.
+    Nothing is kept between calls: a call's texts are cut, its distinct cuts are encoded and its
+    ids are put together from theirs. Pass as much text at once as memory allows.
     """
 
-    def __init__(self, path: str, remember: int = 700_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.remember = remember
-        # Does the white space before a word take part in its ids?
+        # Does the white space before a word, or its case, take part in its ids?
         self.spaced = self._whole("a") != self._whole(" a")
+        self.lowers = self._whole("A") == self._whole("a")
+        # Between cuts that are encoded in one text stands a mark that none of them holds.
         self.mark = "\n" if self.spaced else " \x01 "
         mark = self._whole(self.mark)
         self.mark_id = mark[0] if len(mark) == 1 else None
-        self._forget()
+        # Plain words need no rules before the merges; a tokenizer of the same model without any.
+        self.merger = Tokenizer(self.tokenizer.model)
+        self.merger.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.characters = byte_characters()
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)
+        for piece, number in vocabulary.items():
+            at_edge = piece.startswith("\u0120") if self.spaced else piece.endswith("</w>")
+            self.edge[number] = at_edge
+        self.words_apart = True
+        self.words_apart = self._words_agree()
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.store = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _learn(self, cuts: list[str], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
-        while self.used + len(ids) > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        first = len(self.known)
-        while first + len(cuts) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        self.store[self.used : self.used + len(ids)] = ids
-        self.starts[first : first + len(cuts)] = starts + self.used
-        self.sizes[first : first + len(cuts)] = sizes
-        self.used += len(ids)
-        self.known.update(zip(cuts, range(first, first + len(cuts)), strict=True))
+    def _words_agree(self) -> bool:
+        """Whether the merges alone give the whole tokenizer's ids for words of all sorts."""
+        words = ["a", "The", "\u00c9t\u00e9", "stra\u00dfe", "qzx" * 9, "I", "\u017f", "na\u00efve"]
+        space = " " if self.spaced else ""
+        for bare, signs in ((False, ""), (True, ""), (False, "."), (False, ",[$$]-")):
+            between = BEFORE_SIGNS if signs else ""
+            text = " ".join(w + between + signs for w in words)
+            found = self._words(text, len(words), bare, bool(signs))
+            if found is None:
+                return False
+            ids, starts, sizes = found
+            for word, a, n in zip(words, starts.tolist(), sizes.tolist(), strict=True):
+                if ids[a : a + n].tolist() != self._whole(("" if bare else space) + word + signs):
+                    return False
+        return True
+
+    def _words(self, text: str, n: int, bare: bool = False, signed: bool = False):
+        """Ids of ``n`` plain words, where each begins and how many it has; None if unclear.
+
+        Words have a space before them where that matters, but not ``bare`` ones; ``signed`` ones
+        are followed by signs, with ``BEFORE_SIGNS`` between.
+        """
+        if not n or not self.words_apart:
+            return None
+        if self.lowers:
+            text = text.lower()
+        text = text.encode().decode("latin-1").translate(self.characters)
+        # The sign of the line end is the mark between bare words, which begin with no sign.
+        apart = bare and self.spaced
+        if apart:
+            text = text.replace(" ", " \u010a ") + " \u010a"
+        elif self.spaced:
+            text = "\u0120" + text.replace(" ", " \u0120")
+        if signed:
+            text = text.replace(self.characters[ord(BEFORE_SIGNS)], " ")
+        encoded = self.merger.encode_batch_fast([text], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, np.uint32)
+        at = np.flatnonzero(ids == self.mark_id if apart else self.edge[ids])
+        if signed and not self.spaced:
+            # The signs have a last piece of their own.
+            if len(at) != 2 * n:
+                return None
+            at = at[1::2]
+        if len(at) != n:
+            return None
+        if self.spaced and not apart:
+            return ids, at, np.diff(np.append(at, len(ids)))
+        starts = np.concatenate([[0], at[:-1] + 1])
+        return ids, starts, at - starts + (0 if apart else 1)
 
     def _text_of(self, cut: str) -> str:
-        if not self.spaced:
-            return cut
-        if cut == "\n":
+        if not self.spaced or cut == "\n":
             return cut
         return cut[1:] if cut.startswith(NO_SPACE_BEFORE) else " " + cut
 
-    def _encode_cuts(self, cuts: list[str]) -> None:
-        """Learn the ids of cuts: many in one text, told apart by a mark none of them holds."""
-        alone = [c for c in cuts if c == "\n" or len(c) > 200 or self._text_of(c) == ""]
-        if alone:
-            apart = set(alone)
-            cuts = [c for c in cuts if c not in apart]
-        for at in range(0, len(cuts), 20_000):
-            part = cuts[at : at + 20_000]
-            text = self.mark.join(map(self._text_of, part)) + self.mark
-            ids = np.array(self._whole(text), np.uint32)
+    def _others(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_words``, for cuts of any sort: many in one text with marks, or one by one."""
+        texts = [self._text_of(c) for c in cuts]
+        alone = [i for i, t in enumerate(texts) if t in ("", "\n") or len(t) > 200]
+        apart = set(alone)
+        many = [i for i in range(len(texts)) if i not in apart]
+        parts, starts, sizes, used = [], np.zeros(len(cuts), np.int64), np.zeros(len(cuts), np.int64), 0
+        for at in range(0, len(many), 20_000):
+            own = many[at : at + 20_000]
+            joined = self.mark.join([texts[i] for i in own]) + self.mark
+            ids = np.array(self._whole(joined), np.uint32)
             ends = np.flatnonzero(ids == self.mark_id)
-            if len(ends) != len(part):
-                alone = alone + part
+            if len(ends) != len(own):
+                alone += own
                 continue
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            self._learn(part, ids, starts, ends - starts)
-        for cut in alone:
-            ids = np.array(self._whole(self._text_of(cut)), np.uint32)
-            self._learn([cut], ids, np.zeros(1, np.int64), np.array([len(ids)]))
+            first = np.concatenate([[0], ends[:-1] + 1])
+            starts[own], sizes[own] = first + used, ends - first
+            parts.append(ids)
+            used += len(ids)
+        for i in alone:
+            ids = np.array(self._whole(texts[i]), np.uint32)
+            starts[i], sizes[i] = used, len(ids)
+            parts.append(ids)
+            used += len(ids)
+        return np.concatenate([np.zeros(0, np.uint32), *parts]), starts, sizes
+
+    def _distinct(self, cuts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct cuts in a row, and where each begins and how many it has."""
+        sort = np.zeros(len(cuts), np.int8)
+        patterns = (WORD, SIGNED_WORD, BARE_WORD if self.spaced else None)
+        for kind, pattern in enumerate(patterns, 1):
+            if pattern:
+                found = pc.match_substring_regex(cuts, pattern).to_numpy(zero_copy_only=False)
+                sort[found] = kind
+        stores, starts, sizes, used = [], np.zeros(len(cuts), np.int64), np.zeros(len(cuts), np.int64), 0
+        for kind in (1, 2, 3, 0):
+            at = np.flatnonzero(sort == kind)
+            if not len(at):
+                continue
+            own = cuts.take(pa.array(at))
+            found = None
+            if kind:
+                if kind == 3:
+                    own = pc.utf8_slice_codeunits(own, 1)
+                if kind == 2:
+                    own = pc.replace_substring_regex(own, rf"({SIGNS})\z", BEFORE_SIGNS + r"\1")
+                found = self._words(" ".join(own.to_pylist()), len(at), kind == 3, kind == 2)
+            if found is None:
+                if kind:
+                    sort[at] = 0
+                    continue
+                found = self._others(own.to_pylist())
+            ids, first, n = found
+            stores.append(ids)
+            starts[at], sizes[at] = first + used, n
+            used += len(ids)
+        return np.concatenate([np.zeros(0, np.uint32), *stores]), starts, sizes
 
     def _by_cuts(self, texts: pa.Array, plain: bool) -> tuple[np.ndarray, np.ndarray]:
         """``plain`` texts are also cut between a letter and the one stop or comma after it."""
+        if plain and self.lowers:
+            texts = pc.ascii_lower(texts)
         if plain:
             before = " " + NO_SPACE_BEFORE if self.spaced else " "
             for stop in (".", ","):
@@ -116,24 +212,28 @@ class TextEncoder:
                 pa.scalar(NO_SPACE_BEFORE, pa.large_string()), texts, empty
             )
         else:
-            texts = pc.replace_substring_regex(texts, f"[{SPACE}]", " ")
+            texts = pc.replace_substring(texts, "\n", " ")
         lists = pc.split_pattern(texts, " ")
-        coded = lists.flatten().dictionary_encode()
-        cuts = coded.dictionary.to_pylist()
-        new = [c for c in cuts if c not in self.known]
-        if len(self.known) + len(new) > self.remember:
-            self._forget()
-            new = cuts
-        if new:
-            self._encode_cuts(new)
-        known = self.known
-        which = np.array([known[c] for c in cuts], np.int64)[coded.indices.to_numpy()]
-        sizes = self.sizes[which]
-        before = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        at = np.repeat(self.starts[which] - before, sizes) + np.arange(total)
         offsets = lists.offsets.to_numpy()
-        return self.store[at], np.add.reduceat(sizes, offsets[:-1] - offsets[0])
+        offsets = offsets - offsets[0]
+        coded = lists.flatten().dictionary_encode()
+        del texts, lists
+        store, starts, sizes = self._distinct(coded.dictionary)
+        which = coded.indices.to_numpy()
+        counts = np.add.reduceat(sizes[which], offsets[:-1])
+        # Ids are put together some documents at a time, to keep the index arrays small.
+        out = np.empty(int(counts.sum()), np.uint32)
+        used, a = 0, 0
+        while a < len(counts):
+            b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + (1 << 19), side="right")) - 1)
+            own = which[offsets[a] : offsets[b]]
+            n = sizes[own]
+            total = int(n.sum())
+            at = np.repeat(starts[own] - (np.cumsum(n) - n), n)
+            at += np.arange(total)
+            out[used : used + total] = store[at]
+            used, a = used + total, b
+        return out, counts
 
     def _unsafe(self, texts: pa.Array) -> np.ndarray:
         found = pc.match_substring(texts, NO_SPACE_BEFORE)

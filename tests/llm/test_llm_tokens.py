@@ -39,15 +39,28 @@ def test_encoder_gives_the_librarys_ids(path):
     texts = ["".join(random.choices(BITS, k=random.randint(0, 40))) for _ in range(1500)]
     texts += ["", " ", "\n", None, "a b", "The cat, the dog.\nThe end."]
     of = whole(path)
-    # A small memory makes it forget in between.
-    for remember in (50, 100_000):
-        ids, counts = TextEncoder(path, remember).encode(pa.array(texts))
+    encoder = TextEncoder(path)
+    assert encoder.words_apart
+    for at in range(0, len(texts), 400):
+        own = texts[at : at + 400]
+        ids, counts = encoder.encode(pa.array(own))
         ends = np.cumsum(counts)
         assert len(ids) == ends[-1]
-        for text, end, n in zip(texts, ends, counts, strict=True):
+        for text, end, n in zip(own, ends, counts, strict=True):
             assert ids[end - n : end].tolist() == of(text), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_encoder_without_its_shortcuts(path):
+    texts = ["The cat, the DOG.\nThe end!! x$$$", "na\u00efve 12 a.b", ""]
+    slow = TextEncoder(path)
+    slow.words_apart = False
+    ids, counts = slow.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in whole(path)(t)]
+    slow.mark_id = None
+    assert slow.encode(pa.array(texts))[0].tolist() == ids.tolist()
+
+
 def test_encoder_takes_no_texts():
     ids, counts = TextEncoder(WORDS).encode(pa.array([], pa.string()))
     assert len(ids) == len(counts) == 0
