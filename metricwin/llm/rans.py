@@ -1,13 +1,13 @@
 """Token ids in files of static range-ANS blocks, written and read in parallel.
 
 One frequency table, counted over the whole corpus, is shared by all blocks. A block holds whole
-documents, is encoded by ``lanes`` interleaved 64-bit states and decodes without any other block.
+documents, is encoded by ``lanes`` interleaved states and decodes without any other block.
 Every ``steps`` rounds it keeps a checkpoint (the states and the place in the words), from which
 decoding can start, and a checksum of the ids up to the next; a last checksum covers the block.
 
 A block's bytes, little-endian: a header (``HEADER``); for each document its id (8 bytes), whether
 it is null (1) and its ids (8); for each checkpoint the place in the words (8), the crc32 of its
-ids (4) and its states (8 for each lane); the words (4 each); the crc32 of all that (4). Files are
+ids (4) and its states (8 for each lane); the words (3 each); the crc32 of all that (4). Files are
 Parquet tables of such blocks, so Spark writes, commits and reads them on any store.
 """
 
@@ -29,8 +29,10 @@ from metricwin.llm.tokens import ids_of, part_bases, token_table
 #: magic, version, scale bits, lanes, steps, table checksum, documents, ids, checkpoints, words
 HEADER = struct.Struct("<4sHHIIIQQQQ")
 MAGIC = b"RBLK"
-LOWEST = np.uint64(1 << 31)
-WORD = np.uint64(32)
+#: States run from 2 ** 27 up to 2 ** 51 and give words of 24 bits: a word is never less than the
+#: scale, so one at most is given or taken in a round, and doubles hold and divide states exactly.
+LOWEST = 1 << 27
+WORD = 24
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ class Frequencies:
         symbols = np.array(sorted(counts), np.int64)
         seen = np.array([counts[s] for s in symbols.tolist()], np.float64)
         bits = max(bits, int(len(symbols)).bit_length() + 2)
-        if bits > 28:
+        if bits > WORD:
             raise ValueError("more symbols than the table's scale can hold")
         scaled = np.maximum(1, np.floor(seen * ((1 << bits) / seen.sum()))).astype(np.int64)
         spare = (1 << bits) - int(scaled.sum())
@@ -93,35 +95,39 @@ def encode(blocks: list[Block], table: Frequencies, lanes: int, steps: int) -> l
     rounds = np.array([-(-len(b.ids) // lanes) for b in blocks])
     order = np.argsort(-rounds, kind="stable")
     longest = int(rounds[order[0]])
-    freq, first, bits = table.freq, table.first, np.uint64(table.bits)
-    symbols = np.zeros((longest, len(blocks), lanes), np.uint32)
-    lives = np.zeros((longest, len(blocks), lanes), bool)
+    freq, first = table.freq.astype(np.float64), table.first.astype(np.float64)
+    # An absent lane has the whole scale as its frequency, which leaves its state as it is.
+    scale = float(1 << table.bits)
+    freq, first = np.append(freq, scale), np.append(first, 0.0)
+    symbols = np.full((longest, len(blocks), lanes), len(freq) - 1, np.int32)
     for k, b in enumerate(order):
-        n, own = int(rounds[b]), blocks[b].ids
-        flat = np.zeros(n * lanes, np.uint32)
+        own = blocks[b].ids
+        flat = np.full(int(rounds[b]) * lanes, len(freq) - 1, np.int32)
         flat[: len(own)] = own
-        symbols[:n, k] = flat.reshape(n, lanes)
-        live = np.zeros(n * lanes, bool)
-        live[: len(own)] = True
-        lives[:n, k] = live.reshape(n, lanes)
-    going = np.array([(rounds[order] > t).sum() for t in range(longest)])
-    state = np.full((len(blocks), lanes), LOWEST, np.uint64)
+        symbols[: rounds[b], k] = flat.reshape(-1, lanes)
+    going = np.searchsorted(-rounds[order], -np.arange(longest), side="left")
+    state = np.full((len(blocks), lanes), float(LOWEST))
     words = np.zeros((longest, len(blocks), lanes), np.uint32)
     gives = np.zeros((longest, len(blocks), lanes), bool)
     marks = np.zeros((-(-longest // steps), len(blocks), lanes), np.uint64)
-    room = np.uint64(63) - bits
+    room = float(1 << (27 + WORD - table.bits))
     for t in range(longest - 1, -1, -1):
         g = int(going[t])
-        s, live, x = symbols[t, :g], lives[t, :g], state[:g]
-        f = np.maximum(freq[s], np.uint64(1))
-        give = live & ((x >> room) >= f)
-        words[t, :g] = x.astype(np.uint32)
+        s, x = symbols[t, :g], state[:g]
+        f = freq[s]
+        give = x >= f * room
+        high = np.floor(x * 2.0**-WORD)
+        words[t, :g] = x - high * 2.0**WORD
         gives[t, :g] = give
-        x = np.where(give, x >> WORD, x)
-        q = x // f
-        state[:g] = np.where(live, (q << bits) + (x - q * f) + first[s], x)
+        x = np.where(give, high, x)
+        q = np.floor(x / f)
+        x -= q * f
+        q *= scale
+        x += q
+        x += first[s]
+        state[:g] = x
         if t % steps == 0:
-            marks[t // steps, :g] = state[:g]
+            marks[t // steps, :g] = x
     out: list[bytes] = [b""] * len(blocks)
     for k, b in enumerate(order):
         n, block = int(rounds[b]), blocks[b]
@@ -146,7 +152,7 @@ def encode(blocks: list[Block], table: Frequencies, lanes: int, steps: int) -> l
                 before[:n:steps].astype("<u8").tobytes(),
                 np.array(crcs, "<u4").tobytes(),
                 marks[:n_marks, k].astype("<u8").tobytes(),
-                own.astype("<u4").tobytes(),
+                np.ascontiguousarray(own.astype("<u4").view("u1").reshape(-1, 4)[:, :3]).tobytes(),
             ]
         )
         out[b] = body + struct.pack("<I", zlib.crc32(body))
@@ -182,7 +188,9 @@ def decode(blobs: list[bytes | memoryview], table: Frequencies) -> list[Block]:
         place.append(take("<u8", n_marks).astype(np.int64) + base)
         expected.append(take("<u4", n_marks))
         state.append(take("<u8", n_marks * lanes).reshape(n_marks, lanes))
-        words.append(take("<u4", n_words))
+        three = np.zeros((n_words, 4), np.uint8)
+        three[:, :3] = take("u1", 3 * n_words).reshape(-1, 3)
+        words.append(three.view("<u4").reshape(-1))
         base += n_words
         left = n_ids - np.arange(n_marks) * steps * lanes
         size.append(np.minimum(left, steps * lanes))
@@ -216,12 +224,12 @@ def _rounds(
     """The symbols of each stretch, by round and lane."""
     lanes = state.shape[1]
     order = np.argsort(-sizes, kind="stable")
-    state, place, sizes = state[order].copy(), place[order].copy(), sizes[order]
-    freq, first, symbol = table.freq, table.first, table.symbols()
-    bits, low = np.uint64(table.bits), np.uint64((1 << table.bits) - 1)
+    state, place, sizes = state[order].astype(np.int64), place[order].copy(), sizes[order]
+    freq, first, symbol = table.freq.astype(np.int64), table.first.astype(np.int64), table.symbols()
+    bits, low = table.bits, (1 << table.bits) - 1
     out = np.zeros((len(sizes), steps, lanes), np.uint32)
     words = np.append(words, np.uint32(0))
-    lane = np.arange(lanes)
+    last = len(words) - 1
     for t in range(steps):
         g = int((sizes > t * lanes).sum())
         if not g:
@@ -230,12 +238,17 @@ def _rounds(
         slot = x & low
         s = symbol[slot]
         out[:g, t] = s
-        y = freq[s] * (x >> bits) + slot - first[s]
-        live = sizes[:g, None] - t * lanes > lane
-        need = live & (y < LOWEST)
+        x >>= bits
+        x *= freq[s]
+        slot -= first[s]
+        x += slot
+        need = x < LOWEST
+        if sizes[g - 1] < (t + 1) * lanes:
+            # Lanes past the last id of their stretch are done.
+            need &= sizes[:g, None] - t * lanes > np.arange(lanes)
         taken = np.cumsum(need, axis=1)
-        word = words[np.where(need, place[:g, None] + taken - 1, -1)].astype(np.uint64)
-        state[:g] = np.where(live, np.where(need, (y << WORD) | word, y), x)
+        at = taken + (place[:g, None] - 1)
+        np.copyto(x, (x << WORD) | words[np.minimum(at, last)], where=need)
         place[:g] += taken[:, -1]
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
@@ -293,7 +306,7 @@ def _encoded(table: Frequencies, size: int, lanes: int, steps: int) -> Callable:
                 if p != part or start != following or held >= size:
                     close()
                     part, begin, held = p, start, 0
-                    if sum(len(b.ids) for _, _, b in waiting) >= 32 * size:
+                    if sum(len(b.ids) for _, _, b in waiting) >= 64 * size:
                         yield flush()
                 docs.append((doc, n, ids_of(cells[i].as_buffer().to_pybytes(), n)))
                 held, following = held + n, start + n
@@ -327,8 +340,8 @@ DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def _decoded(table: Frequencies, keep_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 16):
-                rows = batch.slice(a, 16)
+            for a in range(0, batch.num_rows, 32):
+                rows = batch.slice(a, 32)
                 blocks = decode([c.as_buffer() for c in rows.column("data")], table)
                 starts = (rows.column("base").to_numpy() + rows.column("local_start").to_numpy())
                 docs, firsts, sizes, crcs, kept = [], [], [], [], []
@@ -379,7 +392,7 @@ def write_tokens(
     tokenizer: str,
     end_id: int = 1,
     block_tokens: int = 1 << 16,
-    lanes: int = 32,
+    lanes: int = 64,
     steps: int = 256,
 ) -> TokenFiles:
     """Encode ``doc_id, text`` in ascending doc_id order into files of blocks.
