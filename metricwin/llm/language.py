@@ -37,21 +37,35 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, per_language: int, most_chars: int) -> DataFrame:
-    """``lang, text``: a bounded sample of the labelled rows that are not held out.
+    """``lang, text, nth``: a bounded sample of the labelled rows that are not held out.
 
-    Of each language the ``per_language`` documents whose doc_id hashes lowest, repeated texts
-    once, each cut to ``most_chars``: nothing but the order of a hash picks them. The limit is
-    applied in each partition before rows of a language meet.
+    Of each language the ``per_language`` documents whose doc_id hashes lowest, each cut to
+    ``most_chars``: nothing but the order of a hash picks them; of rows that repeat a doc_id the
+    least text counts. Only rows below a hash that about four times as many have, by the count of
+    the language's rows, are brought together, so that a common language fills no task.
     """
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.select(
-        "lang",
-        F.substring("text", 1, most_chars).alias("text"),
-        F.xxhash64(F.col("doc_id").cast("long")).alias("place"),
-    ).where(F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy("place", "text")
-    sample = rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language)
+    rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    rows = rows.where(F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+    # One row for each language.
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    below = F.lit(None).cast("long")
+    if counts:
+        highest = [
+            min((1 << 63) - 1, int(-(2.0**63) + 2.0**64 * 4 * per_language / max(n, 1)))
+            for n in counts.values()
+        ]
+        pairs = zip(counts, highest, strict=True)
+        limits = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+        below = F.element_at(limits, F.col("lang"))
+    place = F.xxhash64(F.col("doc_id").cast("long"))
+    once = (
+        rows.select("lang", place.alias("place"), F.substring("text", 1, most_chars).alias("text"))
+        .where(F.col("place") <= below)
+        .groupBy("lang", "place")
+        .agg(F.min("text").alias("text"))
+    )
+    first = Window.partitionBy("lang").orderBy("place")
+    sample = once.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language)
     return sample.select("lang", "text", "nth")
 
 
