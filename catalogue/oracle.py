@@ -129,7 +129,9 @@ joined AS (
   FROM l JOIN r ON l.server_id = r.server_id AND l.ts = r.ts)"""
 
 
-def _windowed(spec: Job, source: str = "wide", key: str = "ts", clamp: str | None = None) -> str:
+def _windowed(
+    spec: Job, source: str = "wide", key: str = "ts", clamp: str | None = None, size: int = 30
+) -> str:
     """CTEs up to the kept windows: columns server_id, w, a, b."""
     agg = spec.statistic
     keep = {
@@ -140,7 +142,8 @@ def _windowed(spec: Job, source: str = "wide", key: str = "ts", clamp: str | Non
     return f"""{_joined(spec, source, key)},
 slots AS (
   SELECT joined.*, t // 10 * 10 - k AS w
-  FROM joined CROSS JOIN (VALUES (0), (10), (20)) AS offsets(k)),
+  FROM joined CROSS JOIN (VALUES (0), (10), (20)) AS offsets(k)
+  WHERE t < t // 10 * 10 - k + {size}),
 windowed AS (
   SELECT server_id, w, {_round2(f"{agg}(a)")} AS a, {_round2(f"{agg}(b)")} AS b
   FROM slots {keep} GROUP BY server_id, w)"""
@@ -194,9 +197,9 @@ SELECT min(t) AS min_sec, max(t) AS max_sec, {first} AS first_start,
 FROM joined"""
 
 
-def _windowed_rows(spec: Job) -> str:
-    return f"""WITH {_windowed(spec)}
-SELECT server_id, w AS window_start_sec, w + 30 AS window_end_sec,
+def _windowed_rows(spec: Job, size: int = 30) -> str:
+    return f"""WITH {_windowed(spec, size=size)}
+SELECT server_id, w AS window_start_sec, w + {size} AS window_end_sec,
        a AS {spec.first_out}, b AS {spec.second_out} FROM windowed"""
 
 
@@ -300,6 +303,7 @@ WHERE w >= (SELECT min(t) // 10 * 10 FROM joined) AND w <= (SELECT max(t) // 10
 GROUP BY server_id, ts, t, base_window, w""",
     "windowed_avg": _windowed_rows(CPU_MEM),
     "windowed_max": _windowed_rows(NET_DISK),
+    "windowed_avg_25s": _windowed_rows(CPU_MEM, size=25),
     "alerts_cpu_mem": _alerts(CPU_MEM),
     "alerts_net_disk": _alerts(NET_DISK),
     "alerts_net_disk_flood_label": _alerts(FLOOD),

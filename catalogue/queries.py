@@ -441,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "windows_exploded": windows_exploded,
     "windowed_avg": _windowed(CPU_MEM),
     "windowed_max": _windowed(NET_DISK),
+    "windowed_avg_25s": _windowed(replace(CPU_MEM, size=25)),
     "alerts_cpu_mem": _alerts(CPU_MEM),
     "alerts_net_disk": _alerts(NET_DISK),
     "alerts_net_disk_flood_label": _alerts(net_disk_spec("flood")),

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.specs import TOPIC_METRIC, TOPICS
+from metricwin.specs import CPU_MEM, TOPIC_METRIC, TOPICS
 
 # A message whose offset a number divides is spoilt in that number's way, see
 # ``_dirty_message``; the first that divides wins.
-RULES = (97, 89, 83, 79, 73, 71)
+RULES = (97, 89, 83, 79, 73, 71, 67)
 
 
 def _rule() -> Column:
@@ -25,6 +25,10 @@ def _dirty_message(metric: str) -> Column:
     rule = F.col("rule")
     name, text = F.lit(f'"{metric}": '), F.col(metric).cast("string")
     time = F.when(rule != 71, F.concat(F.lit('"timestamp": "'), "ts", F.lit('"')))
+    if metric in CPU_MEM.metrics:
+        # These take ``ts`` before ``timestamp``.
+        both = F.concat(F.lit('"ts": "'), "ts", F.lit('", "timestamp": "00:00:00"'))
+        time = F.when(rule == 67, both).otherwise(time)
     server = F.when(rule != 89, F.concat(F.lit('"server_id": "'), "server_id", F.lit('"')))
     value = (
         F.when(rule == 83, F.concat(name, F.lit("null")))
