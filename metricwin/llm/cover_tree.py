@@ -28,6 +28,8 @@ from metricwin.llm.components import components
 #: Radii of the levels on the unit sphere; below the last every vector is its own node.
 RADII = (2.0, 1.0, 0.5, 0.25, 0.125, 0.0625)
 SLACK = 1e-9
+#: More than a product of two unit vectors in single precision can be off.
+ROUNDING = 1e-5
 ROWS = 512
 
 
@@ -103,9 +105,10 @@ def levels_of(u: np.ndarray, path: np.ndarray) -> list[Level]:
     out: list[Level] = []
     for depth, centre in enumerate(path):
         centres, node_of = np.unique(centre, return_inverse=True)
-        d = np.sqrt(((u - u[centre]) ** 2).sum(1))
         radii = np.zeros(len(centres))
-        np.maximum.at(radii, node_of, d)
+        rest = np.flatnonzero(centre != np.arange(len(u)))
+        d = np.sqrt(((u[rest] - u[centre[rest]]) ** 2).sum(1))
+        np.maximum.at(radii, node_of[rest], d)
         if depth == len(path) - 1:
             radii[:] = 0
         parent = out[-1].node_of[centres] if out else np.zeros(len(centres), np.int64)
@@ -163,20 +166,16 @@ def traverse(
     links = Links(wa if same else np.concatenate([wa, wb]))
     shift = 0 if same else n
     norm_a, norm_b = np.sqrt((va**2).sum(1)), np.sqrt((vb**2).sum(1))
-    open_ = np.ones((1, 1), bool)
+    # The pairs of nodes that are still open, one level above.
+    p, q = np.zeros(1, np.int64), np.zeros(1, np.int64)
     last = len(la) - 1
     for depth, (x, y) in enumerate(zip(la, lb, strict=True)):
-        if depth:
-            open_ = open_[x.parent][:, y.parent] if open_.any() else open_[:0]
-        if not open_.any():
+        if not len(p):
             break
         going: list[tuple[np.ndarray, np.ndarray]] = []
-        for p, q, d in _distances(ua[x.centres], ub[y.centres], open_):
-            both = x.radii[p] + y.radii[q]
-            far = d > both + reach + SLACK
+        for i, j, d in _near(ua[x.centres], ub[y.centres], x, y, p, q, reach):
             if depth == last:
-                p, q = p[~far], q[~far]
-                i, j = x.centres[p], y.centres[q]
+                i, j = x.centres[i], y.centres[j]
                 cos = (va[i] * vb[j]).sum(1) / (norm_a[i] * norm_b[j])
                 linked = (cos >= cosine) & ~(same & (i == j))
                 i, j = i[linked], j[linked]
@@ -185,30 +184,87 @@ def traverse(
                     np.add.at(links.counts, j + n, wa[i])
                 links.edges.append((i, j + shift))
                 continue
-            whole = d + both <= reach - SLACK
-            _link_whole(links, x, y, p[whole], q[whole], wa, wb, n, same)
-            left = ~far & ~whole
-            going.append((p[left], q[left]))
+            whole = d + x.radii[i] + y.radii[j] <= reach - SLACK
+            _link_whole(links, x, y, i[whole], j[whole], wa, wb, n, same)
+            going.append((i[~whole], j[~whole]))
         if depth < last:
-            open_ = np.zeros((len(x.centres), len(y.centres)), bool)
-            for p, q in going:
-                open_[p, q] = True
+            none = [np.zeros(0, np.int64)]
+            p = np.concatenate(none + [i for i, _ in going])
+            q = np.concatenate(none + [j for _, j in going])
     return links
 
 
-def _distances(
-    a: np.ndarray, b: np.ndarray, open_: np.ndarray
+def _children(parent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes by parent: their order, where each parent's begin, and how many it has."""
+    sizes = np.bincount(parent, minlength=n)
+    return np.argsort(parent, kind="stable"), np.cumsum(sizes) - sizes, sizes
+
+
+def _expand(x: Level, y: Level, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of a child of ``p`` and a child of ``q``."""
+    order_x, first_x, size_x = _children(x.parent, int(p.max()) + 1)
+    order_y, first_y, size_y = _children(y.parent, int(q.max()) + 1)
+    each = size_x[p] * size_y[q]
+    pair = np.repeat(np.arange(len(p)), each)
+    nth = np.arange(len(pair)) - np.repeat(np.cumsum(each) - each, each)
+    i = order_x[first_x[p[pair]] + nth // size_y[q[pair]]]
+    j = order_y[first_y[q[pair]] + nth % size_y[q[pair]]]
+    return i, j
+
+
+def _near(
+    a: np.ndarray, b: np.ndarray, x: Level, y: Level, p: np.ndarray, q: np.ndarray, reach: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Distances of the open pairs of nodes: by blocks where many are open, else pair by pair."""
-    if open_.mean() > 0.02:
-        for at in range(0, len(a), ROWS):
-            p, q = np.nonzero(open_[at : at + ROWS])
-            yield p + at, q, distances(a[at : at + ROWS], b)[p, q]
-        return
-    p, q = np.nonzero(open_)
-    for at in range(0, len(p), 1 << 17):
-        i, j = p[at : at + (1 << 17)], q[at : at + (1 << 17)]
-        yield i, j, np.sqrt(((a[i] - b[j]) ** 2).sum(1))
+    """Of the children of open pairs those whose balls come within ``reach``, and their distance.
+
+    Where they are many, products in single precision first drop those that are far by more than
+    their rounding; what is left is measured in double precision.
+    """
+    sizes_x = np.bincount(x.parent, minlength=int(p.max()) + 1)
+    sizes_y = np.bincount(y.parent, minlength=int(q.max()) + 1)
+    total = int((sizes_x[p] * sizes_y[q]).sum())
+    if total < 0.02 * len(a) * len(b):
+        found = iter([_expand(x, y, p, q)])
+    else:
+        found = _near_products(a, b, x, y, p, q, reach, total == len(a) * len(b))
+    for i, j in found:
+        for at in range(0, len(i), 1 << 17):
+            k, m = i[at : at + (1 << 17)], j[at : at + (1 << 17)]
+            d = np.sqrt(((a[k] - b[m]) ** 2).sum(1))
+            near = d <= x.radii[k] + y.radii[m] + reach + SLACK
+            yield k[near], m[near], d[near]
+
+
+def _near_products(
+    a: np.ndarray,
+    b: np.ndarray,
+    x: Level,
+    y: Level,
+    p: np.ndarray,
+    q: np.ndarray,
+    reach: float,
+    all_open: bool,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that single precision cannot tell to be far, some rows at a time."""
+    if not all_open:
+        above = np.zeros((int(x.parent.max()) + 1, int(y.parent.max()) + 1), bool)
+        above[p, q] = True
+    # Nodes of one vector have no radius, so that a row has one bound for all of them.
+    order = np.argsort(y.radii > 0, kind="stable")
+    single = int((y.radii == 0).sum())
+    wide = y.radii[order[single:]]
+    a32, b32 = a.astype(np.float32), b[order].astype(np.float32).T.copy()
+    for at in range(0, len(a), ROWS):
+        dots = a32[at : at + ROWS] @ b32
+        bound = x.radii[at : at + ROWS, None] + reach + SLACK
+        near = np.empty(dots.shape, bool)
+        least = (1 - bound**2 / 2 - ROUNDING).astype(np.float32)
+        np.greater_equal(dots[:, :single], least, out=near[:, :single])
+        near[:, single:] = dots[:, single:] >= 1 - (bound + wide) ** 2 / 2 - ROUNDING
+        if not all_open:
+            near &= above[x.parent[at : at + ROWS]][:, y.parent[order]]
+        flat = np.flatnonzero(near)
+        yield flat // near.shape[1] + at, order[flat % near.shape[1]]
 
 
 def _link_whole(links, x: Level, y: Level, p, q, wa, wb, n: int, same: bool) -> None:
