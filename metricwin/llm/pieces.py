@@ -3,7 +3,7 @@
 The automaton reads a text once. At each position it follows the output links to every piece that
 ends there and relaxes the best score of that position; the best path back gives the pieces. No
 piece of a usual vocabulary goes from a letter into the next word's mark, so a text may be cut
-there, and a cut that was solved before is looked up.
+there, and each distinct cut of some megabytes of text is solved once.
 """
 
 from __future__ import annotations
@@ -17,10 +17,14 @@ from itertools import chain
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricwin.llm.tokens import slices
+
 SPACE = "▁"
+SLICE_BYTES = 16 << 20
 CUTS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: What the library subtracts from the lowest score for a character without a piece. Fixed value.
 UNKNOWN_PENALTY = 10.0
@@ -34,7 +38,7 @@ class PieceModel:
     that no piece covers, or the unknown id if the model has no byte pieces.
     """
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str):
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
@@ -62,26 +66,27 @@ class PieceModel:
         self.lowest = min(scores, default=0.0) - UNKNOWN_PENALTY
         self.single = {p for p in self.pieces if len(p) == 1 and p in self.automaton}
         self.cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.pieces)
-        self.remember = remember
-        self.known: dict[str, tuple[int, ...]] = {}
 
     def _solve(self, text: str) -> tuple[int, ...]:
         """Viterbi over one cut."""
         n = len(text)
         best = [0.0] + [float("-inf")] * n
         back = [(0, -1)] * (n + 1)
-        bare = [k for k, c in enumerate(text) if c not in self.single]
-        waiting = 0
+        bare: list[int] = []
+        if not self.single.issuperset(text):
+            bare = [k for k, c in enumerate(text) if c not in self.single]
+        waiting, bares = 0, len(bare)
         for end, (size, score, piece) in self.automaton.iter(text):
             # A character without a piece of its own can always be passed, at the lowest score.
-            while waiting < len(bare) and bare[waiting] < end:
+            while waiting < bares and bare[waiting] < end:
                 self._pass(bare[waiting], best, back)
                 waiting += 1
-            start = end + 1 - size
+            end += 1
+            start = end - size
             score += best[start]
-            if score > best[end + 1]:
-                best[end + 1] = score
-                back[end + 1] = (start, piece)
+            if score > best[end]:
+                best[end] = score
+                back[end] = (start, piece)
         for k in bare[waiting:]:
             self._pass(k, best, back)
         ids: list[int] = []
@@ -111,14 +116,38 @@ class PieceModel:
         text = self.prefix + text.replace(" ", SPACE)
         if not self.cuttable:
             return np.array(self._solve(text), np.uint32)
-        known, cuts = self.known, CUTS.findall(text)
-        if len(known) > self.remember:
-            known.clear()
-        for cut in cuts:
-            if cut not in known:
-                known[cut] = self._solve(cut)
+        cuts = CUTS.findall(text)
+        known = {cut: self._solve(cut) for cut in dict.fromkeys(cuts)}
         return np.fromiter(chain.from_iterable(map(known.__getitem__, cuts)), np.uint32)
 
+    def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text. Where all spaces stand alone between words, texts share cuts."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, rf"\A(?: |\z)| \z|  |{SPACE}")
+        odd = odd.to_numpy(zero_copy_only=False) | (not self.cuttable or self.prefix != SPACE)
+        out = [np.zeros(0, np.uint32)] * len(texts)
+        for i in np.flatnonzero(odd):
+            out[i] = self.encode(texts[int(i)].as_py())
+        plain = np.flatnonzero(~odd)
+        if not len(plain):
+            return out
+        lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        offsets = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        solved = [self._solve(SPACE + word) for word in coded.dictionary.to_pylist()]
+        which = coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, solved), np.int64, len(solved))
+        store = np.fromiter(chain.from_iterable(solved), np.uint32, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        del solved, lists
+        for k, i in enumerate(plain):
+            own = which[offsets[k] - offsets[0] : offsets[k + 1] - offsets[0]]
+            n = sizes[own]
+            at = np.repeat(starts[own] - (np.cumsum(n) - n), n)
+            at += np.arange(len(at))
+            out[i] = store[at]
+        return out
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
         parts: list[str] = []
@@ -156,9 +185,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                rows = batch.slice(a, 500)
-                ids = [model.encode(t.as_py()).astype("<u4").tobytes() for t in rows.column("text")]
+            for a, b in slices(batch.column("text"), SLICE_BYTES):
+                rows = batch.slice(a, b - a)
+                ids = [x.astype("<u4").tobytes() for x in model.encode_many(rows.column("text"))]
                 columns = [rows.column("doc_id"), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids"])
 
@@ -189,12 +218,14 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         model = piece_model(path)
         for batch in batches:
             sizes, crcs, same = [], [], []
-            for cell in batch.column("text"):
-                text = cell.as_py() or ""
-                ids = model.encode(text)
-                sizes.append(len(ids))
-                crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                same.append(model.decode(ids) == text.replace(SPACE, " "))
+            texts = batch.column("text")
+            for a, b in slices(texts, SLICE_BYTES):
+                own = texts.slice(a, b - a)
+                for cell, ids in zip(own, model.encode_many(own), strict=True):
+                    text = cell.as_py() or ""
+                    sizes.append(len(ids))
+                    crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                    same.append(model.decode(ids) == text.replace(SPACE, " "))
             columns = [
                 batch.column("doc_id"),
                 pa.array(sizes, pa.int64()),

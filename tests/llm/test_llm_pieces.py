@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -77,10 +78,13 @@ def test_cuts_do_not_matter(model):
         assert model.encode(text).tolist() == whole.encode(text).tolist()
 
 
-def test_small_memory(model):
-    forgetful = PieceModel(PATH, remember=3)
-    for text in ("one two three four five", "six seven one two", ""):
-        assert forgetful.encode(text).tolist() == model.encode(text).tolist()
+def test_texts_that_share_cuts(model):
+    random.seed(11)
+    texts = ["".join(random.choices(BITS, k=random.randint(0, 20))) for _ in range(500)]
+    texts += ["a b", " a", "a ", "a  b", "", None, f"a{SPACE}b", "the the the", "a\nb c"]
+    many = model.encode_many(pa.array(texts))
+    assert [x.tolist() for x in many] == [model.encode(t).tolist() for t in texts]
+    assert model.encode_many(pa.array([], pa.string())) == []
 
 
 def test_awkward_documents(awkward, no_docs, model):
