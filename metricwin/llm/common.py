@@ -21,6 +21,15 @@ def table(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, after telling its session to hand Python ``rows`` rows at a time.
+
+    Spark's own 10,000 rows are a lot of text, held several times over on both sides.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from metricwin.llm.common import small_batches
+
 UNDECIDED = "und"
 LETTER = regex.compile(r"\p{L}")
 #: What is no letter of a word: cases, signs and numbers tell no language.
@@ -154,7 +156,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """
     names = ("lang_pred", "score", "rejected")
     kept = [c for c in docs.columns if c.lower() not in names]
-    docs = docs.select(*[f"`{c}`" for c in kept])
+    docs = small_batches(docs).select(*[f"`{c}`" for c in kept])
     at = [c.lower() for c in kept].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import table
+from metricwin.llm.common import small_batches, table
 from metricwin.llm.components import components
 
 BITS = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                 [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 

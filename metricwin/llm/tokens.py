@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import table
+from metricwin.llm.common import small_batches, table
 
 #: Unicode white space, as a class of RE2. Fixed values.
 SPACE = (
@@ -37,7 +37,7 @@ BARE_WORD = rf"\A\x01[{LETTER}]+\z"
 SIGNS = r"[!-&(-/:-@\[-`{-~]+"
 SIGNED_WORD = rf"\A[{LETTER}]+{SIGNS}\z"
 BEFORE_SIGNS = "\x02"
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def byte_characters() -> dict[int, str]:
@@ -284,6 +284,21 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         yield first, len(sizes)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``most`` bytes of ``text``."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        own = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if held and size + own > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Append ``end_id`` to each document."""
     out = np.full(len(ids) + len(counts), end_id, np.uint32)
@@ -297,13 +312,13 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarr
 TOKEN_SCHEMA = "part long, doc_id long, local_start long, n_tokens long, ids binary"
 
 
-def _tokenised(path: str, end_id: int, wide: bool) -> Callable:
+def _tokenised(path: str, end_id: int, wide: bool, slice_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, start = encoder(path), 0
         kind = np.dtype("<u4" if wide else "<u2")
-        for batch in batches:
+        for batch in gathered(batches, slice_bytes):
             texts = batch.column("text")
-            for a, b in slices(texts):
+            for a, b in slices(texts, slice_bytes):
                 ids, counts = with_end(*enc.encode(texts.slice(a, b - a)), end_id)
                 starts = start + np.cumsum(counts) - counts
                 ends = np.concatenate([[0], np.cumsum(counts)]) * kind.itemsize
@@ -323,25 +338,35 @@ def _tokenised(path: str, end_id: int, wide: bool) -> Callable:
                     ],
                     names=["part", "doc_id", "local_start", "n_tokens", "ids"],
                 )
+                del ids, data, blobs
+                pa.default_memory_pool().release_unused()
 
     return run
 
 
-def token_table(docs: DataFrame, path: str, end_id: int, ordered: bool, label: str) -> DataFrame:
+def token_table(
+    docs: DataFrame,
+    path: str,
+    end_id: int,
+    ordered: bool,
+    label: str,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Write the ids of all documents once and return the written table.
 
     A row is one document: ``part``, the partition that wrote it; ``local_start``, the ids before
     it in that partition; ``n_tokens`` with the end id; ``ids`` as little-endian unsigned integers
     of 2 bytes, or 4 if the vocabulary needs them. With ``ordered`` partitions are ranges of
     ascending doc_id (null first, equal ids by text) and rows are sorted, else both are in the
-    order of the input.
+    order of the input. A task tokenises about ``slice_bytes`` of text at a time: more finds more
+    repeated words, and takes about twenty times that memory.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if ordered:
         rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
     wide = encoder(path).tokenizer.get_vocab_size() > 1 << 16
-    return table(rows.mapInArrow(_tokenised(path, end_id, wide), TOKEN_SCHEMA), label)
+    return table(rows.mapInArrow(_tokenised(path, end_id, wide, slice_bytes), TOKEN_SCHEMA), label)
 
 
 def ids_of(blob: bytes | memoryview, n_tokens: int) -> np.ndarray:
