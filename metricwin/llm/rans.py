@@ -403,7 +403,7 @@ def write_tokens(
     doc_ids follow each other by text; other columns are ignored; no documents give no blocks. A
     document longer than ``block_tokens`` is a block of its own and never cut.
     """
-    tokens = token_table(docs, tokenizer, end_id, ordered=True, label="token-ids", slice_bytes=16 << 20)
+    tokens = token_table(docs, tokenizer, end_id, ordered=True, label="token-ids", slice_bytes=24 << 20)
     seen = tokens.select("n_tokens", "ids").mapInArrow(_counted, "id long, n long")
     counts = {r["id"]: r["n"] for r in seen.groupBy("id").agg(F.sum("n").alias("n")).collect()}
     shared = Frequencies.of(counts)
