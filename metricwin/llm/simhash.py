@@ -57,8 +57,12 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer, for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer, for every row.
+
+    ``also`` names long columns that are handed on.
+    """
+    names = ["doc_id", "fp", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,12 +70,12 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             found = np.fromiter(
                 (fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts)
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
-            )
+            columns = [batch.column("doc_id"), pa.array(found.view(np.int64))]
+            columns += [batch.column(c) for c in also]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _segments(distance: int) -> list[tuple[int, int]]:
@@ -183,22 +187,29 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, distance: int = 2, shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest, one row for each component.
+def keep_one(
+    docs: DataFrame, distance: int = 2, shingle: int = 3, crowd: int = 128
+) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest doc_id, null the largest.
+
+    Rows are told apart by a row key, written with them, and not by doc_id: different texts under
+    one doc_id all stay, and a copy goes whether or not it has a doc_id. Of a component's rows with
+    its smallest doc_id the one with the smallest row key stays. A row with neither doc_id nor text
+    is no copy of anything and stays.
 
-    Only the ids to drop are joined with ``docs``, not the ids to keep: they are few, so that texts
-    are shuffled only if they are too many to broadcast. Of rows that repeat a kept doc_id one
-    stays; rows without doc_id stay, for nothing names them.
+    Only the rows to drop are joined with ``docs``, not the rows to keep: they are few, so that
+    texts are shuffled only if they are too many to broadcast.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), distance, shingle)
-    by_id = found.where("doc_id is not null").groupBy("doc_id")
-    # A doc_id with several texts is kept if any of them is its component's first.
-    ids = by_id.agg(
-        F.count("*").alias("rows"),
-        F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"),
-    )
-    special = table(ids.where("rows > 1 or stays = 0"), "simhash-special")
-    plain = docs.join(special.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    repeated = special.where("stays = 1").select("doc_id")
-    once = docs.join(repeated, "doc_id", "left_semi").select(docs.columns)
-    return plain.union(once.dropDuplicates(["doc_id"]))
+    key = "row_key"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    rows = table(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-rows")
+    texts = rows.where("doc_id is not null or text is not null")
+    fps = table(fingerprints(texts, shingle, (key,)), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key)
+    firsts = fps.groupBy("fp").agg(F.min(order).alias("first"))
+    linked = components(links(fps, distance, crowd), "simhash").withColumnRenamed("node", "fp")
+    rooted = firsts.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(f"first.{key}")
+    dropped = table(fps.select(key).join(kept, key, "left_anti"), "simhash-dropped")
+    return rows.join(dropped, key, "left_anti").select(docs.columns)

@@ -142,6 +142,27 @@ def test_keep_one(spark, awkward, no_docs):
     assert near_duplicates(no_docs).collect() == []
 
 
+def test_keep_one_goes_by_row(spark):
+    """A third under one id with texts of their own, a third without id that are copies."""
+    random.seed(8)
+    texts = [" ".join(random.choices("abcdefghijklmnop", k=40)) for _ in range(24)]
+    rows = [(-1, t) for t in texts[:8]] + [(100 + i, t) for i, t in enumerate(texts[8:16])]
+    rows += [(None, t) for t in texts[12:20]] * 2
+    # Under the shared id also copies of a text with a smaller and of one with a larger id.
+    rows += [(-1, texts[20]), (-7, texts[20]), (-1, texts[21]), (9, texts[21]), (-1, texts[0])]
+    random.shuffle(rows)
+    frame = spark.createDataFrame(
+        [(d, t, "own", k) for k, (d, t) in enumerate(rows)],
+        "doc_id long, text string, row_key string, nth int",
+    ).repartition(3, "nth")
+    kept = keep_one(frame)
+    assert kept.columns == frame.columns
+    want = [(-1, t) for t in texts[:8]] + [(100 + i, t) for i, t in enumerate(texts[8:16])]
+    want += [(None, t) for t in texts[16:20]] + [(-7, texts[20]), (-1, texts[21])]
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_components_of_awkward_graphs(spark):
     random.seed(2)
     chain = [(i, i + 1) for i in range(100, 160)]
