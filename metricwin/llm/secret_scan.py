@@ -8,6 +8,7 @@ where they lie and counted once; values are compared by hash only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +35,10 @@ NAMES = tuple(k[0] for k in KINDS) + VERDICTS
 SIEVES = (KINDS[0][1], r"AKIA[A-Z0-9]{12}", r"[0-9a-f]{32}")
 #: Runs that are too short need no row, and leaving them out moves no other match.
 SCANS = (KINDS[0][1], r"AKIA[A-Z0-9]{12,}", r"[0-9a-f]{32,}")
+#: A whole access key id.
+ACCESS_ID = r"\AAKIA[A-Z2-7]{16}\z"
+#: An assigned value without a digit is no mere word from this length on, or if its case is mixed.
+NO_WORD = 12
 
 
 @dataclass(frozen=True)
@@ -74,14 +79,37 @@ def _text_key(text: Column) -> Column:
     return F.when(may, F.sha2(text, 256))
 
 
+def has_digit(kind: Column, value: Column) -> Column:
+    """Op4's rule, as its SQL states it."""
+    return value.rlike("[0-9]")
+
+
+def may_be_secret(kind: Column, value: Column) -> Column:
+    """The rule to mask by: also key ids and hex runs by their form alone, and assigned values
+    without a digit that are long or mix upper and lower case."""
+    mixed = value.rlike("[a-z]") & value.rlike("[A-Z]")
+    return (
+        has_digit(kind, value)
+        | (kind == 2)
+        | ((kind == 1) & value.rlike(ACCESS_ID))
+        | ((kind == 0) & (mixed | (F.length(value) >= NO_WORD)))
+    )
+
+
 def scan(
-    docs: DataFrame, owner: Column, repository: Column, min_owners: int = 3, min_distinct: int = 6
+    docs: DataFrame,
+    owner: Column,
+    repository: Column,
+    min_owners: int = 3,
+    min_distinct: int = 6,
+    rule: Callable[[Column, Column], Column] = has_digit,
 ) -> Scan:
     """Find every kind in every whole ``text`` and judge each value by the whole corpus.
 
     A value that ``min_owners`` distinct owners or more hold is a widely copied ``example``. One
-    that fewer hold is ``live`` if it looks random (``min_distinct`` different characters, a digit
-    among them), else a ``placeholder``. Null owners or repositories count as one of their own.
+    that fewer hold is ``live`` if it has ``min_distinct`` different characters and ``rule`` holds
+    for its kind and itself, else a ``placeholder``. Null owners or repositories count as one of
+    their own.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
@@ -107,9 +135,8 @@ def scan(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     enough = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind") + 1)
-    looks_random = (F.size(F.array_distinct(F.split("value", ""))) >= min_distinct) & F.col(
-        "value"
-    ).rlike("[0-9]")
+    distinct = F.size(F.array_distinct(F.split("value", "")))
+    looks_live = (distinct >= min_distinct) & rule(F.col("kind"), F.col("value"))
     placed = (
         once.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far))
         .where(F.length("value") >= enough)
@@ -119,7 +146,7 @@ def scan(
             (F.col("end") - F.col("size")).alias("start"),
             "end",
             F.length("value").cast("long").alias("width"),
-            looks_random.alias("looks_random"),
+            looks_live.alias("looks_live"),
             F.sha2("value", 256).alias("candidate"),
         )
     )
@@ -138,7 +165,7 @@ def scan(
     judged = placed.join(spread, "candidate")
     verdict = (
         F.when(F.col("owners") >= min_owners, F.lit(len(KINDS) + VERDICTS.index("example")))
-        .when(F.col("looks_random"), F.lit(len(KINDS) + VERDICTS.index("live")))
+        .when(F.col("looks_live"), F.lit(len(KINDS) + VERDICTS.index("live")))
         .otherwise(F.lit(len(KINDS) + VERDICTS.index("placeholder")))
     )
     both = F.array(
@@ -217,9 +244,10 @@ def redact(
 ) -> DataFrame:
     """``docs`` with every live value in ``text`` replaced by ``mask``; ``n_chars`` follows if there.
 
-    No row is dropped; rows without a live value are returned as they are.
+    Live is judged by ``may_be_secret``: what ``secret_spans`` calls live, and more. No row is
+    dropped; rows without a live value are returned as they are.
     """
-    found = scan(docs, owner, repository, min_owners)
+    found = scan(docs, owner, repository, min_owners, rule=may_be_secret)
     live = found.spans.where(F.col("kind") == len(KINDS) + VERDICTS.index("live"))
     # Overlapping spans become one.
     by_start = Window.partitionBy("key").orderBy("start", "end")
