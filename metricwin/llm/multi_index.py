@@ -44,8 +44,17 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return centres
 
 
-def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: float) -> list[int]:
-    """Cells in ascending ``first[i] + second[j]`` until their sizes sum to ``enough``.
+def walk(
+    first: np.ndarray,
+    second: np.ndarray,
+    sizes: np.ndarray,
+    enough: float,
+    ids: dict[int, list[int]] | None = None,
+    own: int | None = None,
+    least: int = 0,
+) -> list[int]:
+    """Cells in ascending ``first[i] + second[j]`` until their sizes sum to ``enough`` and their
+    ``ids`` are ``least`` different ones besides ``own``, or no cell is left.
 
     The multi-sequence walk: a pair enters the heap once both its predecessors were taken.
     """
@@ -53,13 +62,16 @@ def walk(first: np.ndarray, second: np.ndarray, sizes: np.ndarray, enough: float
     a, b = first[by_first], second[by_second]
     taken = np.zeros((len(a), len(b)), bool)
     heap, cells, total = [(float(a[0] + b[0]), 0, 0)], [], 0.0
-    while heap and total < enough:
+    met: set[int] = set()
+    while heap and (total < enough or len(met) < least):
         _, i, j = heapq.heappop(heap)
         taken[i, j] = True
         cell = int(by_first[i]) * len(b) + int(by_second[j])
         if sizes[cell]:
             cells.append(cell)
             total += float(sizes[cell])
+            if len(met) < least:
+                met.update(i for i in ids[cell] if i != own)
         if i + 1 < len(a) and (j == 0 or taken[i + 1, j - 1]):
             heapq.heappush(heap, (float(a[i + 1] + b[j]), i + 1, j))
         if j + 1 < len(b) and (i == 0 or taken[i - 1, j + 1]):
@@ -115,7 +127,8 @@ def search(
     ``is_query`` is a condition on vec_id. The centroids are fitted on the ``sample`` vectors whose
     vec_id hashes lowest; every row is indexed. A query meets cells until they hold ``share`` of
     all entries, where a cell counts with four mean cells at most, so that one crowded cell does
-    not use up the walk; all entries of a met cell are reranked, crowded or not.
+    not use up the walk, and ``k`` candidates at least if there are so many; all entries of a met
+    cell are reranked, crowded or not.
 
     Returns query_id, rank (from 1), vec_id, score: Euclidean distance in double precision on the
     original vectors, nearest first, ties to the smaller vec_id, the query's own id left out.
@@ -158,6 +171,12 @@ def search(
         sizes[r["cell"]] = r["count"]
     counted = np.minimum(sizes, 4 * sizes.sum() / max(1, (sizes > 0).sum()))
     enough = share * counted.sum()
+    # k + 1 ids of a cell tell whether it alone has k besides a query's own.
+    lowest = Window.partitionBy("cell").orderBy("vec_id")
+    some = entries.select("cell", "vec_id").distinct().withColumn("nth", F.row_number().over(lowest))
+    ids: dict[int, list[int]] = {}
+    for r in some.where(F.col("nth") <= k + 1).collect():
+        ids.setdefault(r["cell"], []).append(r["vec_id"])
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,7 +184,10 @@ def search(
                 continue
             v = matrix(batch.column("v"), dim)
             a, b = squared(v[:, :half], first), squared(v[:, half:], second)
-            cells = [walk(x, y, counted, enough) for x, y in zip(a, b, strict=True)]
+            own = batch.column("vec_id").to_pylist()
+            cells = [
+                walk(x, y, counted, enough, ids, n, k) for x, y, n in zip(a, b, own, strict=True)
+            ]
             row = np.repeat(np.arange(len(v)), [len(c) for c in cells])
             flat = np.array([c for own in cells for c in own], np.int32)
             taken = batch.take(pa.array(row))

@@ -173,6 +173,18 @@ def test_fewer_vectors_than_asked(spark):
     ]
 
 
+@pytest.mark.parametrize("n", [4, 5, 11, 14, 20])
+def test_few_vectors_give_all_candidates_asked(spark, n):
+    """Distinct vectors, each in a cell of its own or nearly; one id has several of them."""
+    rng = np.random.default_rng(n)
+    rows = [(i, list(v)) for i, v in enumerate(rng.normal(size=(n, 8)).astype(np.float32))]
+    for many in (rows, rows + [(0, [-x for x in v]) for _, v in rows]):
+        got = multi_index.search(frame(spark, many), F.lit(True), k=10).groupBy("query_id").count()
+        assert {r["query_id"]: r["count"] for r in got.collect()} == {
+            i: min(10, n - 1) for i in range(n)
+        }
+
+
 def test_walk_goes_by_summed_distance():
     rng = np.random.default_rng(0)
     a, b = rng.random(7), rng.random(5)
