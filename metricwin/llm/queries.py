@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwin.llm import cover_tree, multi_index
+from metricwin.llm import cover_tree, multi_index, quality
 from metricwin.llm.common import read
 from metricwin.llm.fixity import compare
 from metricwin.llm.language import fit, held_out, predict
@@ -19,6 +19,8 @@ from metricwin.llm.rans import write_tokens
 from metricwin.llm.secret_scan import secret_spans
 from metricwin.llm.sharding import shard
 from metricwin.llm.simhash import near_duplicates
+from metricwin.llm.spelling import spelling_variants
+from metricwin.llm.whitening import whiten
 from metricwin.storage import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +93,20 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"), components=8, scale=1024, shift=100_000)
+
+
+def op12_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"), typo_every=97, symbols=6)
+
+
+def op13_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    rows = docs.select("doc_id", "text", quality.held_out(F.col("doc_id")).alias("held_out"))
+    return quality.predict(rows, quality.fit(docs, labels), threshold=0.3).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_virtual_slots": op1_virtual_slots,
     "op2_merkle_fixity": op2_merkle_fixity,
@@ -102,6 +118,9 @@ QUERIES: dict[str, Query] = {
     "op8_aho_viterbi": op8_aho_viterbi,
     "op9_concatenate_and_cut": op9_concatenate_and_cut,
     "op10_multi_index": op10_multi_index,
+    "op11_chebyshev_whitening": op11_chebyshev_whitening,
+    "op12_reduced_alphabet": op12_reduced_alphabet,
+    "op13_compression_quality": op13_compression_quality,
 }
 
 ORACLE: dict[str, str] = {"op2_merkle_fixity": FIXITY, "op4_secrets": SECRETS}
