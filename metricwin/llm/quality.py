@@ -15,11 +15,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from metricwin.llm.common import small_batches
+from metricwin.llm.common import small_batches, table
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,41 +78,42 @@ class Model:
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -30.0, 30.0))))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``label, place, text``: the rows to learn from, ``place`` a hash of the id.
+def labelled_ids(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label``: ids to learn from, labelled 0 or 1 and not held out.
 
-    Labels are 0 or 1, of rows that are not held out; of an id labelled both ways neither counts,
-    of rows that repeat an id the least text does.
+    Of an id that is labelled both ways neither label counts.
     """
     marks = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.where(~held_out(F.col("doc_id"))).groupBy("doc_id")
     marks = marks.agg(F.min(label).alias("label"), F.max(label).alias("other"))
-    marks = marks.where("label = other").select("doc_id", F.col("label").cast("int").alias("label"))
-    texts = docs.where(F.length("text") > 0).select("doc_id", "text")
-    place = F.xxhash64(F.col("doc_id").cast("long"))
-    return texts.join(marks, "doc_id").select("label", place.alias("place"), "doc_id", "text")
+    return marks.where("label = other").select("doc_id", F.col("label").cast("int").alias("label"))
 
 
-def _sample(rows: DataFrame, per_label: int, fold: int, counts: dict, most_chars: int | None) -> DataFrame:
-    """Of each label ``per_label`` rows of one of two folds, those whose id hashes lowest.
+def _sample(ids: DataFrame, per_label: int, fold: int) -> DataFrame:
+    """Of each label ``per_label`` ids of one of two folds, those that hash lowest.
 
-    Only rows below a hash that about three times as many have are brought together. With
+    Each label's are found as the first rows of an order, not in a group of their own.
+    """
+    place, spread = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit("order"))
+    rows = ids.where(F.pmod(place, F.lit(2)) == fold).withColumns({"place": place, "spread": spread})
+    found = [rows.where(F.col("label") == v).orderBy("spread", "doc_id").limit(per_label) for v in (0, 1)]
+    return found[0].unionAll(found[1])
+
+
+def _texts(docs: DataFrame, sample: DataFrame, most_chars: int | None) -> DataFrame:
+    """``label, spread, doc_id, text`` of the sampled ids; ids without a text are left out.
+
+    The sample, bounded by its parameters, goes to the documents, whose texts stay where they are
+    but for the sampled ones. Of rows that repeat an id the least text counts. With
     ``most_chars`` a text is cut to a stretch of it that its id picks.
     """
-    spread = F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30))
-    rows = rows.where(F.pmod("place", F.lit(2)) == fold).withColumn("spread", spread)
-    below = F.lit(None).cast("long")
-    for value, n in counts.items():
-        limit = min(1 << 30, int((1 << 30) * 6 * (per_label + 50) / max(n, 1)))
-        below = F.when(F.col("label") == value, limit).otherwise(below)
     text = F.col("text")
     if most_chars is not None:
         begin = F.pmod(F.col("place"), F.greatest(F.char_length(text) - most_chars, F.lit(0)) + 1)
         text = F.substr(text, (begin + 1).cast("int"), F.lit(most_chars))
-    near = rows.where(F.col("spread") < below).select("label", "spread", "place", text.alias("text"))
-    near = near.groupBy("label", "spread", "place").agg(F.min("text").alias("text"))
-    first = Window.partitionBy("label").orderBy("spread", "place")
-    return near.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_label)
+    rows = docs.where(F.length("text") > 0).select("doc_id", "text")
+    rows = rows.join(F.broadcast(sample), "doc_id").select("label", "spread", "doc_id", text.alias("text"))
+    return rows.groupBy("label", "spread", "doc_id").agg(F.min("text").alias("text"))
 
 
 def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -151,15 +152,15 @@ def fit(
 
     With one label only every score is 1 or 0 but for a hundredth; with none it is 0.5.
     """
-    rows = labelled(docs, labels, label)
-    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    ids = table(labelled_ids(labels, label), "labelled-ids")
+    counts = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     if len(counts) < 2:
         known = [float(v) for v in counts]
         return Model(b"", b"", level=4.6 * (2 * known[0] - 1) if known else 0.0)
-    sample = _sample(rows, per_label, 0, counts, most_chars).orderBy("label", "nth")
+    sample = table(_texts(docs, _sample(ids, per_label, 0), most_chars), "quality-texts")
     data = {0: b"", 1: b""}
     pieces: dict[int, list[str]] = {0: [], 1: []}
-    for r in sample.select("label", "text").collect():
+    for r in sample.orderBy("label", "spread", "doc_id").select("label", "text").collect():
         pieces[r["label"]].append(r["text"])
     for value, texts in pieces.items():
         data[value] = "\n".join(dict.fromkeys(texts)).encode("utf-8", "surrogatepass")
@@ -168,7 +169,8 @@ def fit(
         return Model(b"", b"", level=float(np.log(counts[1] / counts[0])))
     # Equal sizes, or the larger one would win by its size.
     model = Model(data[1][:most], data[0][:most], strength=strength, stretch=stretch)
-    others = _sample(rows, calibration_rows, 1, counts, None).select("label", "text")
+    others = table(_texts(docs, _sample(ids, calibration_rows, 1), None), "quality-texts")
+    others = others.select("label", "text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
