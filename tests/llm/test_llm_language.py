@@ -3,6 +3,8 @@
 import zlib
 
 import pytest
+import regex
+import zstandard
 from pyspark.sql import functions as F
 
 from metricwin.llm.language import Model, fit, held_out, predict, training_texts
@@ -103,3 +105,71 @@ def test_ties_and_one_language():
     assert same.predict("some words") == ("a", 0.0, True)
     alone = Model({"a": b"some words here"})
     assert alone.predict("some words")[::2] == ("a", False)
+
+
+def encoded(data, dictionary, level, source):
+    """Bytes of a frame, by a coder made for it alone."""
+    own = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    parameters = zstandard.ZstdCompressionParameters.from_level(
+        level, source_size=source, dict_size=len(dictionary),
+        write_content_size=False, write_dict_id=False,
+    )
+    return len(zstandard.ZstdCompressor(dict_data=own, compression_params=parameters).compress(data))
+
+
+def second_version(text, dictionaries):
+    """The choice written out anew: sizes in stretches, ties by the dictionaries' parts."""
+    if text is None or not regex.search(r"\p{L}", text):
+        return "und", 0.0, True
+    data = regex.sub(r"[^\p{L}\p{M}\p{N}_]+|[\d_]+", " ", text.lower())
+    data = regex.sub(" +", " ", data).encode()
+    names = sorted(dictionaries)
+
+    def judged(sizes):
+        ranked = sorted(zip(sizes, names, strict=True))
+        lead = (ranked[1][0] - ranked[0][0]) / ranked[1][0]
+        return ranked[0][1], lead, lead < 0.005
+
+    stretches = [data[a : a + 1024] for a in range(0, len(data), 1024)]
+    found = judged([sum(encoded(s, dictionaries[n], 6, 1024) for s in stretches) for n in names])
+    if not found[2] or len(text) >= 1024:
+        return found
+    finer = []
+    for n in names:
+        size, total = len(dictionaries[n]) // 32, 0
+        for i in range(32):
+            part = dictionaries[n][i * size : (i + 1) * size]
+            carrier = part[size // 2 : size // 2 + 96]
+            both = carrier + b" " + data.strip() + b" "
+            total += encoded(both, part, 19, 512) - encoded(carrier, part, 19, 512)
+        finer.append(total)
+    return judged(finer)
+
+
+def test_equals_a_second_version(docs, model):
+    rows = docs.orderBy(F.length("text"), "doc_id").limit(25).collect()
+    rows += docs.orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary"))).limit(15).collect()
+    tied = 0
+    for text in [r["text"] for r in rows] + ["This.", "De", "a_b 12 c", "ÉTÉ; à", None, "12"]:
+        want = second_version(text, model.dictionaries)
+        assert model.predict(text) == want, text
+        tied += text is not None and model._first(model.sizes(text))[1] < 0.005
+    assert tied > 3
+
+
+def test_short_texts_are_decided(spark):
+    """Of the lettered texts below 50 characters few are rejected and most are right."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = predict(docs.where("length(text) < 50 and lang is not null"), fit(docs)).collect()
+    short = [r for r in found if regex.search(r"\p{L}", r["text"])]
+    assert len(short) > 100
+    assert sum(r["rejected"] for r in short) < 0.05 * len(short)
+    assert sum(r["lang_pred"] == r["lang"] for r in short) > 0.9 * len(short)
+
+
+def test_languages_are_bounded(spark):
+    rows = [(i, f"some text number {i} of many", f"l{i % 90:02d}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({r["lang"] for r in training_texts(docs, 5, 100).collect()}) == 64
+    few = training_texts(docs, 5, 100, most_languages=3).collect()
+    assert len({r["lang"] for r in few}) == 3

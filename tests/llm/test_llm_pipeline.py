@@ -42,7 +42,7 @@ def test_language_drops_only_what_it_rejects(stages):
     model = language.fit(before)
     kept = [r for r in before.collect() if not model.predict(r["text"])[2]]
     assert rows(after, *before.columns) == sorted((tuple(r) for r in kept), key=str)
-    assert 0.97 * before.count() < after.count() < before.count()
+    assert 0.98 * before.count() < after.count() <= before.count()
 
 
 def test_near_duplicates_leave_one_of_each_group(stages):
@@ -103,5 +103,5 @@ def test_registered():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14))
     assert "pipeline" in names
