@@ -88,10 +88,28 @@ class Block:
     ids: np.ndarray
 
 
-def encode(blocks: list[Block], table: Frequencies, lanes: int, steps: int) -> list[bytes]:
-    """The bytes of each block. All blocks advance together, one interleaved round at a time."""
-    if not blocks:
-        return []
+#: Ids encoded or decoded at a time, shorter blocks padded to the longest among them.
+TOGETHER = 1 << 22
+
+
+def encode(
+    blocks: list[Block], table: Frequencies, lanes: int, steps: int, together: int = TOGETHER
+) -> list[bytes]:
+    """The bytes of each block. Blocks of like length advance together, ``together`` ids at most
+    unless a single block has more, so that a long one pads no others."""
+    sizes = np.array([len(b.ids) for b in blocks], np.int64)
+    out: list[bytes] = [b""] * len(blocks)
+    order = np.argsort(-sizes, kind="stable").tolist()
+    while order:
+        n = max(1, together // max(1, int(sizes[order[0]])))
+        own, order = order[:n], order[n:]
+        for i, blob in zip(own, _advance([blocks[i] for i in own], table, lanes, steps), strict=True):
+            out[i] = blob
+    return out
+
+
+def _advance(blocks: list[Block], table: Frequencies, lanes: int, steps: int) -> list[bytes]:
+    """The bytes of each block, all advancing together, one interleaved round at a time."""
     rounds = np.array([-(-len(b.ids) // lanes) for b in blocks])
     order = np.argsort(-rounds, kind="stable")
     longest = int(rounds[order[0]])
@@ -340,8 +358,14 @@ DOC_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"
 def _decoded(table: Frequencies, keep_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 32):
-                rows = batch.slice(a, 32)
+            sizes = batch.column("n_tokens").to_pylist()
+            a = 0
+            while a < batch.num_rows:
+                b, held = a + 1, sizes[a]
+                while b < min(a + 32, batch.num_rows) and held + sizes[b] <= TOGETHER:
+                    held += sizes[b]
+                    b += 1
+                rows, a = batch.slice(a, b - a), b
                 blocks = decode([c.as_buffer() for c in rows.column("data")], table)
                 starts = (rows.column("base").to_numpy() + rows.column("local_start").to_numpy())
                 docs, firsts, sizes, crcs, kept = [], [], [], [], []
@@ -400,7 +424,7 @@ def write_tokens(
     The corpus is tokenised once, in ranges of doc_id. Counts of ids come from all documents; the
     table has a row for each id of the vocabulary that occurs, which bounds what the driver gets.
     Null and empty texts are the end id alone; a null doc_id comes first and stays null; repeated
-    doc_ids follow each other by text; other columns are ignored; no documents give no blocks. A
+    doc_ids follow each other by a hash of their text; other columns are ignored; no documents give no blocks. A
     document longer than ``block_tokens`` is a block of its own and never cut.
     """
     tokens = token_table(docs, tokenizer, end_id, ordered=True, label="token-ids", slice_bytes=24 << 20)

@@ -4,11 +4,15 @@ Texts repeat their words, so ``TextEncoder`` cuts some megabytes of them at plac
 tokenizer's own pre-tokenizer always cuts, and encodes each distinct cut once with the library.
 Texts whose white space makes such cuts unsafe are encoded whole. Both ways give the ids of the
 library on the whole text, which the tests compare.
+
+As the library does by itself, the strings of its special tokens in a text give those tokens' ids;
+texts that hold one are encoded whole. ``plain_specials`` makes them ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -50,18 +54,22 @@ def byte_characters() -> dict[int, str]:
 
 
 class TextEncoder:
-    """Encodes texts with a file of the ``tokenizers`` library; special tokens are plain text.
+    """Encodes texts with a file of the ``tokenizers`` library, without adding special tokens.
 
     Nothing is kept between calls: a call's texts are cut, its distinct cuts are encoded and its
     ids are put together from theirs. Pass as much text at once as memory allows.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        written = [re.escape(t.content) for t in added if not (plain_specials and t.special)]
+        # In any case, as the tokenizer may lower texts before it looks for them.
+        self.written = "(?i)" + "|".join(written) if written else None
         # Does the white space before a word, or its case, take part in its ids?
         self.spaced = self._whole("a") != self._whole(" a")
         self.lowers = self._whole("A") == self._whole("a")
@@ -237,6 +245,8 @@ class TextEncoder:
 
     def _unsafe(self, texts: pa.Array) -> np.ndarray:
         found = pc.match_substring(texts, NO_SPACE_BEFORE)
+        if self.written:
+            found = pc.or_(found, pc.match_substring_regex(texts, self.written))
         if self.spaced:
             at_ends = pc.match_substring_regex(texts, r"^[ \n]|[ \n]\z")
             beside = pc.match_substring_regex(texts, rf"[ \n][{SPACE}]|[{SPACE}][ \n]")
@@ -266,9 +276,9 @@ class TextEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, plain_specials: bool = False) -> TextEncoder:
     """One encoder for each Python worker."""
-    return TextEncoder(path)
+    return TextEncoder(path, plain_specials)
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -357,13 +367,19 @@ def token_table(
     A row is one document: ``part``, the partition that wrote it; ``local_start``, the ids before
     it in that partition; ``n_tokens`` with the end id; ``ids`` as little-endian unsigned integers
     of 2 bytes, or 4 if the vocabulary needs them. With ``ordered`` partitions are ranges of
-    ascending doc_id (null first, equal ids by text) and rows are sorted, else both are in the
+    ascending doc_id (null first, equal ids by a hash of the text, so that many rows of one id are
+    several partitions) and rows are sorted, else both are in the
     order of the input. A task tokenises about ``slice_bytes`` of text at a time: more finds more
     repeated words, and takes about twenty times that memory.
     """
     rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if ordered:
-        rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+        # Rows of one id are told apart by their text; equal rows may come in any order.
+        rows = rows.withColumns(
+            {"tie": F.xxhash64("text"), "spread": F.monotonically_increasing_id()}
+        )
+        rows = rows.repartitionByRange("doc_id", "tie", "spread")
+        rows = rows.sortWithinPartitions("doc_id", "tie", "spread").drop("tie", "spread")
     rows = rows.withColumn("part", F.spark_partition_id().cast("long"))
     wide = encoder(path).tokenizer.get_vocab_size() > 1 << 16
     return table(rows.mapInArrow(_tokenised(path, end_id, wide, slice_bytes), TOKEN_SCHEMA), label)

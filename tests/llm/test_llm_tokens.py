@@ -1,18 +1,20 @@
 """Tokens, range-ANS files and packing against the library and brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from metricwin.llm.packing import pack
 from metricwin.llm.rans import Block, Frequencies, decode, encode, write_tokens
-from metricwin.llm.tokens import TextEncoder
+from metricwin.llm.tokens import TextEncoder, token_table
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,7 +27,6 @@ BITS = [
 
 def whole(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -50,6 +51,19 @@ def test_encoder_gives_the_librarys_ids(path):
             assert ids[end - n : end].tolist() == of(text), repr(text)
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_special_tokens_strings(path):
+    """The library's own ids by default, ordinary text if asked for."""
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|startoftext|>b.", "x <|endoftext|"]
+    ids, counts = TextEncoder(path).encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in whole(path)(t)]
+    ordinary = Tokenizer.from_file(path)
+    ordinary.encode_special_tokens = True
+    plain, _ = TextEncoder(path, plain_specials=True).encode(pa.array(texts))
+    want = [i for t in texts for i in ordinary.encode(t, add_special_tokens=False).ids]
+    assert plain.tolist() == want != ids.tolist()
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 def test_encoder_without_its_shortcuts(path):
     texts = ["The cat, the DOG.\nThe end!! x$$$", "na\u00efve 12 a.b", ""]
@@ -115,8 +129,13 @@ def test_compressed_below_the_plain_ids():
 
 
 def expected_files(rows, of):
-    """doc_id, start, n_tokens, crc in ascending doc_id order, null first, ties by text."""
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    """doc_id, start, n_tokens, crc in ascending doc_id order, null first, ties by a hash."""
+
+    def tie(text):
+        value = 42 if text is None else xxhash.xxh64(text.encode(), seed=42).intdigest()
+        return value - (value >> 63 << 64)
+
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
     start, out = 0, []
     for doc_id, text, *_ in order:
         ids = [*of(text), 1]
@@ -197,3 +216,38 @@ def test_packing_the_table(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
     pieces = pack(docs.repartition(5, F.col("doc_id")), BYTES).collect()
     check_pieces(pieces, [tuple(r) for r in docs.collect()], whole(BYTES), 2048)
+
+
+def test_many_rows_of_one_id_are_several_partitions(spark):
+    rows = [(None if i % 2 else i, f"text number {i % 50}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokens = token_table(docs, WORDS, 1, ordered=True, label="hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sizes = [r["count"] for r in tokens.where("doc_id is null").groupBy("part").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 2400
+    got = [tuple(r) for r in write_tokens(docs, WORDS).documents().orderBy("start").collect()]
+    assert got == expected_files(rows, whole(WORDS))
+
+
+def test_a_long_block_pads_no_others():
+    """Memory of one long document among many short ones stays near its own."""
+    rng = np.random.default_rng(8)
+
+    def block(n):
+        ids = rng.integers(0, 5000, n).astype(np.uint32)
+        return Block(np.array([1]), np.array([False]), np.array([n]), ids)
+
+    blocks = [block(1 << 16) for _ in range(63)] + [block(2_000_000)]
+    seen = np.bincount(np.concatenate([b.ids for b in blocks]))
+    table = Frequencies.of({i: int(n) for i, n in enumerate(seen) if n})
+    tracemalloc.start()
+    blobs = encode(blocks, table, 64, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
+    back = decode(blobs[-2:], table)
+    assert all((x.ids == y.ids).all() for x, y in zip(back, blocks[-2:], strict=True))
