@@ -34,7 +34,12 @@ with texts as (
 ), judged as (
   select rid, stop - width as start, stop, owners, repositories,
          case when owners >= 3 then 4
-              when len(list_distinct(string_split(v, ''))) >= 6 and regexp_matches(v, '[0-9]') then 3
+              when len(list_distinct(string_split(v, ''))) >= 6
+                   and (regexp_matches(v, '[0-9]') or kind = 2
+                        or (kind = 1 and regexp_full_match(v, 'AKIA[A-Z2-7]{16}'))
+                        or (kind = 0 and (length(v) >= 12
+                                          or regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]'))))
+              then 3
               else 5 end as kind
   from base join spread using (v)
 ), every as (

@@ -8,7 +8,6 @@ where they lie and counted once; values are compared by hash only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -79,17 +78,12 @@ def _text_key(text: Column) -> Column:
     return F.when(may, F.sha2(text, 256))
 
 
-def has_digit(kind: Column, value: Column) -> Column:
-    """Op4's rule, as its SQL states it."""
-    return value.rlike("[0-9]")
-
-
 def may_be_secret(kind: Column, value: Column) -> Column:
-    """The rule to mask by: also key ids and hex runs by their form alone, and assigned values
-    without a digit that are long or mix upper and lower case."""
+    """Key ids and hex runs by their form alone; values with a digit; and assigned values without
+    one that are long or mix upper and lower case."""
     mixed = value.rlike("[a-z]") & value.rlike("[A-Z]")
     return (
-        has_digit(kind, value)
+        value.rlike("[0-9]")
         | (kind == 2)
         | ((kind == 1) & value.rlike(ACCESS_ID))
         | ((kind == 0) & (mixed | (F.length(value) >= NO_WORD)))
@@ -102,13 +96,12 @@ def scan(
     repository: Column,
     min_owners: int = 3,
     min_distinct: int = 6,
-    rule: Callable[[Column, Column], Column] = has_digit,
 ) -> Scan:
     """Find every kind in every whole ``text`` and judge each value by the whole corpus.
 
     A value that ``min_owners`` distinct owners or more hold is a widely copied ``example``. One
-    that fewer hold is ``live`` if it has ``min_distinct`` different characters and ``rule`` holds
-    for its kind and itself, else a ``placeholder``. Null owners or repositories count as one of
+    that fewer hold is ``live`` if it has ``min_distinct`` different characters and passes
+    ``may_be_secret``, else a ``placeholder``. Null owners or repositories count as one of
     their own.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -136,7 +129,7 @@ def scan(
     )
     enough = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS]), F.col("kind") + 1)
     distinct = F.size(F.array_distinct(F.split("value", "")))
-    looks_live = (distinct >= min_distinct) & rule(F.col("kind"), F.col("value"))
+    looks_live = (distinct >= min_distinct) & may_be_secret(F.col("kind"), F.col("value"))
     placed = (
         once.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(so_far))
         .where(F.length("value") >= enough)
@@ -235,21 +228,16 @@ def secret_spans(
     )
 
 
-def redact(
-    docs: DataFrame,
-    owner: Column,
-    repository: Column,
-    min_owners: int = 3,
-    mask: str = "[secret]",
-) -> DataFrame:
-    """``docs`` with every live value in ``text`` replaced by ``mask``; ``n_chars`` follows if there.
+#: Code points of a block of a text that is cut; places are found within a block.
+BLOCK = 4096
+
+
+def _cuts_by_block(live: DataFrame) -> DataFrame:
+    """``key, cuts``: block number -> stretches to cut there, in order, as begin, end, opens.
 
-    Live is judged by ``may_be_secret``: what ``secret_spans`` calls live, and more. No row is
-    dropped; rows without a live value are returned as they are.
+    Overlapping spans are one stretch; one that reaches over a block's end is cut in each block
+    and opens in its first.
     """
-    found = scan(docs, owner, repository, min_owners, rule=may_be_secret)
-    live = found.spans.where(F.col("kind") == len(KINDS) + VERDICTS.index("live"))
-    # Overlapping spans become one.
     by_start = Window.partitionBy("key").orderBy("start", "end")
     reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     runs = (
@@ -259,25 +247,75 @@ def redact(
         .withColumn("run", F.sum("opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("key", "run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
     )
-    named = docs.withColumn("__key", _text_key(F.col("text")))
-    runs = runs.select(F.col("key").alias("__key"), F.col("runs").alias("__runs"))
-    hits = named.where("__key is not null").join(runs, "__key", "left")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.col("__runs")["end"])
-    starts = F.concat(F.col("__runs")["start"], F.array(F.length("text").cast("long")))
+    first, last = F.floor(F.col("start") / BLOCK), F.floor((F.col("end") - 1) / BLOCK)
+    parts = runs.select("key", "start", "end", F.explode(F.sequence(first, last)).alias("block"))
+    base = F.col("block") * BLOCK
+    cut = F.struct(
+        F.greatest(F.col("start") - base, F.lit(0)).cast("int").alias("begin"),
+        F.least(F.col("end") - base, F.lit(BLOCK)).cast("int").alias("end"),
+        (F.col("start") >= base).alias("opens"),
+    )
+    blocks = parts.groupBy("key", "block").agg(F.sort_array(F.collect_list(cut)).alias("cuts"))
+    entries = F.collect_list(F.struct(F.col("block").cast("int"), F.col("cuts")))
+    return blocks.groupBy("key").agg(F.map_from_entries(entries).alias("cuts"))
+
+
+def _without(block: Column, cuts: Column, mask: str) -> Column:
+    """A block's text with ``mask`` where a cut opens and nothing where it goes on."""
+    ends = F.concat(F.array(F.lit(0)), cuts["end"])
+    begins = F.concat(cuts["begin"], F.array(F.lit(BLOCK)))
+    opens = F.concat(F.array(F.lit(False)), cuts["opens"])
+    pieces = F.arrays_zip(ends.alias("a"), begins.alias("b"), opens.alias("opens"))
     kept = F.transform(
-        F.arrays_zip(ends.alias("a"), starts.alias("b")),
-        lambda x: F.substring(F.col("text"), (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")),
+        pieces,
+        lambda x: F.concat(
+            F.when(x["opens"], F.lit(mask)).otherwise(F.lit("")),
+            F.substring(block, x["a"] + 1, x["b"] - x["a"]),
+        ),
+    )
+    return F.when(cuts.isNull(), block).otherwise(F.array_join(kept, ""))
+
+
+def redact(
+    docs: DataFrame,
+    owner: Column,
+    repository: Column,
+    min_owners: int = 3,
+    mask: str = "[secret]",
+) -> DataFrame:
+    """``docs`` with every live value in ``text`` replaced by ``mask``; ``n_chars`` follows if there.
+
+    No row is dropped; rows without a live value are returned as they are, whatever their other
+    columns are called. Each text is sieved once: the rows are written with the hash of those
+    that may hold something, and only these are scanned. A text is cut block by block, in time
+    linear in its length and its secrets.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(
+        row.alias("row"),
+        _text_key(F.col("text")).alias("key"),
+        F.when(F.length("text") > 0, owner).alias("owner"),
+        F.when(F.length("text") > 0, repository).alias("repository"),
     )
-    clean = F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.array_join(kept, mask))
-    values = [clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    changed = hits.select(*values, "__runs")
+    rows = table(rows, "secret-sieved")
+    hits = rows.where("key is not null")
+    scanned = hits.select(F.lit(0).alias("doc_id"), F.col("row.text").alias("text"), "owner", "repository")
+    found = scan(scanned, F.col("owner"), F.col("repository"), min_owners)
+    live = found.spans.where(F.col("kind") == len(KINDS) + VERDICTS.index("live"))
+    text = F.col("row.text")
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % BLOCK), F.lit(0))
+    clean = F.array_join(
+        F.transform(blocks, lambda b, i: _without(b, F.try_element_at(F.col("cuts"), i), mask)), ""
+    )
+    joined = hits.join(_cuts_by_block(live), "key", "left")
+    joined = joined.withColumn("clean", F.when(F.col("cuts").isNotNull(), clean))
+    values = {c: F.col("row")[c] for c in docs.columns}
+    changed = dict(values, text=F.coalesce("clean", text))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        size = F.when(F.col("__runs").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        changed = changed.withColumn("n_chars", size.cast(kind))
-    return changed.select(*[f"`{c}`" for c in docs.columns]).union(
-        named.where("__key is null").select(*[f"`{c}`" for c in docs.columns])
-    )
+        changed["n_chars"] = F.when(F.col("clean").isNotNull(), F.length("clean").cast(kind)).otherwise(
+            values["n_chars"]
+        )
+    untouched = rows.where("key is null").select(*[v.alias(c) for c, v in values.items()])
+    return joined.select(*[v.alias(c) for c, v in changed.items()]).union(untouched)
