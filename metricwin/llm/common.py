@@ -49,17 +49,10 @@ def clean_vector(vector: str | Column, dim: int | None = None) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def common_length(vectors: DataFrame, column: str) -> int:
-    """The most frequent length among sound vectors (the larger on a tie); 0 if there is none."""
-    rows = (
-        vectors.where(clean_vector(column))
-        .groupBy(F.size(column).alias("dim"))
-        .count()
-        .orderBy(F.desc("count"), F.desc("dim"))
-        .limit(1)
-        .collect()
-    )
-    return int(rows[0]["dim"]) if rows else 0
+def lengths(vectors: DataFrame, column: str) -> list[int]:
+    """The lengths that occur among sound vectors, in order: a few, as models have few."""
+    sizes = vectors.where(clean_vector(column)).select(F.size(column).alias("dim")).distinct()
+    return sorted(r["dim"] for r in sizes.collect())
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:

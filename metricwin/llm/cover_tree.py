@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import common_length, matrix, table
+from metricwin.llm.common import matrix, table
 from metricwin.llm.components import components
 
 #: Radii of the levels on the unit sphere; below the last every vector is its own node.
@@ -296,33 +297,41 @@ def _link_whole(links, x: Level, y: Level, p, q, wa, wb, n: int, same: bool) ->
     links.edges.append((rows + n, partner[y.node_of[rows]]))
 
 
-def _keyed(dim: int):
-    """Vectors as doubles with a key of their bytes, null for those that take no part."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, vectors = [], []
-            for i, cell in zip(
-                batch.column("vec_id").to_pylist(), batch.column("embedding"), strict=True
-            ):
-                values = cell.values
-                v = None
-                if i is not None and values is not None and dim and len(values) == dim:
-                    if not values.null_count:
-                        v = values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
-                        norm = float((v**2).sum()) if np.isfinite(v).all() else 0.0
-                        if not (0 < norm < math.inf):
-                            v = None
-                keys.append(None if v is None else hashlib.blake2b(v, digest_size=16).hexdigest())
-                vectors.append(v)
-            columns = [
-                batch.column("vec_id"),
-                pa.array(keys, pa.string()),
-                pa.array(vectors, pa.list_(pa.float64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "key", "v"])
+def _usable(values: pa.Array) -> np.ndarray | None:
+    """A vector as doubles, None if it is zero, empty or holds null or non-finite components.
 
-    return run
+    One whose squares would run over or under is scaled by a power of two, which leaves its
+    direction as it is.
+    """
+    if not len(values) or values.null_count:
+        return None
+    v = values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
+    if not np.isfinite(v).all():
+        return None
+    largest = float(np.abs(v).max())
+    if not largest:
+        return None
+    if not 1e-100 < largest < 1e100:
+        v = np.ldexp(v, -math.frexp(largest)[1])
+    return v
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors as doubles with a key of their bytes, null for those that take no part."""
+    for batch in batches:
+        keys, vectors = [], []
+        for i, cell in zip(
+            batch.column("vec_id").to_pylist(), batch.column("embedding"), strict=True
+        ):
+            v = None if i is None or cell.values is None else _usable(cell.values)
+            keys.append(None if v is None else hashlib.blake2b(v, digest_size=16).hexdigest())
+            vectors.append(v)
+        columns = [
+            batch.column("vec_id"),
+            pa.array(keys, pa.string()),
+            pa.array(vectors, pa.list_(pa.float64())),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "key", "v"])
 
 
 def _spread(u: np.ndarray, k: int) -> np.ndarray:
@@ -354,16 +363,16 @@ def near_duplicates(
     are taken from the ``sample`` classes whose key is lowest and only guide which blocks meet;
     the result does not depend on them.
 
-    Vectors that are null, empty, zero, hold null or non-finite components, have another length
-    than most, or have no vec_id link with nothing: no links, their own component. Repeated rows
-    are rows of their own, linked with each other. Other columns are ignored, labels too; no rows
+    Vectors that are null, empty, zero, hold null or non-finite components, or have no vec_id link
+    with nothing: no links, their own component. Vectors of different lengths do not link; each
+    length (few are expected) is gone through in turn. Repeated rows are rows of their own, linked
+    with each other. Other columns are ignored, labels too; no rows
     give no rows.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    dim = common_length(rows, "embedding")
     rows = table(
-        rows.mapInArrow(_keyed(dim), "vec_id long, key string, v array<double>"), "cover-vectors"
+        rows.mapInArrow(_keyed, "vec_id long, key string, v array<double>"), "cover-vectors"
     )
     classes = (
         rows.where("key is not null")
@@ -374,7 +383,12 @@ def near_duplicates(
         .withColumn("class", F.monotonically_increasing_id())
     )
     classes = table(classes, "cover-classes")
-    linked = _links(spark, classes, dim, cosine, block, most_cells, sample)
+    dims = classes.select(F.size("v").alias("dim")).distinct().orderBy("dim").collect()
+    parts = [
+        _links(spark, classes.where(F.size("v") == d["dim"]), d["dim"], cosine, block, most_cells, sample)
+        for d in dims
+    ]
+    linked = reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], LINK_SCHEMA)
     hung = linked.where("label != class").select(F.col("class").alias("u"), F.col("label").alias("v"))
     roots = components(hung, "cover").withColumnRenamed("node", "class")
     counts = linked.groupBy("class").agg(F.sum("links").alias("links"))

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import clean_vector, common_length, matrix, table
+from metricwin.llm.common import clean_vector, lengths, matrix, table
 
 ENTRY_SCHEMA = "vec_id long, v array<double>, cell int, salt int"
 PROBE_SCHEMA = "vec_id long, v array<double>, cell int, salt int"
@@ -132,19 +133,40 @@ def search(
 
     Returns query_id, rank (from 1), vec_id, score: Euclidean distance in double precision on the
     original vectors, nearest first, ties to the smaller vec_id, the query's own id left out.
-    Vectors that are null, zero, hold null or non-finite components, have no vec_id, or another
-    length than most, take no part. Repeated vec_ids are one candidate at their smallest distance
+    Vectors that are null, zero, hold null or non-finite components, or have no vec_id take no part.
+    Vectors of different lengths have no distance: each length (few are expected) has an index of
+    its own, gone through in turn. Repeated vec_ids are one candidate at their smallest distance
     and one query. Other columns are ignored; no queries or no other vectors give no rows.
     """
     names = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    dim = common_length(names, "embedding")
-    sound = names.where(clean_vector("embedding", dim)).where("vec_id is not null")
-    sound = sound.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    picked = sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    if not picked:
-        return vectors.sparkSession.createDataFrame(
-            [], "query_id long, rank int, vec_id long, score double"
+    names = names.where("vec_id is not null")
+    found = [
+        _search_length(
+            names.where(clean_vector("embedding", dim)), dim, is_query, k, centres, share, sample, block
         )
+        for dim in lengths(names, "embedding")
+    ]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], RESULT_SCHEMA)
+    if len(found) == 1:
+        return found[0]
+    # An id with vectors of several lengths is one query: its candidates are ranked together.
+    both = reduce(DataFrame.union, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    by_score = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = both.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+RESULT_SCHEMA = "query_id long, rank int, vec_id long, score double"
+
+
+def _search_length(
+    names: DataFrame, dim: int, is_query, k: int, centres: int, share: float, sample: int, block: int
+) -> DataFrame:
+    """``search`` among sound vectors of one length."""
+    spark = names.sparkSession
+    sound = names.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    picked = sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     half = max(1, dim // 2)
     fitted = np.array([r["v"] for r in picked], np.float64)
     first = centroids(fitted[:, :half], centres)
@@ -199,7 +221,7 @@ def search(
     probes = table(queries.mapInArrow(probe, PROBE_SCHEMA), "multi-probes")
     asked = {r["cell"]: r["count"] for r in probes.groupBy("cell").count().collect()}
     # For each cell its blocks of entries and of queries; centres squared rows at most.
-    parts = vectors.sparkSession.createDataFrame(
+    parts = spark.createDataFrame(
         [
             (c, max(1, -(-int(sizes[c]) // block)), max(1, -(-n // block)))
             for c, n in asked.items()

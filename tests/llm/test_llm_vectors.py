@@ -211,3 +211,36 @@ def test_recall_of_the_query(spark):
         d[q] = np.inf
         hits += len(got[int(ids[q])] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
     assert hits / (10 * len(got)) >= 0.93
+
+
+def test_every_length_takes_part(spark):
+    """Vectors of several lengths: each among its own kind, by brute force."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(6, 8)).astype(np.float32).astype(float)
+    rows = [(i, list(base[i % 6] + 0.01 * (i // 6))) for i in range(30)]
+    rows += [(100 + i, [1.0, 0.0, 0.5 if i < 4 else -9.0]) for i in range(6)]
+    rows += [(200, [3.0]), (201, [5.0]), (202, [-1.0])]
+    got = cover_tree.near_duplicates(frame(spark, rows), cosine=0.95).collect()
+    links = {r["vec_id"]: r["n_links"] for r in got}
+    roots = {r["vec_id"]: r["component_id"] for r in got}
+
+    def cosine(a, b):
+        return np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b))
+
+    for i, v in rows:
+        near = [j for j, w in rows if j != i and len(v) == len(w) and cosine(v, w) >= 0.95]
+        assert links[i] == len(near), i
+    assert [roots[i] for i in (103, 105, 200, 201, 202)] == [100, 104, 200, 200, 202]
+    found = multi_index.search(frame(spark, rows), F.col("vec_id") % 100 == 0, k=3, share=1.0)
+    by_query = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by_query.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert by_query[100] == [101, 102, 103] and by_query[200] == [201, 202]
+    assert len(by_query[0]) == 3 and max(by_query[0]) < 100
+
+
+def test_very_large_and_very_small_vectors_link(spark):
+    rows = [(i, [s * x for x in (1.0, 2.0, -1.0)]) for i, s in enumerate((1e200, 3e200, 1e-200, 1.0))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = cover_tree.near_duplicates(table, cosine=0.95).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(3, 0)}
