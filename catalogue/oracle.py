@@ -103,8 +103,8 @@ accepted AS (SELECT * FROM parsed WHERE reason IS NULL)"""
 DEDUPED = f"""{MESSAGES},
 deduped AS (
   SELECT * FROM accepted
-  QUALIFY ts = '' OR row_number() OVER (
-    PARTITION BY metric, server_id, ts ORDER BY record_ts, event_id) = 1)"""
+  QUALIFY ts = '' OR server_id = 'unknown' OR row_number() OVER (
+    PARTITION BY metric, server_id, event_time, value ORDER BY record_ts, event_id) = 1)"""
 
 
 def _joined(spec: Job, source: str = "wide", key: str = "ts") -> str:
@@ -244,6 +244,11 @@ FROM windowed WHERE w + 30 <= (SELECT max({_seconds("ts")}) - {DAY_DELAY_SECONDS
 CLOSED = f"""WHERE w + 30 <= (
   SELECT max(cast(epoch(event_time) AS bigint)) - {DELAY_SECONDS} FROM wide)"""
 
+# A message of no known server that is published again has a place of its own and stays.
+REPLAYED_UNKNOWN = """UNION ALL
+SELECT metric, kind, server_id, ts, cast(epoch(event_time) AS bigint), value
+FROM accepted WHERE ts <> '' AND server_id = 'unknown' AND day(record_ts) <= 15"""
+
 ORACLE: dict[str, str] = {
     "scan_wide": f"""WITH {WIDE}
 SELECT ts, server_id, cpu_pct, mem_pct, net_in, net_out, disk_io FROM wide""",
@@ -325,14 +330,10 @@ GROUP BY server_id, ts, t, base_window, w""",
     "csv_roundtrip_net_disk": _alerts(NET_DISK),
     "stream_ingest": f"""WITH {MESSAGES}
 SELECT metric, server_id, ts, value, event_id AS "offset" FROM accepted""",
-    "stream_dedup": f"""WITH {MESSAGES}
-SELECT metric, kind, server_id, ts, cast(epoch(event_time) AS bigint) AS event_sec, value,
-       event_id AS "offset"
-FROM accepted
-WHERE ts <> '' AND epoch(event_time) <= (
-  SELECT max(epoch(event_time)) - {DELAY_SECONDS} FROM accepted WHERE ts <> '')
-QUALIFY row_number() OVER (
-  PARTITION BY metric, server_id, event_time ORDER BY record_ts, event_id) = 1""",
+    "stream_dedup": f"""WITH {DEDUPED}
+SELECT metric, kind, server_id, ts, cast(epoch(event_time) AS bigint) AS event_sec, value
+FROM deduped WHERE ts <> ''
+""" + REPLAYED_UNKNOWN,
     "stream_alerts_cpu_mem": _alerts(CPU_MEM, key="event_time", clamp="none", where=CLOSED),
     "stream_alerts_net_disk": _alerts(NET_DISK, key="event_time", clamp="none", where=CLOSED),
     "scan_wide_other_layout": f"""WITH {WIDE}
@@ -367,11 +368,50 @@ numbered AS (
 SELECT kind, ordinal, "partition", event_id AS "offset", server_id, ts FROM numbered
 WHERE ordinal % 10 = 0""",
     "dedup_two_publishes": f"""WITH {WIDE}
-SELECT metric, server_id, ts, min_by(value, (record_ts, event_id)) AS value,
-       min_by(event_id, (record_ts, event_id)) AS "offset"
+SELECT metric, server_id, ts, value, min(event_id) AS "offset"
 FROM (
-  SELECT server_id, ts, record_ts, event_id,
+  SELECT server_id, ts, event_time, event_id,
          unnest(['cpu_pct', 'mem_pct', 'net_in', 'disk_io']) AS metric,
          unnest([cpu_pct, mem_pct, net_in, disk_io]) AS value FROM wide)
-GROUP BY metric, server_id, ts""",
+GROUP BY metric, server_id, ts, event_time, value""",
+    "ingest_trailing_text": f"""WITH {WIDE}
+SELECT topic, event_id AS "offset", 'malformed' AS reason
+FROM wide CROSS JOIN (VALUES ('topic-cpu'), ('topic-mem'), ('topic-net'), ('topic-disk')) t(topic)
+WHERE event_id % 53 = 0 AND event_id % 4 <> 3""",
+    "joined_rows_cpu_mem": f"""WITH {_joined(CPU_MEM)}
+SELECT server_id, ts, a AS cpu_pct, b AS mem_pct FROM joined""",
+    "join_cpu_mem_bucketed": _joined_rows(CPU_MEM),
+    "stream_join_cpu_mem": f"""WITH {WIDE}
+SELECT l.server_id, cast(epoch(l.event_time) AS bigint) AS event_sec, l.cpu_pct, r.mem_pct
+FROM wide l JOIN wide r ON l.server_id = r.server_id AND l.event_time = r.event_time""",
+    "stream_alerts_cpu_mem_clamped": _alerts(CPU_MEM, key="event_time", where=CLOSED),
+    "stream_alerts_net_disk_clamped": _alerts(NET_DISK, key="event_time", where=CLOSED),
+    "consumer_csv": f"""WITH {MESSAGES}
+SELECT metric, server_id, ts, value FROM accepted""",
+    "consumer_totals": f"""WITH {MESSAGES}
+SELECT coalesce(kind, 'total') AS kind,
+       count(*) FILTER (WHERE reason IS NULL) AS messages,
+       count(*) FILTER (WHERE reason IS NOT NULL) AS rejected,
+       count(*) FILTER (WHERE reason IS NULL AND server_id = 'unknown') AS unknown_server
+FROM parsed GROUP BY ROLLUP (kind)""",
+    "consumer_every_10th": f"""WITH {MESSAGES},
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY kind ORDER BY record_minute, event_id) AS ordinal FROM accepted)
+SELECT kind, ordinal, server_id, ts, value, event_id AS "offset" FROM numbered
+WHERE ordinal % 10 = 0""",
+    "published_log": f"""WITH {WIDE}
+SELECT topic, count(*) AS messages, 0 AS first_offset, count(*) - 1 AS last_offset,
+       count(*) AS offsets, cast(sum({DAY_START} + {_seconds("ts")}) AS bigint) AS seconds
+FROM wide CROSS JOIN (VALUES ('topic-cpu'), ('topic-mem'), ('topic-net'), ('topic-disk')) t(topic)
+GROUP BY topic""",
+    "late_rows": f"""WITH {WIDE}
+SELECT metric, server_id, cast(epoch(event_time) AS bigint) AS event_sec, 1000.0 AS value
+FROM wide CROSS JOIN (VALUES ('cpu_pct'), ('mem_pct')) m(metric)
+WHERE record_ts < (SELECT max(record_ts) FROM wide) - INTERVAL 1 HOUR""",
+    "late_counts": f"""WITH {WIDE}
+SELECT cast(epoch(max(event_time)) AS bigint) AS latest, 2 * count(*) AS on_time,
+       2 * count(*) FILTER (WHERE record_ts < (SELECT max(record_ts) FROM wide) - INTERVAL 1 HOUR) AS late,
+       0 AS timeless
+FROM wide""",
+    "late_parted_alerts": _alerts(CPU_MEM, key="event_time", clamp="none", where=CLOSED),
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +16,13 @@ from metricwin.operators import ingest, pairing, windows
 from metricwin.operators.publish import envelopes
 from metricwin.plans import alerts
 from metricwin.plans.jobs import csv_readings, run_alert_job
-from metricwin.schemas import MESSAGE_ORDER, WIDE_COLUMNS, alert_schema
+from metricwin.schemas import WIDE_COLUMNS, alert_schema
+from metricwin.sinks.log import publish_log
 from metricwin.sinks.tables import (
     publish_files,
     read_alerts,
     stamped,
+    write_bucketed,
     write_metric_csv,
     write_readings,
 )
@@ -28,7 +31,19 @@ from metricwin.sources.events import read_events, stream_events, wide_readings
 from metricwin.sources.topics import file_batch, file_stream
 from metricwin.specs import CPU_MEM, NET_DISK, TOPIC_METRIC, TOPICS, PairSpec, net_disk_spec
 from metricwin.storage import fresh_dir
-from metricwin.streaming.alerts import dedup_stream, stream_alerts
+from metricwin.streaming.alerts import (
+    dedup_stream,
+    read_alert_batches,
+    start_alerts,
+    stream_alerts,
+    stream_join,
+)
+from metricwin.streaming.consumer import (
+    consumed_csv,
+    consumed_every_nth,
+    consumed_totals,
+    start_consumer,
+)
 from metricwin.streaming.ingest import (
     data_folder,
     read_landed,
@@ -37,10 +52,13 @@ from metricwin.streaming.ingest import (
     start_table,
     stream_landed,
 )
+from metricwin.streaming.late import arrival_counts, late_readings, start_parting, stream_on_time
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STREAM_DELAY = "1 minute"
+#: How far back a replay goes.
+REPLAY_DELAY = "40 days"
 DAY, DAY_DELAY = date(2024, 1, 1), "7 hours"
 
 
@@ -137,6 +155,15 @@ def every_10th_of_two_publishes(spark: SparkSession, folder: str) -> DataFrame:
     return reported.select("kind", "ordinal", "partition", "offset", "server_id", "ts")
 
 
+def ingest_trailing_text(spark: SparkSession, folder: str) -> DataFrame:
+    """One message in 53 with something after its object: a word, a brace, an object, or blanks."""
+    sent = envelopes(_wide(spark, folder))
+    after = F.element_at(F.array(*map(F.lit, (" rest", "}", " {}", " \n "))), F.expr("cast(offset % 4 + 1 as int)"))
+    body = F.when(F.col("offset") % 53 == 0, F.concat("value", after)).otherwise(F.col("value"))
+    parsed = ingest.parse_envelopes(sent.withColumn("value", body))
+    return ingest.rejected(parsed).select("topic", "offset", "reason")
+
+
 def dedup_two_publishes(spark: SparkSession, folder: str) -> DataFrame:
     once = ingest.dedup(_published_twice(spark, folder))
     return once.select("metric", "server_id", "ts", "value", "offset")
@@ -207,6 +234,19 @@ def time_of_day(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def joined_rows_cpu_mem(spark: SparkSession, folder: str) -> DataFrame:
+    """The join row by row."""
+    return pairing.joined_readings(pairing.readings_of(_wide(spark, folder), CPU_MEM), CPU_MEM)
+
+
+def join_cpu_mem_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed as buckets first; the match then shuffles nothing."""
+    readings = pairing.readings_of(_wide(spark, folder), CPU_MEM)
+    path = fresh_dir(spark, "buckets")
+    table = write_bucketed(readings, f"metricwin_{path[-32:]}", 8, path=path)
+    return pairing.joined_stats(pairing.pair_readings(table, CPU_MEM), CPU_MEM)
+
+
 def _timed(spark: SparkSession, folder: str, spec: PairSpec) -> DataFrame:
     return alerts.timed_pairs(pairing.readings_of(_wide(spark, folder), spec), spec)
 
@@ -253,10 +293,12 @@ def _event_time_alerts(spec: PairSpec) -> Query:
     return lambda spark, folder: alerts.sorted_alerts(_dated(spark, folder, dated), dated)
 
 
-def _message_alerts(spec: PairSpec) -> Query:
-    return lambda spark, folder: alerts.sorted_alerts(
-        _accepted(spark, folder, spec.topics), spec
-    )
+def _message_alerts(spec: PairSpec, dedup: bool = False) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        readings = _accepted(spark, folder, spec.topics)
+        return alerts.sorted_alerts(ingest.dedup(readings) if dedup else readings, spec)
+
+    return query
 
 
 def _summary(spec: PairSpec) -> Query:
@@ -403,21 +445,148 @@ def _stream_alerts(spec: PairSpec) -> Query:
     return query
 
 
+def _sent_in_parts(messages: DataFrame, days: Sequence[int]) -> list[DataFrame]:
+    """The messages up to each day of the month but the last part, and the rest."""
+    day = F.dayofmonth("timestamp")
+    edges = [0, *days, 31]
+    parts = zip(edges, edges[1:], strict=False)
+    return [
+        messages.where(day.between(a + 1, b)).withColumn("partition", F.lit(0)) for a, b in parts
+    ]
+
+
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message delivered twice, as after a replay."""
-    messages = dirty_envelopes(_stream_wide(spark, folder))
-    twice = messages.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
-    readings = ingest.accepted(ingest.parse_envelopes(twice.drop("delivery")))
-    kept = dedup_stream(readings, STREAM_DELAY).select(
-        "metric",
-        "kind",
-        "server_id",
-        "ts",
-        F.unix_seconds("event_time").alias("event_sec"),
-        "value",
-        "offset",
+    """Half a month's messages, then the whole month's again, over a restart."""
+    topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "stream")
+    messages = dirty_envelopes(_wide(spark, folder))
+    first, rest = _sent_in_parts(messages, [15])
+    for partition, sent in enumerate((first, first.unionByName(rest))):
+        publish_files(sent.withColumn("partition", F.lit(partition)), topic)
+        readings = ingest.accepted(ingest.parse_envelopes(file_stream(spark, topic)))
+        kept = dedup_stream(readings, REPLAY_DELAY).select(
+            "metric", "kind", "server_id", "ts", F.unix_seconds("event_time").alias("event_sec"), "value"
+        )
+        start_table(kept, base).awaitTermination()
+    return spark.read.schema(kept.schema).parquet(data_folder(base))
+
+
+def stream_join_cpu_mem(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs: one metric is five days ahead of the other, then level, then some of its
+    readings come again long after their time."""
+    topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "stream")
+    sent = envelopes(_wide(spark, folder)).withColumn("partition", F.lit(0))
+    cpu, mem = F.col("topic") == "topic-cpu", F.col("topic") == "topic-mem"
+    day = F.dayofmonth("timestamp")
+    runs = (
+        (cpu & (day <= 15)) | (mem & (day <= 10)),
+        (cpu & day.between(16, 20)) | (mem & day.between(11, 20)),
+        ((cpu | mem) & (day > 20)) | (cpu & (day <= 18)),
     )
-    return _stream_result(spark, kept)
+    for run in runs:
+        publish_files(sent.where(run), topic)
+        messages = file_stream(spark, topic)
+        readings = ingest.accepted(ingest.parse_envelopes(messages, topics=CPU_MEM.topics))
+        joined = stream_join(readings, CPU_MEM, STREAM_DELAY).select(
+            "server_id", F.unix_seconds("event_time").alias("event_sec"), *CPU_MEM.metrics
+        )
+        start_table(joined, base).awaitTermination()
+    return spark.read.schema(joined.schema).parquet(data_folder(base))
+
+
+def _clamped_stream(spec: PairSpec) -> Query:
+    """Alerts of a stream that finds out by itself where the data begins, over a restart."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "alerts")
+        for sent in _sent_in_parts(envelopes(_wide(spark, folder)), [15]):
+            publish_files(sent, topic)
+            messages = file_stream(spark, topic)
+            readings = ingest.accepted(ingest.parse_envelopes(messages, topics=spec.topics))
+            start_alerts(readings, spec, base, STREAM_DELAY).awaitTermination()
+        return read_alert_batches(spark, base, spec)
+
+    return query
+
+
+def _consumed(spark: SparkSession, folder: str) -> str:
+    """A month's messages consumed in three batches, each after a restart."""
+    topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "consumed")
+    for sent in _sent_in_parts(dirty_envelopes(_wide(spark, folder)), [10, 20]):
+        publish_files(sent, topic)
+        start_consumer(file_stream(spark, topic), base).awaitTermination()
+    return base
+
+
+def consumer_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The four CSV tables of one pass, as one long table."""
+    base = _consumed(spark, folder)
+    tables = [
+        consumed_csv(spark, base, m).select(
+            F.lit(m).alias("metric"), "server_id", "ts", F.col(m).alias("value")
+        )
+        for m in TOPIC_METRIC.values()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+def consumer_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return consumed_totals(spark, _consumed(spark, folder))
+
+
+def consumer_every_10th(spark: SparkSession, folder: str) -> DataFrame:
+    reported = consumed_every_nth(spark, _consumed(spark, folder))
+    return reported.select("kind", "ordinal", "server_id", "ts", "value", "offset")
+
+
+def published_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two publishes into one log, the first of them tried again: offsets and messages per topic."""
+    topic = fresh_dir(spark, "log")
+    wide = _wide(spark, folder)
+    for name in ("a", "b", "a"):
+        half = wide.where(F.col("offset") % 2 == (0 if name == "a" else 1))
+        publish_log(envelopes(half), topic, name, DAY)
+    return (
+        file_batch(spark, topic)
+        .groupBy("topic")
+        .agg(
+            F.count("*").alias("messages"),
+            F.min("offset").alias("first_offset"),
+            F.max("offset").alias("last_offset"),
+            F.count_distinct("offset").alias("offsets"),
+            F.sum(F.unix_seconds("timestamp")).alias("seconds"),
+        )
+    )
+
+
+def _parted(spark: SparkSession, folder: str) -> str:
+    """The readings of ``stream_late``, parted into those on time and late."""
+    topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "parted")
+    wide = _wide(spark, folder)
+    last = wide.agg(F.max("timestamp")).scalar()
+    late = wide.where(F.col("timestamp") < last - F.expr("interval 1 hour"))
+    late = late.withColumns({m: F.lit(1000.0) for m in CPU_MEM.metrics})
+    for partition, sent in enumerate((wide, late)):
+        publish_files(envelopes(sent).withColumn("partition", F.lit(partition)), topic)
+        messages = file_stream(spark, topic)
+        readings = ingest.accepted(ingest.parse_envelopes(messages, topics=CPU_MEM.topics))
+        start_parting(readings, base, STREAM_DELAY).awaitTermination()
+    return base
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    rows = late_readings(spark, _parted(spark, folder))
+    return rows.select("metric", "server_id", F.unix_seconds("event_time").alias("event_sec"), "value")
+
+
+def late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = arrival_counts(spark, _parted(spark, folder))
+    return counts.withColumn("latest", F.unix_seconds("latest"))
+
+
+def late_parted_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """The alert stream over the readings that came in time."""
+    on_time = stream_on_time(spark, _parted(spark, folder))
+    return _stream_result(spark, stream_alerts(on_time, CPU_MEM, STREAM_DELAY))
 
 
 QUERIES: dict[str, Query] = {
@@ -450,8 +619,8 @@ QUERIES: dict[str, Query] = {
     "alerts_cpu_mem_event_time": _event_time_alerts(CPU_MEM),
     "alerts_cpu_mem_messages": _message_alerts(CPU_MEM),
     "alerts_net_disk_messages": _message_alerts(NET_DISK),
-    "alerts_cpu_mem_dedup": _message_alerts(replace(CPU_MEM, dedup_by=MESSAGE_ORDER)),
-    "alerts_net_disk_dedup": _message_alerts(replace(NET_DISK, dedup_by=MESSAGE_ORDER)),
+    "alerts_cpu_mem_dedup": _message_alerts(CPU_MEM, dedup=True),
+    "alerts_net_disk_dedup": _message_alerts(NET_DISK, dedup=True),
     "validation_summary": _summary(CPU_MEM),
     "validation_summary_net_disk": _summary(NET_DISK),
     "validation_summary_event_time": _summary(replace(CPU_MEM, clock="event_time")),
@@ -477,4 +646,17 @@ QUERIES: dict[str, Query] = {
     "alerts_kept_when_empty": alerts_kept_when_empty,
     "every_10th_of_two_publishes": every_10th_of_two_publishes,
     "dedup_two_publishes": dedup_two_publishes,
+    "ingest_trailing_text": ingest_trailing_text,
+    "joined_rows_cpu_mem": joined_rows_cpu_mem,
+    "join_cpu_mem_bucketed": join_cpu_mem_bucketed,
+    "stream_join_cpu_mem": stream_join_cpu_mem,
+    "stream_alerts_cpu_mem_clamped": _clamped_stream(CPU_MEM),
+    "stream_alerts_net_disk_clamped": _clamped_stream(NET_DISK),
+    "consumer_csv": consumer_csv,
+    "consumer_totals": consumer_totals,
+    "consumer_every_10th": consumer_every_10th,
+    "published_log": published_log,
+    "late_rows": late_rows,
+    "late_counts": late_counts,
+    "late_parted_alerts": late_parted_alerts,
 }

@@ -1,4 +1,4 @@
-"""Command line: publish wide readings, ingest messages, run the two alerting jobs.
+"""Command line: publish wide readings, ingest or consume messages, run the two alerting jobs.
 
 spark-submit or ``python -m metricwin <command> --help``.
 """
@@ -6,20 +6,21 @@ spark-submit or ``python -m metricwin <command> --help``.
 from __future__ import annotations
 
 import argparse
-from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 
+from metricwin.operators.ingest import dedup
 from metricwin.operators.publish import envelopes
 from metricwin.plans.jobs import csv_readings, run_alert_job
-from metricwin.schemas import MESSAGE_ORDER
 from metricwin.session import configure
+from metricwin.sinks.log import publish_log
 from metricwin.sinks.tables import publish_files, publish_kafka, stamped
 from metricwin.sources.csv_tables import read_wide_text, wide_rows
 from metricwin.sources.topics import file_stream, kafka_stream
 from metricwin.specs import CPU_MEM, TOPICS, net_disk_spec
-from metricwin.streaming.alerts import stream_alerts
+from metricwin.streaming.alerts import start_alerts, stream_alerts
+from metricwin.streaming.consumer import start_consumer
 from metricwin.streaming.ingest import (
     read_landed,
     run_folder,
@@ -42,6 +43,9 @@ def _parser() -> argparse.ArgumentParser:
     target = publish.add_mutually_exclusive_group(required=True)
     target.add_argument("--kafka", help="bootstrap servers")
     target.add_argument("--folder")
+    publish.add_argument(
+        "--name", help="with --folder: gapless offsets per topic; a name is published once"
+    )
 
     ingest = commands.add_parser("ingest", help="messages to landed readings")
     source = ingest.add_mutually_exclusive_group(required=True)
@@ -59,6 +63,15 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--files-per-batch", type=int, help="with --folder")
     ingest.add_argument("--spread", type=int, default=1, help="files a batch adds to a folder")
 
+    consume = commands.add_parser("consume", help="messages to metric CSV tables, totals and a report")
+    consume.add_argument("--folder", required=True)
+    consume.add_argument("--out", required=True)
+    consume.add_argument("--every", type=int, default=10, help="report every so many messages of a kind")
+    consume.add_argument("--strict", action="store_true", help="fail on text that is no JSON object")
+    consume.add_argument("--interval", help="keep running, one batch per interval")
+    consume.add_argument("--date", type=date.fromisoformat, help="the day the readings are of")
+    consume.add_argument("--files-per-batch", type=int)
+
     for name in ("cpu-mem", "net-disk"):
         job = commands.add_parser(name, help=f"{name} alerts")
         job.add_argument("--readings", nargs="+", help="folders of ingest runs")
@@ -83,15 +96,18 @@ def _parser() -> argparse.ArgumentParser:
 def _alert_command(spark: SparkSession, args: argparse.Namespace) -> None:
     cpu_mem = args.command == "cpu-mem"
     spec = CPU_MEM if cpu_mem else net_disk_spec(args.label_style)
-    if args.dedup:
-        spec = replace(spec, dedup_by=MESSAGE_ORDER)
     if args.stream:
         landed = stream_landed(spark, args.readings[0], args.files_per_batch)
-        result = stream_alerts(landed, spec, args.delay, args.data_start)
-        start_table(result, args.out, args.interval).awaitTermination()
+        if args.data_start is None:
+            query = start_alerts(landed, spec, args.out, args.delay, args.interval, args.dedup)
+        else:
+            result = stream_alerts(landed, spec, args.delay, args.data_start, args.dedup)
+            query = start_table(result, args.out, args.interval)
+        query.awaitTermination()
         return
     if args.readings:
         readings = read_landed(spark, *args.readings)
+        readings = dedup(readings) if args.dedup else readings
     else:
         readings = csv_readings(spark, args.first_csv, args.second_csv, spec)
     # Only the CPU/MEM job leaves its output alone when there is nothing to write.
@@ -113,9 +129,16 @@ def main(argv: list[str] | None = None) -> None:
         messages = envelopes(wide_rows(read_wide_text(spark, args.wide_csv), args.on_bad))
         if args.kafka:
             publish_kafka(messages, args.kafka)
+        elif args.name:
+            publish_log(messages, args.folder, args.name, args.date)
         else:
             # A folder has no broker to stamp messages.
             publish_files(stamped(messages, args.date), args.folder)
+    elif args.command == "consume":
+        messages = file_stream(spark, args.folder, args.files_per_batch)
+        start_consumer(
+            messages, args.out, args.interval, args.every, args.strict, args.date
+        ).awaitTermination()
     elif args.command == "ingest":
         if args.kafka:
             messages = kafka_stream(

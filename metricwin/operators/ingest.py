@@ -22,6 +22,8 @@ from metricwin.specs import (
 )
 from metricwin.storage import written
 
+#: Name of the field put after a message; no message is expected to hold it.
+AFTER = "after message"
 READING_COLUMNS = ("metric", "kind", "server_id", "ts", "event_time", "value", *MESSAGE_ORDER)
 REJECT_COLUMNS = ("metric", "kind", "message", "reason", *MESSAGE_ORDER)
 
@@ -44,8 +46,9 @@ def parse_envelopes(
     Defaults: a missing server is ``unknown``, a missing metric 0.0. CPU and MEM take
     ``ts`` or else ``timestamp`` and fall back to the record's own time; NET and DISK take
     ``timestamp`` only, empty if missing. A metric that is null or no number stays null
-    in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object
-    is rejected, or fails the job if ``strict``. Other topics are left out before parsing.
+    in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object, or
+    has anything after it, is rejected, or fails the job if ``strict``. Other topics are left out
+    before parsing.
 
     A time of day gets the date of ``day``, or else the date that brings it nearest to the record
     time, which is right only for readings recorded within twelve hours. Messages without a
@@ -54,7 +57,10 @@ def parse_envelopes(
     if "partition" not in messages.columns:
         messages = messages.withColumn("partition", F.lit(0))
     options = {"mode": "FAILFAST" if strict else "PERMISSIVE", "allowSingleQuotes": "false"}
-    fields = F.from_json("value", MESSAGE, options)
+    # The message stands as a field before another: text after its object breaks the whole or
+    # hides the field behind it, where the parser by itself would stop reading.
+    whole = F.concat(F.lit('{"message":'), "value", F.lit(f',"{AFTER}":0}}'))
+    read = F.from_json(whole, f"message {MESSAGE.simpleString()}, `{AFTER}` int", options)
     # Exploding an array of one keeps the parse in a step of its own: a filter on its result
     # would otherwise be moved below it and parse each message again per condition.
     parsed = messages.where(F.col("topic").isin(*topics)).select(
@@ -63,9 +69,9 @@ def parse_envelopes(
         _by_topic(TOPIC_KIND).alias("kind"),
         *MESSAGE_ORDER,
         F.col("value").alias("message"),
-        F.explode(F.array(fields)).alias("fields"),
+        F.explode(F.array(read)).alias("read"),
     )
-    f = F.col("fields")
+    f = F.when(F.col("read")[AFTER] == 0, F.col("read.message"))
     lenient = F.col("topic").isin(*CPU_MEM_TOPICS)
     ts = F.when(
         lenient,
@@ -130,8 +136,8 @@ def message_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFrame:
-    """Every ``n``-th reading of each kind, with its ordinal.
+def numbered(readings: DataFrame, span: int = 1 << 20) -> DataFrame:
+    """``readings`` with ``ordinal``, from 1 for each kind.
 
     Readings are taken by the minute of their record time, then partition, then offset, whatever
     order the input is in. They are counted within runs of ``span`` offsets, each sorted by a task
@@ -147,8 +153,8 @@ def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFram
         }
     )
     place = F.row_number().over(Window.partitionBy(*run).orderBy("offset", "timestamp"))
-    numbered = written(runs.withColumn("place", place), "numbered")
-    counts = numbered.groupBy(*run).agg(F.max("place").alias("n"))
+    placed = written(runs.withColumn("place", place), "numbered")
+    counts = placed.groupBy(*run).agg(F.max("place").alias("n"))
     counts = counts.withColumn("day", F.to_date("minute"))
     of_day = Window.partitionBy("kind", "day").orderBy("minute", "partition", "run")
     counts = counts.withColumn("upto", F.sum("n").over(of_day))
@@ -165,31 +171,34 @@ def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFram
         (F.col("days_before") + F.col("upto") - F.col("n")).alias("before"),
     )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in run])
-    return (
-        numbered.join(before, same)
-        .withColumn("ordinal", F.col("before") + F.col("place"))
-        .where(F.col("ordinal") % n == 0)
-        .select(*readings.columns, "ordinal")
-    )
+    ordinal = (F.col("before") + F.col("place")).alias("ordinal")
+    return placed.join(before, same).select(*readings.columns, ordinal)
+
+
+def every_nth(readings: DataFrame, n: int = 10, span: int = 1 << 20) -> DataFrame:
+    """Every ``n``-th reading of each kind, with its ordinal; see ``numbered``."""
+    return numbered(readings, span).where(F.col("ordinal") % n == 0)
+
+
+#: What a copy has in common with its original, wherever and whenever it is delivered.
+COPY_OF = ("metric", "kind", "server_id", "event_time", "value")
 
 
-def _told_apart(time: Column) -> Column:
-    """What tells copies-to-be apart that have no server or no time: the message itself."""
-    nameless = F.coalesce(F.col("server_id"), F.lit("")) == ""
-    timeless = F.coalesce(time.cast("string"), F.lit("")) == ""
-    return F.when(nameless | timeless, F.struct(*MESSAGE_ORDER))
+def told_apart() -> Column:
+    """The message's own place, for readings of no known server or time, which have no copies."""
+    server = F.coalesce(F.col("server_id"), F.lit(""))
+    nowhere = server.isin("", UNKNOWN_SERVER) | F.col("event_time").isNull()
+    return F.when(nowhere, F.struct(*MESSAGE_ORDER))
 
 
-def dedup(readings: DataFrame, time: str = "ts") -> DataFrame:
-    """Keep the earliest message per metric, server and ``time`` (``ts`` or ``event_time``).
+def dedup(readings: DataFrame) -> DataFrame:
+    """Keep the earliest message of each reading: metric, server, dated time and value.
 
-    Readings without a server or a time are no copies of each other and all stay; only the same
-    message delivered twice is dropped. An aggregate, not a window: copies are dropped before the
-    shuffle. Works on streams, whose state is one row per reading within the watermark.
+    Readings of an unknown server or without a time are no copies of each other and all stay; of
+    them only the same message delivered twice is dropped. Two readings of one server, second and
+    value cannot be told from copies. An aggregate, not a window: copies go before the shuffle.
     """
-    keys = ["metric", "kind", "server_id", time]
-    rest = [c for c in readings.columns if c not in (*keys, *MESSAGE_ORDER)]
+    rest = [c for c in readings.columns if c not in (*COPY_OF, *MESSAGE_ORDER)]
     first = F.min(F.struct(*MESSAGE_ORDER, *rest)).alias("first")
-    apart = _told_apart(F.col(time)).alias("apart")
-    kept = readings.groupBy(*keys, apart).agg(first)
-    return kept.select(*[c if c in keys else F.col(f"first.{c}") for c in readings.columns])
+    kept = readings.groupBy(*COPY_OF, told_apart().alias("apart")).agg(first)
+    return kept.select(*[c if c in COPY_OF else F.col(f"first.{c}") for c in readings.columns])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from metricwin.functions.clock import seconds_of_day
 from metricwin.specs import PairSpec
+from metricwin.storage import written
 
 
 def readings_of(wide: DataFrame, spec: PairSpec) -> DataFrame:
@@ -82,15 +83,31 @@ def matched_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
     """Each matched reading once, with the number of joined rows it would be in.
 
     The row-by-row join of k and m copies has k * m rows; its readings and their weights are k + m.
+    The two metrics' columns are written once, so that the input is read and parsed once.
     """
-    pairs = pair_readings(readings, spec).select("server_id", spec.key, "first_rows", "second_rows")
     sides = readings.where(F.col("metric").isin(*spec.metrics))
+    sides = written(sides.select(*spec.carried, "metric", "value"), "sides")
+    pairs = pair_readings(sides, spec).select("server_id", spec.key, "first_rows", "second_rows")
     others = F.when(F.col("metric") == spec.first, F.col("second_rows")).otherwise(F.col("first_rows"))
     return sides.join(pairs, ["server_id", spec.key]).select(
         "server_id", spec.key, "metric", _value(spec).alias("value"), others.alias("weight")
     )
 
 
+def joined_readings(readings: DataFrame, spec: PairSpec) -> DataFrame:
+    """The inner join itself, a row per pair of readings: k * m rows for k and m copies.
+
+    For those who need the rows; the jobs here take ``pair_readings``, which grows with the input.
+    """
+    filled = (F.col("server_id") != "") & (F.col(spec.key).cast("string") != "")
+
+    def side(metric: str) -> DataFrame:
+        mine = readings.where((F.col("metric") == metric) & filled)
+        return mine.select("server_id", spec.key, _value(spec).alias(metric))
+
+    return side(spec.first).join(side(spec.second), ["server_id", spec.key])
+
+
 def joined_stats(pairs: DataFrame, spec: PairSpec) -> DataFrame:
     """What the joined rows of each (server, time) add up to.
 

@@ -18,6 +18,21 @@ def write_readings(readings: DataFrame, path: str, mode: str = "append") -> None
     readings.write.mode(mode).partitionBy("metric").parquet(path)
 
 
+def write_bucketed(
+    readings: DataFrame, table: str, buckets: int, time: str = "ts", path: str | None = None
+) -> DataFrame:
+    """Save readings as a table bucketed by server and time, and return it.
+
+    Its rows are shuffled here once; every later match on server and ``time`` reads a bucket per
+    task and shuffles nothing. Choose ``buckets`` for about 128 MB each.
+    """
+    spread = readings.repartition(buckets, "server_id", time)
+    writer = spread.write.mode("overwrite").format("parquet")
+    writer = writer.option("path", path) if path else writer
+    writer.bucketBy(buckets, "server_id", time).sortBy("server_id", time).saveAsTable(table)
+    return readings.sparkSession.table(table)
+
+
 def write_metric_csv(readings: DataFrame, metric: str, path: str, mode: str = "append") -> None:
     """Write one metric's readings as headed CSV, in that table's column order."""
     table = readings.where(F.col("metric") == metric).withColumnRenamed("value", metric)

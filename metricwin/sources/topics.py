@@ -58,8 +58,8 @@ def file_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     reader = spark.readStream.schema(ENVELOPE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return reader.parquet(folder).select(*ENVELOPE.names)
 
 
 def file_batch(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(ENVELOPE).parquet(folder)
+    return spark.read.schema(ENVELOPE).parquet(folder).select(*ENVELOPE.names)

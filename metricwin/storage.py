@@ -5,10 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[str] = []
+#: Where paths are noted instead while a ``scratch`` block runs, in its own thread only.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,7 +28,8 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nobody used before; ``clean`` removes it."""
     path = f"{shared_dir(spark)}/metricwin-{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    noted = _noted.get()
+    (_made if noted is None else noted).append(path)
     return path
 
 
@@ -59,6 +63,24 @@ def clean(spark: SparkSession) -> None:
         remove(spark, _made.pop())
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate folders made inside the block go at its end: a batch of a stream leaves none."""
+    noted: list[str] = []
+    token = _noted.set(noted)
+    try:
+        yield
+    finally:
+        _noted.reset(token)
+        for path in noted:
+            remove(spark, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder once and read from there ever after."""
     path = fresh_dir(df.sparkSession, label)
@@ -76,4 +98,4 @@ def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove(spark, path)
-        _made.remove(path)
+        (_noted.get() or _made).remove(path)

@@ -249,40 +249,60 @@ def test_every_nth_over_gaps_and_many_runs(spark):
         assert got == want
 
 
-def test_dedup_keeps_the_earliest(spark):
-    df = spark.createDataFrame(
-        [
-            ("cpu_pct", "cpu", "s1", "10:00:00", 5.0, RECORD, 0, 3),
-            ("cpu_pct", "cpu", "s1", "10:00:00", None, RECORD, 0, 1),
-            ("cpu_pct", "cpu", "s1", "10:00:00", 6.0, RECORD, 1, 0),
-            ("cpu_pct", "cpu", "s1", "10:00:01", 7.0, RECORD, 0, 2),
-            ("mem_pct", "mem", "s1", "10:00:00", 8.0, RECORD + timedelta(seconds=1), 0, 8),
-            ("mem_pct", "mem", "s1", "10:00:00", 9.0, RECORD, 0, 9),
-        ],
-        READING,
-    )
+def _read(server, second, value, partition, offset, metric="cpu_pct", ts=None):
+    time = None if second is None else datetime(2024, 1, 1, 10, 0, second)
+    return (metric, metric[:3], server, ts or "10:00", time, value, RECORD, partition, offset)
+
+
+DATED = (
+    "metric string, kind string, server_id string, ts string, event_time timestamp, value double, "
+    "timestamp timestamp, partition int, offset long"
+)
+
+
+def test_dedup_drops_only_copies(spark):
+    original = [_read("s", 0, 5.0, 0, 3), _read("s", 1, None, 0, 4), _read("s", 0, 8.0, 0, 9, "mem_pct")]
+    # Another value, another second, and the same clock time on another day are no copies.
+    others = [_read("s", 0, 6.0, 0, 5), _read("s", 2, 5.0, 0, 6), _read("t", 0, 5.0, 0, 7)]
+    others.append((*others[0][:4], datetime(2024, 1, 2, 10, 0, 0), 5.0, *others[0][6:8], 8))
+    copies = [(*r[:7], 1, r[8] + 1) for r in original + others] + original
+    df = spark.createDataFrame(original + others + copies, DATED)
     kept = ingest.dedup(df)
     assert kept.columns == df.columns
-    assert {(r.metric, r.ts, r.value, r.partition, r.offset) for r in kept.collect()} == {
-        ("cpu_pct", "10:00:00", None, 0, 1),
-        ("cpu_pct", "10:00:01", 7.0, 0, 2),
-        ("mem_pct", "10:00:00", 9.0, 0, 9),
-    }
+    assert sorted(map(str, kept.collect())) == sorted(
+        map(str, spark.createDataFrame(original + others, DATED).collect())
+    )
     assert "partial_min" in kept._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedup_leaves_readings_without_server_or_time(spark):
-    places = [("s", ""), ("s", None), (None, "10:00:00"), ("", "10:00:00"), ("s", "10:00:00")]
+def test_dedup_leaves_readings_of_no_known_server_or_time(spark):
+    places = [("s", None), (None, 0), ("", 0), ("unknown", 0), ("s", 0)]
     rows = [
-        ("net_in", "network", server, ts, 1.0, RECORD, 0, 10 * i + k)
-        for i, (server, ts) in enumerate(places)
+        _read(server, second, 1.0, 0, 10 * i + k)
+        for i, (server, second) in enumerate(places)
         for k in range(3)
     ]
     # The same message twice is one message.
-    kept = ingest.dedup(spark.createDataFrame(rows + rows[:1], READING)).collect()
+    kept = ingest.dedup(spark.createDataFrame(rows + rows[:1] + rows[9:10], DATED)).collect()
     assert len(kept) == 4 * 3 + 1
 
 
+@pytest.mark.parametrize("after", ["rest", " }", "}}", "]}", " {}", ', "x": 1}', ',"after": 0}', "\x00"])
+def test_text_after_the_object_is_rejected(spark, after):
+    body = '{"timestamp": "10:00:00", "server_id": "s1", "net_in": 3}'
+    rows = ingest.parse_envelopes(_messages(spark, [("topic-net", body + after)])).collect()
+    assert [r.reason for r in rows] == ["malformed"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest.parse_envelopes(_messages(spark, [("topic-net", body + " rest")]), strict=True).collect()
+
+
+def test_blanks_around_the_object_do_not_matter(spark):
+    body = ' \n{"timestamp": "10:00:00", "server_id": "s1", "net_in": 3} \t\r\n'
+    for strict in (False, True):
+        (row,) = ingest.parse_envelopes(_messages(spark, [("topic-net", body)]), strict).collect()
+        assert (row.reason, row.server_id, row.value) == (None, "s1", 3.0)
+
+
 def test_unknown_servers_match_each_other(spark):
     bodies = [("topic-cpu", '{"timestamp": "10:00:00", "cpu_pct": 90}'),
               ("topic-mem", '{"timestamp": "10:00:00", "mem_pct": 90}')]

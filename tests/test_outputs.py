@@ -15,7 +15,9 @@ from metricwin.sinks.tables import read_alerts, write_alerts
 from metricwin.sources.events import read_events, wide_readings
 from metricwin.specs import CPU_MEM, NET_DISK
 from metricwin.storage import clean, fresh_dir, shared_dir
-from metricwin.streaming.ingest import data_folder, run_folder
+from metricwin.streaming.alerts import read_alert_batches
+from metricwin.streaming.consumer import consumed_csv, consumed_totals
+from metricwin.streaming.ingest import run_folder
 
 
 @pytest.fixture(scope="module")
@@ -118,7 +120,13 @@ def test_command_line_end_to_end(spark, data, tmp_path):
             got, want = got.drop("alert"), want.drop("alert")
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     main(["cpu-mem", "--readings", run, "--out", d["st"], "--stream"])
-    assert spark.read.parquet(data_folder(d["st"])).columns == alert_schema(CPU_MEM).names
+    assert read_alert_batches(spark, d["st"], CPU_MEM).columns == alert_schema(CPU_MEM).names
+    log, consumed = str(tmp_path / "log"), str(tmp_path / "consumed")
+    for _ in range(2):
+        main(["publish", "--wide-csv", d["wide"], "--folder", log, "--name", "one", "--date", "2024-01-01"])
+        main(["consume", "--folder", log, "--out", consumed, "--date", "2024-01-01", "--every", "100"])
+    assert {r.kind: r.messages for r in consumed_totals(spark, consumed).collect()}["total"] == 4000
+    assert consumed_csv(spark, consumed, "disk_io").count() == 1000
     with pytest.raises(SystemExit):
         main(["cpu-mem", "--out", d["cm"]])
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from metricwin.functions.clock import seconds_of_day
 from metricwin.operators import pairing, windows
 from metricwin.plans import alerts
+from metricwin.sinks.tables import write_bucketed
+from metricwin.sources.events import read_events, wide_readings
 from metricwin.specs import CPU_MEM, NET_DISK, net_disk_spec
 
 READINGS = "server_id string, ts string, metric string, value double"
@@ -320,3 +322,33 @@ def test_spec_checks():
 def test_seconds_of_day_in_rows(spark):
     df = spark.createDataFrame([("00:01:40",)], "ts string")
     assert df.select(seconds_of_day(F.col("ts"))).first()[0] == 100
+
+
+def test_joined_readings_are_the_join(spark):
+    rows = [("a", "10:00:00", 1.0), ("a", "10:00:00", 2.0), ("a", "10:00:01", 3.0), ("", "10:00:00", 4.0)]
+    rows += [(None, "10:00:00", 5.0), ("b", None, 6.0), ("b", "", 7.0)]
+    both = [(s, t, m, v + k) for k, m in ((0.0, "cpu_pct"), (10.0, "mem_pct")) for s, t, v in rows]
+    readings = spark.createDataFrame(both, "server_id string, ts string, metric string, value double")
+    got = {tuple(r) for r in pairing.joined_readings(readings, CPU_MEM).collect()}
+    assert got == {
+        ("a", "10:00:00", x, y) for x in (1.0, 2.0) for y in (11.0, 12.0)
+    } | {("a", "10:00:01", 3.0, 13.0)}
+
+
+def test_bucketed_readings_match_without_a_shuffle(spark, tmp_path):
+    rows = [(f"s{i % 7}", f"10:00:{i % 60:02d}", m, float(i)) for i in range(900) for m in CPU_MEM.metrics]
+    readings = spark.createDataFrame(rows, "server_id string, ts string, metric string, value double")
+    table = write_bucketed(readings, "bucketed_readings", 4, path=str(tmp_path / "buckets"))
+    pairs = pairing.pair_readings(table, CPU_MEM)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    want = pairing.pair_readings(readings, CPU_MEM)
+    assert sorted(pairs.collect()) == sorted(want.collect()) and pairs.count() == 420
+    spark.sql("drop table bucketed_readings")
+
+
+def test_matched_readings_read_their_input_once(spark, data):
+    wide = wide_readings(read_events(spark, data))
+    found = pairing.matched_readings(pairing.readings_of(wide, CPU_MEM), CPU_MEM)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "user_id" not in plan and found.count() == 2000

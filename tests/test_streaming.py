@@ -1,4 +1,5 @@
 import glob
+import shutil
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
 
@@ -11,11 +12,26 @@ from metricwin.operators import ingest
 from metricwin.operators.publish import envelopes
 from metricwin.plans import alerts
 from metricwin.schemas import ENVELOPE, WIDE_COLUMNS
+from metricwin.sinks.log import publish_log
 from metricwin.sinks.tables import publish_files, stamped
 from metricwin.sources.events import read_events, wide_readings
 from metricwin.sources.topics import file_batch, file_stream
 from metricwin.specs import CPU_MEM, NET_DISK
-from metricwin.streaming.alerts import dedup_stream, stream_alerts
+from metricwin.streaming.alerts import (
+    dedup_stream,
+    read_alert_batches,
+    start_alerts,
+    stream_alerts,
+    stream_join,
+)
+from metricwin.streaming.batches import write_batch
+from metricwin.streaming.consumer import (
+    consume_batches,
+    consumed_csv,
+    consumed_every_nth,
+    consumed_totals,
+    start_consumer,
+)
 from metricwin.streaming.ingest import (
     data_folder,
     read_landed,
@@ -25,6 +41,14 @@ from metricwin.streaming.ingest import (
     start_table,
     stream_landed,
 )
+from metricwin.streaming.late import (
+    arrival_counts,
+    dropped_by_watermark,
+    late_readings,
+    start_parting,
+    stream_on_time,
+)
+
 DELAY = "1 minute"
 
 
@@ -128,40 +152,177 @@ def test_windows_cross_midnight(spark, tmp_path):
     assert by_start["2024-01-02 00:00:00"] == 30.0
 
 
+def _full(stream):
+    return stream.withColumns(
+        {
+            "kind": F.lit("k"),
+            "ts": F.date_format("event_time", "HH:mm:ss"),
+            "timestamp": F.col("event_time"),
+            "partition": F.lit(0),
+            "offset": F.unix_micros("event_time"),
+        }
+    )
+
+
 def test_replayed_readings_count_once_with_dedup(spark, tmp_path):
     first = [_reading(0, 10.0, "cpu_pct"), _reading(1, 20.0, "cpu_pct"), _reading(0, 1.0, "mem_pct"), _reading(1, 1.0, "mem_pct")]
     replay = [first[0], first[2]]
-    stream = _stream(spark, tmp_path, [first, replay, _both(600, 1.0)])
+    stream = _full(_stream(spark, tmp_path, [first, replay, _both(600, 1.0)]))
     plain = rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "plain"))
-    named = stream.withColumns(
-        {"timestamp": F.col("event_time"), "partition": F.lit(0), "offset": F.unix_micros("event_time")}
-    )
-    spec = replace(CPU_MEM, dedup_by=("timestamp", "partition", "offset"))
-    once = rows(run(stream_alerts(named, spec, DELAY), tmp_path, "once"))
+    once = rows(run(stream_alerts(stream, CPU_MEM, DELAY, dedup=True), tmp_path, "once"))
     # Four joined rows of 10.0 and one of 20.0 against one of each.
     assert {r[3] for r in plain} == {12.0}
     assert {r[3] for r in once} == {15.0}
-    kept = rows(run(dedup_stream(_full(named), DELAY).select("metric", "value"), tmp_path, "kept"))
-    # The last two are still within the delay.
-    assert kept == [("cpu_pct", 10.0), ("cpu_pct", 20.0), ("mem_pct", 1.0), ("mem_pct", 1.0)]
 
 
-def _full(stream):
-    return stream.withColumns({"kind": F.lit("k"), "ts": F.date_format("event_time", "HH:mm:ss")})
+def test_stream_dedup_gives_the_first_arrival_at_once(spark, tmp_path):
+    """Nothing waits for the watermark; other values are no copies; nameless hosts all stay."""
+    many = [_reading(0, float(i), "cpu_pct") for i in range(20)]
+    nameless = [_reading(0, 1.0, "cpu_pct", "unknown"), _reading(1, 1.0, "cpu_pct", "unknown")]
+    stream = _full(_stream(spark, tmp_path, [many[:10] + nameless, many + nameless, many[5:]]))
+    kept = run(dedup_stream(stream, DELAY), tmp_path, "kept")
+    assert sorted(kept.columns) == sorted(stream.columns)
+    assert sorted(r.value for r in kept.where("server_id = 's'").collect()) == [float(i) for i in range(20)]
+    assert kept.where("server_id = 'unknown'").count() == 2
+    late = _stream(spark, tmp_path / "more", [many[:1], _both(600, 1.0), many[:1]])
+    # Long after its time a copy is late and goes as well.
+    kept = run(dedup_stream(_full(late), DELAY), tmp_path, "late")
+    assert sorted(r.value for r in kept.collect()) == [0.0, 1.0, 1.0]
+
+
+def test_stream_join_gives_every_pair_whichever_comes_first(spark, tmp_path):
+    cpu = [_reading(0, 1.0, "cpu_pct"), _reading(0, 2.0, "cpu_pct"), _reading(30, 3.0, "cpu_pct")]
+    mem = [_reading(0, 5.0, "mem_pct"), _reading(0, 6.0, "mem_pct"), _reading(31, 7.0, "mem_pct")]
+    odd = [_reading(0, 9.0, m, server) for m in CPU_MEM.metrics for server in (None, "")]
+    for name, batches in {"cpu": [cpu, mem + odd], "mem": [mem, cpu + odd], "all": [cpu + mem]}.items():
+        stream = _full(_stream(spark, tmp_path / name, [*batches, _both(600, 8.0)]))
+        got = rows(run(stream_join(stream, CPU_MEM, DELAY), tmp_path, f"{name}-out"))
+        assert [r[2:] for r in got] == [(1.0, 5.0), (1.0, 6.0), (2.0, 5.0), (2.0, 6.0), (8.0, 8.0)]
+    twice = _full(_stream(spark, tmp_path / "twice", [cpu + mem, cpu + mem]))
+    once = rows(run(stream_join(twice, CPU_MEM, DELAY, dedup=True), tmp_path, "once"))
+    assert [r[2:] for r in once] == [(1.0, 5.0), (1.0, 6.0), (2.0, 5.0), (2.0, 6.0)]
+
+
+def test_joined_readings_leave_the_state(spark, tmp_path):
+    """A partner that comes after the watermark finds nothing, and state goes with the watermark."""
+    cpu, mem = _reading(0, 1.0, "cpu_pct"), _reading(0, 5.0, "mem_pct")
+    # Lateness is judged by the watermark of the batch before.
+    stream = _full(_stream(spark, tmp_path, [[cpu], _both(600, 8.0), _both(700, 9.0), [mem]]))
+    out = str(tmp_path / "out")
+    joined = stream_join(stream, CPU_MEM, DELAY)
+    query = start_table(joined, out)
+    query.awaitTermination()
+    got = spark.read.schema(joined.schema).parquet(data_folder(out)).collect()
+    assert sorted((r.cpu_pct, r.mem_pct) for r in got) == [(8.0, 8.0), (9.0, 9.0)]
+    last = query.recentProgress[-1]["stateOperators"][0]
+    assert last["numRowsTotal"] <= 4
+    assert dropped_by_watermark(query) >= 1
 
 
-def test_stream_dedup_keeps_the_earliest_whole(spark, tmp_path):
-    """Of copies that differ the first in message order stays, with all its columns."""
-    many = [_reading(0, float(i), "cpu_pct") for i in range(200)]
-    stream = _full(_stream(spark, tmp_path, [many[100:], many, _both(600, 1.0)]))
-    named = stream.withColumns(
-        {"timestamp": F.col("event_time"), "partition": F.lit(0), "offset": (F.col("value") % 150).cast("long")}
-    )
-    kept = run(dedup_stream(named, DELAY), tmp_path, "kept")
-    assert sorted(kept.columns) == sorted(named.columns)
-    (row,) = kept.collect()
-    # Offsets 0 and 50 to 199 of the second batch; the least offset is of value 0 or 150.
-    assert row.offset == 0 and row.value == 0.0 and row.ts == "10:00:00"
+def test_clamp_without_data_start(spark, tmp_path):
+    """As with data_start, though the stream is told nothing; a batch that is repeated adds nothing."""
+    batches = [_both(5, 10.0), _both(600, 1.0), _both(900, 1.0)]
+    free = rows(run(stream_alerts(_stream(spark, tmp_path, batches), CPU_MEM, DELAY), tmp_path, "free"))
+    begin = datetime(2024, 1, 1, 10, 0, 5)
+    for spec in (CPU_MEM, replace(CPU_MEM, clamp="raw"), replace(CPU_MEM, clamp="none")):
+        stream = _stream(spark, tmp_path / spec.clamp, batches)
+        out = str(tmp_path / f"{spec.clamp}-out")
+        start_alerts(stream, spec, out, DELAY).awaitTermination()
+        got = rows(read_alert_batches(spark, out, spec))
+        told = rows(run(stream_alerts(stream, spec, DELAY, begin), tmp_path, f"{spec.clamp}-told"))
+        assert got == told and len(got) == {"floor": 4, "raw": 3, "none": 6}[spec.clamp]
+    assert len(free) == 6
+
+
+@pytest.fixture
+def parts(spark, data):
+    messages = dirty_envelopes(wide_readings(read_events(spark, data))).withColumn("partition", F.lit(0))
+    return [messages.where(f"offset between {a} and {a + 399}") for a in (0, 400, 800)], messages
+
+
+def test_consumer_goes_on_after_a_restart(spark, tmp_path, parts):
+    parts, messages = parts
+    topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
+    for part in parts:
+        publish_files(part, topic)
+        start_consumer(file_stream(spark, topic), out).awaitTermination()
+    parsed = ingest.parse_envelopes(messages)
+    assert rows(consumed_totals(spark, out)) == rows(ingest.message_counts(parsed))
+    columns = ("kind", "ordinal", "partition", "offset")
+    want = ingest.every_nth(ingest.accepted(parsed)).select(*columns)
+    assert rows(consumed_every_nth(spark, out).select(*columns)) == rows(want)
+    for metric in ("cpu_pct", "net_in"):
+        got = consumed_csv(spark, out, metric).select("server_id", "ts", metric)
+        want = ingest.metric_table(ingest.accepted(parsed), metric).select("server_id", "ts", metric)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_a_repeated_batch_adds_no_row(spark, tmp_path, parts):
+    parts, _ = parts
+    out = str(tmp_path / "out")
+    consume = consume_batches(out)
+    consume(parts[0], 0)
+    consume(parts[1], 1)
+
+    def state():
+        tables = [consumed_csv(spark, out, m) for m in ("cpu_pct", "disk_io")]
+        tables += [consumed_every_nth(spark, out), consumed_totals(spark, out)]
+        return [sorted(map(str, t.collect())) for t in tables]
+
+    before = state()
+    consume(parts[1], 1)
+    assert state() == before
+    # A batch that stopped before its totals does not count yet.
+    write_batch(consumed_csv(spark, out, "cpu_pct").select("ts", "server_id", "cpu_pct"), f"{out}/csv/cpu_pct", 2, "csv", header=True)
+    assert state() == before
+    consume(parts[2], 2)
+    assert state() != before
+    with pytest.raises(FileNotFoundError):
+        consume(parts[2], 9)
+
+
+def test_consumer_of_nothing(spark, tmp_path):
+    out, topic = str(tmp_path / "out"), str(tmp_path / "topic")
+    spark.createDataFrame([], ENVELOPE).write.parquet(topic)
+    start_consumer(file_stream(spark, topic), out).awaitTermination()
+    assert consumed_totals(spark, out).collect() == consumed_every_nth(spark, out).collect() == []
+    assert consumed_csv(spark, out, "mem_pct").collect() == []
+
+
+def test_late_readings_are_kept_apart(spark, tmp_path):
+    seconds = [(0, 10.0), (300, 20.0), (310, 20.0), (1, 90.0), (250, 60.0), (251, 50.0), (900, 1.0)]
+    batches = [_both(*s) for s in seconds]
+    batches.append([("s", None, "cpu_pct", 1.0)])
+    stream = _full(_stream(spark, tmp_path, batches))
+    out = str(tmp_path / "out")
+    start_parting(stream, out, DELAY).awaitTermination()
+    # The rule of Spark's own watermark: what is at it is late.
+    assert sorted(r.value for r in late_readings(spark, out).collect()) == [60.0, 60.0, 90.0, 90.0]
+    (counts,) = arrival_counts(spark, out).collect()
+    assert (counts.on_time, counts.late, counts.timeless) == (10, 4, 1)
+    got = rows(run(stream_alerts(stream_on_time(spark, out, 1), CPU_MEM, DELAY), tmp_path, "parted"))
+    assert got == rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "dropped"))
+
+
+def test_log_offsets_survive_a_retry(spark, data, tmp_path):
+    """Offsets run on over publishes; one that stopped half way goes on with the same offsets."""
+    sent = envelopes(wide_readings(read_events(spark, data)))
+    log = str(tmp_path / "log")
+    publish_log(sent.limit(400), log, "a")
+    first = {tuple(r) for r in file_batch(spark, log).collect()}
+    publish_log(sent.repartition(5), log, "b")
+    shutil.rmtree(f"{log}/publish=b")
+    publish_log(sent.repartition(5), log, "b")
+    publish_log(sent.limit(400), log, "a")
+    whole = file_batch(spark, log)
+    assert first <= {tuple(r) for r in whole.collect()}
+    for r in whole.groupBy("topic").agg(F.sort_array(F.collect_list("offset")).alias("o")).collect():
+        assert r.o == list(range(len(r.o)))
+    assert whole.count() == 4400
+    held = {tuple(r) for r in whole.collect()}
+    shutil.rmtree(f"{log}/publish=b")
+    publish_log(sent.repartition(3).limit(7), log, "b")
+    assert {tuple(r) for r in file_batch(spark, log).collect()} == held
 
 
 def test_empty_topic_gives_empty_alerts(spark, tmp_path):
@@ -237,6 +398,7 @@ def test_ingest_lands_counts_resumes_and_replays(spark, data, tmp_path):
     start_ingest(file_stream(spark, folder), second).awaitTermination()
     everything = read_landed(spark, first, second)
     assert everything.count() == 2 * want.count()
+    # Copies of the replay carry the same place, so nameless ones are told as well.
     assert ingest.dedup(everything).count() == ingest.dedup(ingest.accepted(parsed)).count()
 
     # Landed readings are a stream in turn.
