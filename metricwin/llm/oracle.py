@@ -68,12 +68,14 @@ FIXITY = r"""
 with copies as (
   select 'a' as side, page_id, url, coalesce(html, '') as body from pages
   union all
-  select 'b', page_id, url, coalesce(
+  select 'b', unnest(case when page_id % 97 = 20 then []::bigint[]
+                          when page_id % 97 = 30 then [page_id, page_id]
+                          when page_id % 97 = 60 then [page_id, -1 - page_id] else [page_id] end), url, coalesce(
     case when page_id % 97 = 5 then '?' || substring(html, 2)
          when page_id % 97 = 50 then left(html, greatest(length(html) - 10, 0)) else html end, '')
   from pages
 ), records as (
-  select side, page_id, coalesce(page_id // 1024, -1) as file,
+  select side, page_id, floor(page_id / 1024)::bigint as file,
     'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
     || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>' || chr(13) || chr(10)
     || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
@@ -82,20 +84,29 @@ with copies as (
     as record
   from copies
 ), hashed as (
-  select side, file, page_id, sha256(record) as digest, strlen(record) as len from records
+  select side, file, page_id, sha256(record) as digest, strlen(record) as len, count(*) as copies
+  from records group by all
 ), placed as (
-  select *, row_number() over w - 1 as pos,
-    (sum(len) over (partition by side, file order by page_id nulls first, digest, len
-                    rows unbounded preceding))::bigint as stop
-  from hashed window w as (partition by side, file order by page_id nulls first, digest, len)
+  select *, (sum(len * copies) over (partition by side, file order by page_id, digest, len
+                                     rows unbounded preceding))::bigint as stop
+  from hashed
+), leaves as (
+  select coalesce(a.file, b.file) as file, coalesce(a.page_id, b.page_id) as page_id,
+         a.stop - a.len * a.copies as begin_a, a.stop as end_a, a.digest as digest_a, a.copies as copies_a,
+         b.stop - b.len * b.copies as begin_b, b.stop as end_b, b.digest as digest_b, b.copies as copies_b
+  from (from placed where side = 'a') a full join (from placed where side = 'b') b
+    on a.page_id is not distinct from b.page_id and a.digest = b.digest
+  where a.copies is distinct from b.copies
+), per_id as (
+  select file, page_id, max(begin_a) as begin_a, max(end_a) as end_a, max(digest_a) as digest_a,
+         max(copies_a) as copies_a, max(begin_b) as begin_b, max(end_b) as end_b,
+         max(digest_b) as digest_b, max(copies_b) as copies_b,
+         count(*) = 2 and count(digest_a) = 1 and count(digest_b) = 1 and page_id is not null as paired
+  from leaves group by file, page_id
 )
-select coalesce(a.file, b.file) as file, coalesce(a.pos, b.pos) as pos,
-       coalesce(a.page_id, b.page_id) as page_id,
-       a.stop - a.len as begin_a, a.stop as end_a, a.digest as digest_a,
-       b.stop - b.len as begin_b, b.stop as end_b, b.digest as digest_b,
-       case when b.digest is null then 'missing' when a.digest is null then 'extra'
-            else 'differs' end as status
-from (from placed where side = 'a') a full join (from placed where side = 'b') b
-  on a.file = b.file and a.pos = b.pos
-where a.digest is distinct from b.digest
+select * exclude (paired), 'differs' as status from per_id where paired
+union all
+select l.*, case when l.digest_b is null then 'missing' when l.digest_a is null then 'extra'
+                 else 'repeated' end
+from leaves l join per_id p on l.page_id is not distinct from p.page_id where not p.paired
 """

@@ -42,11 +42,17 @@ def op1_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged(pages: DataFrame) -> DataFrame:
-    """A second copy of ``pages`` as a bad disk may leave it: of every 97 ids one page with its
-    first character lost and written again as another, and one cut short by ten characters."""
-    spoilt = F.when(F.col("page_id") % 97 == 5, F.concat(F.lit("?"), F.expr("substring(html, 2)")))
-    spoilt = spoilt.when(F.col("page_id") % 97 == 50, F.expr("left(html, length(html) - 10)"))
-    return pages.withColumn("html", spoilt.otherwise(F.col("html")))
+    """A second copy of ``pages`` as bad disks and bad copying may leave it: of every 97 ids one page
+    with its first character lost and written again as another, one cut short by ten characters,
+    one lost, one kept twice, and one that is there under another id as well."""
+    rule = F.pmod(F.col("page_id"), F.lit(97))
+    spoilt = F.when(rule == 5, F.concat(F.lit("?"), F.expr("substring(html, 2)")))
+    spoilt = spoilt.when(rule == 50, F.expr("left(html, length(html) - 10)"))
+    pages = pages.select("page_id", "url", spoilt.otherwise(F.col("html")).alias("html"))
+    once = F.array("page_id")
+    ids = F.when(rule == 20, F.array().cast("array<bigint>")).when(rule == 30, F.array("page_id", "page_id"))
+    ids = ids.when(rule == 60, F.array("page_id", -1 - F.col("page_id"))).otherwise(once)
+    return pages.select(F.explode(ids).alias("page_id"), "url", "html")
 
 
 def op2_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
