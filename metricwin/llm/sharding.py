@@ -3,7 +3,8 @@
 Records hash into thousands of slots that never change. What decides a record's shard is a small
 versioned map from slots to shards, made from the bytes aggregated in each slot; rebalancing edits
 that map and writes the next version, and only the slots it moves change shard. A slot that alone
-holds a large share (one key in very many rows) is split into parts by a salt kept with each row.
+holds a large share (one key in very many rows) is split into parts by a salt that follows from the
+record, its text and its number among equal records, so that a saved map finds it again.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -68,10 +70,14 @@ class SlotMap:
 
 
 def first_map(entries: Iterable[Entry], shards: int) -> SlotMap:
-    """Largest slots first, each to the shard with the fewest bytes; ties to the lower number."""
+    """Largest slots first, each to the shard with the fewest bytes; ties to the lower number.
+    Empty slots are dealt round."""
     heap = [(0, s) for s in range(shards)]
     placed = []
     for e in sorted(entries, key=lambda e: (-e.bytes, e.slot, e.part)):
+        if not e.bytes:
+            placed.append(replace(e, shard=(e.slot + e.part) % shards))
+            continue
         load, shard = heapq.heappop(heap)
         placed.append(replace(e, shard=shard))
         heapq.heappush(heap, (load + e.bytes, shard))
@@ -121,7 +127,7 @@ def rebalance(old: SlotMap, shards: int, tolerance: float = 0.02) -> SlotMap:
 
 
 def records(docs: DataFrame, slots: int) -> DataFrame:
-    """Write doc_id, size, text_crc32, slot and salt of every row, without the text."""
+    """Write doc_id, size, text_crc32 and slot of every row, and the partition it was read in."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -132,50 +138,80 @@ def records(docs: DataFrame, slots: int) -> DataFrame:
     named = F.when(F.col("doc_id").isNull(), F.xxhash64("text_crc32", "size")).otherwise(
         F.xxhash64("doc_id")
     )
-    rows = rows.withColumn("slot", F.pmod(named, F.lit(slots)).cast("int"))
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
-    return table(rows.withColumn("salt", salt), "shard-records")
+    slot = F.pmod(named, F.lit(slots)).cast("int")
+    rows = rows.withColumns({"slot": slot, "read": F.spark_partition_id()})
+    return table(rows, "shard-records")
 
 
-def weigh(rows: DataFrame, shards: int) -> list[Entry]:
+def salted(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """``rows`` with a ``salt`` for those of hot slots, of which a map has few; 0 for the others.
+
+    Equal records are numbered, in each partition they were read in and over the partitions by a
+    prefix sum, so that one record repeated any number of times is spread as well. Which of them gets
+    which number does not matter, so the salts are the same however the records are read.
+    """
+    if not hot:
+        return rows.withColumn("salt", F.lit(0))
+    same = ("doc_id", "text_crc32", "size")
+    inside = rows.where(F.col("slot").isin(hot))
+    counts = inside.groupBy(*same, "read").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(*same).orderBy("read").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    counts = counts.select(*[F.col(c).alias(f"of_{c}") for c in (*same, "read")], before)
+    nth = F.row_number().over(Window.partitionBy(*same, "read").orderBy("slot"))
+    alike = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in (*same, "read")]
+    )
+    numbered = inside.withColumn("nth", nth).join(counts, alike)
+    salt = F.pmod(F.xxhash64(*same, F.col("before") + F.col("nth")), F.lit(PARTS)).cast("int")
+    outside = rows.where(~F.col("slot").isin(hot)).withColumn("salt", F.lit(0))
+    return outside.unionByName(numbered.withColumn("salt", salt).select(*outside.columns))
+
+
+def weigh(rows: DataFrame, shards: int, slots: int) -> list[Entry]:
     """Bytes and rows of every slot, hot slots in parts. Both sums are bounded by the slots."""
     by_slot = rows.groupBy("slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     plain = [(r["slot"], r["bytes"], r["rows"]) for r in by_slot.collect()]
     most = sum(b for _, b, _ in plain) / (HOT * shards)
-    hot = [s for s, b, n in plain if b > most and n > 1]
-    entries = [Entry(s, 0, 1, b, n) for s, b, n in plain if s not in set(hot)]
+    hot = {s for s, b, n in plain if b > most and n > 1}
+    entries = [Entry(s, 0, 1, b, n) for s, b, n in plain if s not in hot]
     if hot:
-        parts = (
-            rows.where(F.col("slot").isin(hot))
-            .groupBy("slot", "salt")
-            .agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+        parts = salted(rows, sorted(hot)).where(F.col("slot").isin(sorted(hot)))
+        parts = parts.groupBy("slot", "salt").agg(
+            F.sum("size").alias("bytes"), F.count("*").alias("rows")
         )
+        found = {(r["slot"], r["salt"]): (r["bytes"], r["rows"]) for r in parts.collect()}
         entries += [
-            Entry(r["slot"], r["salt"], PARTS, r["bytes"], r["rows"]) for r in parts.collect()
+            Entry(s, p, PARTS, *found.get((s, p), (0, 0))) for s in sorted(hot) for p in range(PARTS)
         ]
-    return entries
+    # Slots without records have a shard as well, for those to come.
+    seen = {s for s, _, _ in plain}
+    return entries + [Entry(s, 0, 1, 0, 0) for s in range(slots) if plain and s not in seen]
 
 
 def place(rows: DataFrame, slot_map: SlotMap) -> DataFrame:
     """Give every record its shard and its place there, 0 upwards without gaps.
 
-    Places follow the slots, then doc_id; each slot is numbered by itself, so no task ever sorts a
-    shard. Records of a slot the map lacks, which no weighed row has, would be left out.
+    The rows need not be those the map was made from: their own counts give the places. Places
+    follow the slots, then doc_id; each slot is numbered by itself, so no task ever sorts a shard.
     """
+    hot = sorted({e.slot for e in slot_map.entries if e.parts > 1})
+    rows = salted(rows, hot).withColumnRenamed("salt", "part")
+    if hot:
+        rows = table(rows, "shard-salted")
+    # A row per slot and part of a hot slot, whatever the input's size.
+    counts = {(r["slot"], r["part"]): r["count"] for r in rows.groupBy("slot", "part").count().collect()}
     base, firsts = [0] * slot_map.shards, []
     for e in slot_map.entries:
-        firsts.append((e.slot, e.part, e.parts, e.shard, base[e.shard]))
-        base[e.shard] += e.rows
-    spark = rows.sparkSession
-    schema = "slot int, part int, parts int, shard int, base long"
-    bases = spark.createDataFrame(firsts, schema)
-    parts = bases.select("slot", "parts").distinct()
-    by_id = Window.partitionBy("slot", "part").orderBy("doc_id", "text_crc32", "size", "salt")
+        if (e.slot, e.part) in counts:
+            firsts.append((e.slot, e.part, e.shard, base[e.shard]))
+            base[e.shard] += counts[e.slot, e.part]
+    schema = "slot int, part int, shard int, base long"
+    bases = rows.sparkSession.createDataFrame(firsts, schema)
+    by_id = Window.partitionBy("slot", "part").orderBy("doc_id", "text_crc32", "size")
     return (
-        rows.join(parts, "slot")
-        .withColumn("part", F.when(F.col("parts") > 1, F.col("salt")).otherwise(F.lit(0)))
-        .withColumn("nth", F.row_number().over(by_id) - 1)
-        .join(bases.drop("parts"), ["slot", "part"])
+        rows.withColumn("nth", F.row_number().over(by_id) - 1)
+        .join(bases, ["slot", "part"])
         .withColumn("place", F.col("base") + F.col("nth"))
     )
 
@@ -191,7 +227,7 @@ def shard(
     other columns are ignored; no rows give no rows and an empty map.
     """
     rows = records(docs, slots)
-    slot_map = first_map(weigh(rows, shards), shards)
+    slot_map = first_map(weigh(rows, shards, slots), shards)
     if map_path is not None:
         slot_map.save(docs.sparkSession, map_path)
     placed = place(rows, slot_map)

@@ -7,7 +7,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from metricwin.llm.sharding import Entry, SlotMap, first_map, rebalance, shard
+from metricwin.llm.sharding import Entry, SlotMap, first_map, place, rebalance, records, shard
 from metricwin.storage import fresh_dir
 
 
@@ -131,3 +131,27 @@ def test_query_columns(spark, data):
         "bigint", "bigint", "bigint", "string", "int", "bigint", "int",
     ]
     assert got.where(F.col("law") != "bytes").count() == 0
+
+
+def test_a_saved_map_finds_every_record_again(spark):
+    """Loaded and applied to the same records in other partitions, and to some new ones."""
+    rows = [(1, "x" * 99)] * 500 + [(1, f"text {i}") for i in range(300)] + [(None, "none")] * 300
+    rows += [(i, "y" * 50) for i in range(2, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = fresh_dir(spark, "maps")
+    first, made = shard(docs.repartition(3), shards=5, slots=64, map_path=path)
+    assert any(e.parts > 1 for e in made.entries)
+    loaded = SlotMap.load(spark, path, 1, 5)
+
+    def where(got):
+        return Counter((r["doc_id"], r["text_crc32"], r["shard"]) for r in got)
+
+    before = where(first.collect())
+    again = place(records(docs.repartition(7), 64), loaded).collect()
+    assert where(again) == before
+    check(again, rows, 5)
+    new = [(i, "new") for i in range(10_000, 10_400)]
+    more = docs.union(spark.createDataFrame(new, docs.schema))
+    grown = place(records(more, 64), loaded).collect()
+    check(grown, rows + new, 5)
+    assert before - where(grown) == Counter()
