@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricwin.llm.common import small_batches
 from metricwin.llm.tokens import slices
 
 SPACE = "▁"
@@ -35,7 +36,8 @@ class PieceModel:
 
     Ids are those of the best-scoring segmentation (the sum of the pieces' scores in double
     precision; on equal sums the longer last piece), with a byte piece for each byte of a character
-    that no piece covers, or the unknown id if the model has no byte pieces.
+    that no piece covers, or the unknown id if the model has no byte pieces. A model's own rules for
+    characters and white space are applied to a text first.
     """
 
     def __init__(self, path: str):
@@ -46,8 +48,11 @@ class PieceModel:
         proto = sentencepiece_model_pb2.ModelProto()
         proto.ParseFromString(model.serialized_model_proto())
         rules = proto.normalizer_spec
-        if rules.precompiled_charsmap or rules.remove_extra_whitespaces:
-            raise ValueError("only models without character rules are supported")
+        if proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("only models that mark a word's beginning are supported")
+        # Such rules are the library's to apply; without them a text only gets its marks.
+        ruled = rules.precompiled_charsmap or rules.remove_extra_whitespaces
+        self.normalizer = model if ruled or not rules.escape_whitespaces else None
         self.prefix = SPACE if rules.add_dummy_prefix else ""
         self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.bytes = np.full(256, -1, np.int64)
@@ -109,11 +114,19 @@ class PieceModel:
         ids = [int(self.bytes[b]) for b in char.encode("utf-8", "surrogatepass")]
         return [self.unknown] if -1 in ids else ids
 
+    def normalised(self, text: str | None) -> str:
+        """The text by the model's rules, with its marks; empty for null, empty or nothing left."""
+        if not text:
+            return ""
+        if self.normalizer is not None:
+            return self.normalizer.normalize(text)
+        return self.prefix + text.replace(" ", SPACE)
+
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text; none for null or empty."""
+        text = self.normalised(text)
         if not text:
             return np.zeros(0, np.uint32)
-        text = self.prefix + text.replace(" ", SPACE)
         if not self.cuttable:
             return np.array(self._solve(text), np.uint32)
         cuts = CUTS.findall(text)
@@ -124,7 +137,8 @@ class PieceModel:
         """The ids of each text. Where all spaces stand alone between words, texts share cuts."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(texts, rf"\A(?: |\z)| \z|  |{SPACE}")
-        odd = odd.to_numpy(zero_copy_only=False) | (not self.cuttable or self.prefix != SPACE)
+        ruled = self.normalizer is not None or self.prefix != SPACE
+        odd = odd.to_numpy(zero_copy_only=False) | (not self.cuttable or ruled)
         out = [np.zeros(0, np.uint32)] * len(texts)
         for i in np.flatnonzero(odd):
             out[i] = self.encode(texts[int(i)].as_py())
@@ -191,7 +205,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 columns = [rows.column("doc_id"), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
@@ -209,7 +223,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """For every row: doc_id, n_ids, ids_crc32, and whether decoding gives the text back.
+    """For every row: doc_id, n_ids, ids_crc32, and whether decoding gives the text back, as the
+    model's rules leave it.
 
     A null text has no ids and comes back as the empty text, which counts as given back.
     """
@@ -225,6 +240,8 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                     text = cell.as_py() or ""
                     sizes.append(len(ids))
                     crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                    if model.normalizer is not None:
+                        text = model.normalised(text).removeprefix(model.prefix)
                     same.append(model.decode(ids) == text.replace(SPACE, " "))
             columns = [
                 batch.column("doc_id"),
@@ -235,5 +252,5 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             names = ["doc_id", "n_ids", "ids_crc32", "round_trip"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")

@@ -103,3 +103,38 @@ def test_awkward_documents(awkward, no_docs, model):
 def test_the_table_comes_back(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     assert digests(docs, PATH).where("not round_trip").count() == 0
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
+@pytest.mark.parametrize("squeeze", [True, False])
+def test_models_with_rules_of_their_own(spark, tmp_path, rule, squeeze):
+    """Models that map characters and squeeze spaces, SentencePiece's defaults, as the library does."""
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(open(PATH, "rb").read())
+    spec = sentencepiece_model_pb2.NormalizerSpec()
+    normalizer = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    spec.ParseFromString(normalizer.serialized_normalizer_spec())
+    proto.normalizer_spec.precompiled_charsmap = spec.precompiled_charsmap
+    proto.normalizer_spec.remove_extra_whitespaces = squeeze
+    proto.trainer_spec.model_type = 1
+    path = str(tmp_path / "ruled.model")
+    (tmp_path / "ruled.model").write_bytes(proto.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    model = PieceModel(path)
+    texts = ["the  \uff28ello world ", "  \u2460 thing", "information\u3000and thing", "The QUICK brown fox"]
+    compared = 0
+    for text in texts:
+        ready = library.normalize(text)
+        assert model.normalised(text) == ready
+        # The library's lattice takes characters without a piece, and runs of marks, by other scores.
+        if model.single.issuperset(ready) and 2 * SPACE not in ready:
+            compared += 1
+            assert model.encode(text).tolist() == library.nbest_encode(text, nbest_size=2)[0], repr(text)
+    assert compared >= (1 if rule == "identity" else 2)
+    random.seed(12)
+    texts += ["".join(random.choices(BITS, k=random.randint(0, 20))) for _ in range(200)] + ["   ", None]
+    many = model.encode_many(pa.array(texts))
+    assert [x.tolist() for x in many] == [model.encode(t).tolist() for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in digests(docs, path).collect()}
+    assert all(r["round_trip"] for r in rows.values()) and rows[0]["n_ids"] == len(many[0])
