@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricwin.llm.common import small_batches
-from metricwin.llm.tokens import slices
+from metricwin.llm.tokens import gathered, slices
 
 SPACE = "▁"
 SLICE_BYTES = 16 << 20
@@ -198,7 +198,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
-        for batch in batches:
+        for batch in gathered(batches, SLICE_BYTES):
             for a, b in slices(batch.column("text"), SLICE_BYTES):
                 rows = batch.slice(a, b - a)
                 ids = [x.astype("<u4").tobytes() for x in model.encode_many(rows.column("text"))]
@@ -231,7 +231,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path)
-        for batch in batches:
+        for batch in gathered(batches, SLICE_BYTES):
             sizes, crcs, same = [], [], []
             texts = batch.column("text")
             for a, b in slices(texts, SLICE_BYTES):
