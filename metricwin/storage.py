@@ -17,7 +17,8 @@ _noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; every executor must see it.
 
-    Without the setting it is a folder in Spark's warehouse, which executors share as well.
+    Without the setting, as in tests, it is a folder in Spark's warehouse; on a cluster either of
+    them has to name a place that all executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
