@@ -378,6 +378,13 @@ GROUP BY metric, server_id, ts, event_time, value""",
 SELECT topic, event_id AS "offset", 'malformed' AS reason
 FROM wide CROSS JOIN (VALUES ('topic-cpu'), ('topic-mem'), ('topic-net'), ('topic-disk')) t(topic)
 WHERE event_id % 53 = 0 AND event_id % 4 <> 3""",
+    "ingest_json_types": f"""WITH {WIDE}
+SELECT topic, event_id AS "offset", server_id,
+       CASE WHEN event_id % 3 = 2 THEN 7.5
+            WHEN event_id % 3 = 0 AND topic IN ('topic-net', 'topic-disk') THEN 1.0 END AS value,
+       CASE WHEN event_id % 3 = 1 AND topic IN ('topic-net', 'topic-disk') THEN 'bad_value' END AS reason
+FROM wide CROSS JOIN (VALUES ('topic-cpu'), ('topic-mem'), ('topic-net'), ('topic-disk')) t(topic)
+WHERE event_id % 59 = 0""",
     "joined_rows_cpu_mem": f"""WITH {_joined(CPU_MEM)}
 SELECT server_id, ts, a AS cpu_pct, b AS mem_pct FROM joined""",
     "join_cpu_mem_bucketed": _joined_rows(CPU_MEM),

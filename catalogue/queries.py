@@ -7,7 +7,7 @@ from dataclasses import replace
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue.spoilt import dirty_envelopes
@@ -164,6 +164,23 @@ def ingest_trailing_text(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.rejected(parsed).select("topic", "offset", "reason")
 
 
+def ingest_json_types(spark: SparkSession, folder: str) -> DataFrame:
+    """One message in 59 whose metric is ``true``, the text of that, or given twice."""
+    wide = _wide(spark, folder).where(F.col("offset") % 59 == 0)
+    odd = F.element_at(F.array(*map(F.lit, ("true", '"true"', None))), F.expr("cast(offset % 3 + 1 as int)"))
+
+    def message(topic: str) -> Column:
+        name = F.lit(f'"{TOPIC_METRIC[topic]}": ')
+        twice = F.concat(F.lit("1, "), name, F.lit("7.5"))
+        head = F.concat(F.lit('{"timestamp": "'), "ts", F.lit('", "server_id": "'), "server_id", F.lit('", '))
+        body = F.concat(head, name, F.coalesce(odd, twice), F.lit("}"))
+        return F.struct(F.lit(topic).alias("topic"), body.alias("value"))
+
+    messages = wide.select(F.inline(F.array(*map(message, TOPICS))), "timestamp", "offset")
+    parsed = ingest.parse_envelopes(messages)
+    return parsed.select("topic", "offset", "server_id", "value", "reason")
+
+
 def dedup_two_publishes(spark: SparkSession, folder: str) -> DataFrame:
     once = ingest.dedup(_published_twice(spark, folder))
     return once.select("metric", "server_id", "ts", "value", "offset")
@@ -647,6 +664,7 @@ QUERIES: dict[str, Query] = {
     "every_10th_of_two_publishes": every_10th_of_two_publishes,
     "dedup_two_publishes": dedup_two_publishes,
     "ingest_trailing_text": ingest_trailing_text,
+    "ingest_json_types": ingest_json_types,
     "joined_rows_cpu_mem": joined_rows_cpu_mem,
     "join_cpu_mem_bucketed": join_cpu_mem_bucketed,
     "stream_join_cpu_mem": stream_join_cpu_mem,

@@ -10,7 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricwin.functions.clock import clock_text, nearest_event_time, on_day
-from metricwin.functions.fields import field_or, first_filled, number
+from metricwin.functions.fields import (
+    field_or,
+    first_filled,
+    is_boolean,
+    last_of_repeated,
+    number,
+)
 from metricwin.schemas import MESSAGE, MESSAGE_ORDER
 from metricwin.specs import (
     CPU_MEM_TOPICS,
@@ -46,7 +52,8 @@ def parse_envelopes(
     Defaults: a missing server is ``unknown``, a missing metric 0.0. CPU and MEM take
     ``ts`` or else ``timestamp`` and fall back to the record's own time; NET and DISK take
     ``timestamp`` only, empty if missing. A metric that is null or no number stays null
-    in CPU and MEM and rejects the message in NET and DISK. Text that is no JSON object, or
+    in CPU and MEM and rejects the message in NET and DISK, where ``true`` and ``false`` are 1 and
+    0. Of repeated fields the last counts. Text that is no JSON object, or
     has anything after it, is rejected, or fails the job if ``strict``. Other topics are left out
     before parsing.
 
@@ -69,9 +76,11 @@ def parse_envelopes(
         _by_topic(TOPIC_KIND).alias("kind"),
         *MESSAGE_ORDER,
         F.col("value").alias("message"),
-        F.explode(F.array(read)).alias("read"),
+        F.explode(
+            F.transform(F.array(read), lambda r: F.when(r[AFTER] == 0, last_of_repeated(r["message"])))
+        ).alias("fields"),
     )
-    f = F.when(F.col("read")[AFTER] == 0, F.col("read.message"))
+    f = F.col("fields")
     lenient = F.col("topic").isin(*CPU_MEM_TOPICS)
     ts = F.when(
         lenient,
@@ -79,11 +88,20 @@ def parse_envelopes(
             first_filled(f, "ts", "timestamp"), clock_text(F.unix_seconds(F.col("timestamp")))
         ),
     ).otherwise(field_or(f, F.lit("timestamp"), F.lit("")))
+    text = field_or(f, F.col("metric"), F.lit(str(MISSING_VALUE)))
+    # Only a metric whose text is such a word is parsed with its type.
+    flag = F.lit(False)
+    for topic in topics:
+        if topic not in CPU_MEM_TOPICS and topic in TOPIC_METRIC:
+            own = is_boolean(F.col("message"), TOPIC_METRIC[topic])
+            flag = F.when(F.col("topic") == topic, own).otherwise(flag)
+    one = F.when(text == "true", F.lit("1")).otherwise(F.lit("0"))
+    text = F.when(text.isin("true", "false") & ~lenient, F.when(flag, one)).otherwise(text)
     read = parsed.select(
         "*",
         F.nullif(field_or(f, F.lit("server_id"), F.lit(UNKNOWN_SERVER)), F.lit("")).alias("server_id"),
         ts.alias("ts"),
-        number(field_or(f, F.col("metric"), F.lit(str(MISSING_VALUE)))).alias("number"),
+        number(text).alias("number"),
         f.isNull().alias("malformed"),
     )
     if day is None:

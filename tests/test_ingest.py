@@ -296,6 +296,26 @@ def test_text_after_the_object_is_rejected(spark, after):
         ingest.parse_envelopes(_messages(spark, [("topic-net", body + " rest")]), strict=True).collect()
 
 
+@pytest.mark.parametrize(
+    "topic, given, value, reason",
+    [
+        ("topic-net", '"net_in": true', 1.0, None),
+        ("topic-net", '"net_in": false', 0.0, None),
+        ("topic-net", '"net_in": "true"', None, "bad_value"),
+        ("topic-net", '"net_in": "x", "net_in": 4', 4.0, None),
+        ("topic-net", '"net_in": 4, "net_in": null', None, "bad_value"),
+        ("topic-net", '"net_in": 4, "server_id": "s1", "net_in": 5, "net_in": 6', 6.0, None),
+        ("topic-disk", '"disk_io": true', 1.0, None),
+        ("topic-cpu", '"cpu_pct": true', None, None),
+        ("topic-cpu", '"cpu_pct": 1, "cpu_pct": 2', 2.0, None),
+    ],
+)
+def test_json_types_and_repeated_fields(spark, topic, given, value, reason):
+    body = '{"timestamp": "10:00:00", "server_id": "s1", %s}' % given
+    (row,) = ingest.parse_envelopes(_messages(spark, [(topic, body)])).collect()
+    assert (row.value, row.reason, row.server_id) == (value, reason, "s1")
+
+
 def test_blanks_around_the_object_do_not_matter(spark):
     body = ' \n{"timestamp": "10:00:00", "server_id": "s1", "net_in": 3} \t\r\n'
     for strict in (False, True):
