@@ -1,8 +1,10 @@
 """Embedding near-duplicates by dual traversal of cover trees: exact threshold pairs.
 
-Equal vectors are one class. Classes go to the nearest of a few centres and, in blocks of bounded
-size, into a cover tree: nested levels whose radii halve. Two blocks meet only if their covering
-balls come within the threshold. Their trees are walked together, level by level: a pair of nodes
+Equal vectors are one class. Classes go to the nearest of a few centres, whose cells are cut into
+blocks of bounded size, and every block is built into a cover tree: nested levels whose radii halve.
+Of a tree only those subtrees are sent to the blocks of another cell that hold a vector which may
+have a link there: the cell's covering ball and the plane half way between both centres must come
+within the threshold. Two trees are walked together, level by level: a pair of nodes
 farther apart than both covering radii and the threshold is dropped with all below it, one that is
 nearer by as much is linked whole, and what is left goes on to the children. Single vectors are
 compared by their cosine itself.
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricwin.llm.common import matrix, table
@@ -29,9 +31,13 @@ from metricwin.llm.components import components
 #: Radii of the levels on the unit sphere; below the last every vector is its own node.
 RADII = (2.0, 1.0, 0.5, 0.25, 0.125, 0.0625)
 SLACK = 1e-9
+#: More than a distance taken from a product in double precision can be off.
+BALL_SLACK = 1e-7
 #: More than a product of two unit vectors in single precision can be off.
 ROUNDING = 1e-5
 ROWS = 512
+#: A block's vectors, in bytes, unless its rows are given.
+BLOCK_BYTES = 4 << 20
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -345,14 +351,17 @@ def _spread(u: np.ndarray, k: int) -> np.ndarray:
 
 
 CLASS_SCHEMA = "class long, weight long, v array<double>, cell int, far double"
-BLOCK_SCHEMA = "block long, nth int, class long, weight long, v array<double>, path array<int>"
+BLOCK_SCHEMA = (
+    "block long, nth int, class long, weight long, v array<double>, path array<int>,"
+    " reached array<long>"
+)
 LINK_SCHEMA = "class long, links long, label long"
 
 
 def near_duplicates(
     vectors: DataFrame,
     cosine: float = 0.95,
-    block: int = 4096,
+    block: int | None = None,
     most_cells: int = 1024,
     sample: int = 4096,
 ) -> DataFrame:
@@ -361,7 +370,8 @@ def near_duplicates(
     n_links: other rows with a cosine of ``cosine`` or more, in double precision; component_id: the
     smallest vec_id reachable over links, itself included; kept: vec_id is component_id. Centres
     are taken from the ``sample`` classes whose key is lowest and only guide which blocks meet;
-    the result does not depend on them.
+    the result does not depend on them. A block has about ``block`` rows, by default as many as
+    take 4 MB.
 
     Vectors that are null, empty, zero, hold null or non-finite components, or have no vec_id link
     with nothing: no links, their own component. Vectors of different lengths do not link; each
@@ -420,19 +430,46 @@ def near_duplicates(
     )
 
 
-def _links(
-    spark: SparkSession,
-    classes: DataFrame,
-    dim: int,
-    cosine: float,
-    block: int,
-    most_cells: int,
-    sample: int,
-) -> DataFrame:
-    """For block pairs: class, weight of the classes linked with it there, and its label there."""
+@dataclass
+class Cells:
+    """The centres, and for each cell its covering radius (below 0: empty) and number of blocks."""
+
+    centres: np.ndarray
+    far: np.ndarray
+    parts: list[int]
+
+
+def reached(u: np.ndarray, path: np.ndarray, cells: Cells, reach: float) -> np.ndarray:
+    """Bits of the cells each row of a tree has to be sent to, 64 in a word.
+
+    A vector within ``reach`` of one in another cell is within that of the cell's ball, and of the
+    plane half way between its nearest centre and the cell's. Centres of nodes go along with any
+    of their rows, so that what is sent is a tree again.
+    """
+    k = len(cells.centres)
+    between = distances(cells.centres, cells.centres)
+    bits = np.zeros((len(u), -(-k // 64) * 64), bool)
+    for at in range(0, len(u), 2048):
+        square = np.maximum(2 - 2 * (u[at : at + 2048] @ cells.centres.T), 0)
+        own = square.argmin(1)
+        least = square[np.arange(len(own)), own][:, None]
+        bits[at : at + 2048, :k] = (np.sqrt(square) <= cells.far + reach + BALL_SLACK) & (
+            square - least <= 2 * between[own] * reach + BALL_SLACK
+        )
+    words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+    out = words.copy()
+    for centre in path:
+        order = np.argsort(centre, kind="stable")
+        starts = np.flatnonzero(np.diff(centre[order], prepend=-1))
+        out[centre[order][starts]] |= np.bitwise_or.reduceat(words[order], starts)
+    return out
+
+
+def plant(
+    classes: DataFrame, dim: int, cosine: float, block: int, most_cells: int, sample: int
+) -> tuple[DataFrame, Cells]:
+    """Trees of all blocks as rows, written, and the cells the blocks belong to."""
     n = classes.count()
-    if not n:
-        return spark.createDataFrame([], LINK_SCHEMA)
     picked = classes.orderBy("key").limit(sample).select("v").collect()
     centres = _spread(unit(np.array([r["v"] for r in picked])), max(1, min(n // block, most_cells)))
 
@@ -452,16 +489,16 @@ def _links(
     placed = classes.select("class", "weight", "v").mapInArrow(assign, CLASS_SCHEMA)
     placed = table(placed, "cover-cells")
     # One row for each centre, of which there are most_cells at most.
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
-    parts = {r["cell"]: -(-r["n"] // block) for r in cells}
-    of_cell = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
-    # The first parts of cells come first, so that a block's number also orders it.
-    number = F.col("cell").cast("long") * F.lit(1 << 32) + F.pmod(
-        F.xxhash64("class"), F.element_at(of_cell, F.col("cell"))
-    )
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
+    cells = Cells(centres, np.full(len(centres), -math.inf), [0] * len(centres))
+    for r in sizes:
+        cells.far[r["cell"]] = r["far"]
+        cells.parts[r["cell"]] = max(1, round(r["n"] / block))
+    reach = math.sqrt(max(0.0, 2 - 2 * cosine))
 
-    def plant(rows: pa.Table) -> pa.Table:
-        path = build(unit(matrix(rows.column("v"), dim)))
+    def grow(rows: pa.Table) -> pa.Table:
+        u = unit(matrix(rows.column("v"), dim))
+        path = build(u)
         return pa.table(
             {
                 "block": rows.column("block"),
@@ -470,29 +507,56 @@ def _links(
                 "weight": rows.column("weight"),
                 "v": rows.column("v"),
                 "path": pa.array(list(path.T.astype(np.int32)), pa.list_(pa.int32())),
+                "reached": pa.array(
+                    list(reached(u, path, cells, reach)), pa.list_(pa.int64())
+                ),
             }
         )
 
+    number = _block("cell", F.pmod(F.xxhash64("class"), _parts(cells, F.col("cell"))))
     planted = placed.select(number.alias("block"), "class", "weight", "v")
-    planted = table(planted.groupBy("block").applyInArrow(plant, BLOCK_SCHEMA), "cover-blocks")
-    reach = math.sqrt(max(0.0, 2 - 2 * cosine))
-    radius = {r["cell"]: r["far"] for r in cells}
-    between = distances(centres, centres)
-    near = [
-        (a, b)
-        for a in sorted(parts)
-        for b in sorted(parts)
-        if a <= b and (a == b or between[a, b] <= radius[a] + radius[b] + reach + SLACK)
-    ]
-    blocks = [(c, (c << 32) + k) for c, m in parts.items() for k in range(m)]
-    pairs = spark.createDataFrame(near, "a int, b int")
-    left = spark.createDataFrame(blocks, "a int, left long")
-    right = spark.createDataFrame(blocks, "b int, right long")
-    pairs = pairs.join(left, "a").join(right, "b").where("left <= right").select("left", "right")
-    sides = (
-        pairs.select("left", "right", F.col("left").alias("block"))
-        .union(pairs.where("left != right").select("left", "right", F.col("right").alias("block")))
+    return table(planted.groupBy("block").applyInArrow(grow, BLOCK_SCHEMA), "cover-blocks"), cells
+
+
+def _block(cell: str, part: Column) -> Column:
+    """A block's number: the cell's and the part's."""
+    return F.col(cell).cast("long") * F.lit(1 << 32) + part
+
+
+def _parts(cells: Cells, cell: Column) -> Column:
+    return F.get(F.array(*map(F.lit, cells.parts)), cell)
+
+
+def sent(planted: DataFrame, cells: Cells) -> DataFrame:
+    """Rows of trees, once for every pair of blocks they go to: ``left, right`` and their own."""
+    cell = F.explode(
+        F.filter(
+            F.sequence(F.lit(0), F.lit(len(cells.parts) - 1)),
+            lambda c: F.getbit(F.get("reached", F.shiftright(c, 6)), F.pmod(c, F.lit(64))) == 1,
+        )
     )
+    rows = planted.select("block", "nth", "class", "weight", "v", "path", cell.alias("cell"))
+    part = F.explode(F.sequence(F.lit(0), _parts(cells, F.col("cell")) - 1))
+    rows = rows.withColumn("part", part).withColumn("other", _block("cell", F.col("part")))
+    return rows.select(
+        F.least("block", "other").alias("left"),
+        F.greatest("block", "other").alias("right"),
+        *("block", "nth", "class", "weight", "v", "path"),
+    )
+
+
+def _links(
+    spark: SparkSession,
+    classes: DataFrame,
+    dim: int,
+    cosine: float,
+    block: int | None,
+    most_cells: int,
+    sample: int,
+) -> DataFrame:
+    """For block pairs: class, weight of the classes linked with it there, and its label there."""
+    block = block or max(1, BLOCK_BYTES // (8 * dim))
+    planted, cells = plant(classes, dim, cosine, block, most_cells, sample)
 
     def meet(rows: pa.Table) -> pa.Table:
         own = rows.column("block").to_numpy()
@@ -502,13 +566,17 @@ def _links(
         weight, nth = rows.column("weight").to_numpy(), rows.column("nth").to_numpy()
         ids = rows.column("class").to_numpy()
 
-        def side(which: int) -> np.ndarray:
+        def side(which: int) -> tuple[np.ndarray, np.ndarray]:
+            """Rows of a tree in order, and their paths by the places of those rows."""
             at = np.flatnonzero(own == which)
-            return at[np.argsort(nth[at])]
+            at = at[np.argsort(nth[at])]
+            return at, np.searchsorted(nth[at], path[at]).T
 
-        a, b = side(left), side(right)
+        (a, path_a), (b, path_b) = side(left), side(right)
+        if not len(a) or not len(b):
+            return pa.table({c: pa.array([], pa.int64()) for c in ("class", "links", "label")})
         links = traverse(
-            v[a], v[b], path[a].T, path[b].T, weight[a], weight[b], cosine, left == right
+            v[a], v[b], path_a, path_b, weight[a], weight[b], cosine, left == right
         )
         names = ids[a] if left == right else np.concatenate([ids[a], ids[b]])
         label = names[links.labels()]
@@ -517,5 +585,5 @@ def _links(
             {"class": names[said], "links": links.counts[said], "label": label[said]}
         )
 
-    met = planted.join(sides, "block").groupBy("left", "right").applyInArrow(meet, LINK_SCHEMA)
+    met = sent(planted, cells).groupBy("left", "right").applyInArrow(meet, LINK_SCHEMA)
     return table(met, "cover-links")

@@ -102,6 +102,43 @@ def test_trees_cover_and_nest():
         assert (path[depth][path[depth + 1]] == path[depth]).all()
 
 
+def test_sent_subtrees_are_trees_and_lose_no_near_row():
+    u = cover_tree.unit(np.array([v for _, v in clustered(300)]))
+    centres = cover_tree._spread(u, 70)
+    d = cover_tree.distances(u, centres)
+    cell = d.argmin(1)
+    far = np.array([d[cell == c, c].max() for c in range(70)])
+    path = cover_tree.build(u)
+    cells = cover_tree.Cells(centres, far, [1] * 70)
+    words = cover_tree.reached(u, path, cells, 0.3)
+    bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").astype(bool)[:, :70]
+    assert not bits.all()
+    for c in range(70):
+        near = (cover_tree.distances(u, u[cell == c]) <= 0.3).any(1)
+        assert bits[near, c].all()
+        # Every centre above a row goes with it.
+        assert bits[path[:, bits[:, c]], c].all()
+
+
+def test_rows_sent_grow_with_clustered_vectors_not_with_their_square(spark):
+    """Four times the clusters and vectors: blocks of far cells get nothing."""
+
+    def rows_sent(clusters):
+        rng = np.random.default_rng(clusters)
+        v = np.repeat(rng.normal(size=(clusters, 16)), 40, axis=0)
+        v += 0.01 * rng.normal(size=v.shape)
+        rows = [(i, 1, list(map(float, x))) for i, x in enumerate(v)]
+        classes = spark.createDataFrame(rows, "class long, weight long, v array<double>")
+        classes = classes.withColumn("key", F.sha2(F.col("class").cast("string"), 256))
+        planted, cells = cover_tree.plant(classes, 16, 0.95, 40, 1024, 4096)
+        assert planted.count() == len(rows)
+        return cover_tree.sent(planted, cells).count(), planted.select("block").distinct().count()
+
+    (few, _), (many, blocks) = rows_sent(20), rows_sent(80)
+    assert many < 8 * few
+    assert many < 80 * 40 * blocks / 8
+
+
 def test_whole_nodes_are_linked():
     """A tight group is linked from above, without its single pairs."""
     rng = np.random.default_rng(1)
