@@ -23,6 +23,7 @@ from metricwin.streaming.batches import (
     read_batches,
     start_batches,
     write_batch,
+    write_batch_once,
 )
 
 SEEN = "latest timestamp, on_time long, late long, timeless long"
@@ -40,7 +41,7 @@ def part_batches(folder: str, delay: str) -> Callable[[DataFrame, int], None]:
             watermark = before.select(F.expr(f"latest - interval {delay}").alias("w")).first()
             time = F.col("event_time")
             after = F.lit(True) if watermark is None or watermark.w is None else time > F.lit(watermark.w)
-            write_batch(readings.where(time.isNotNull() & after), f"{folder}/on_time", batch_id)
+            write_batch_once(readings.where(time.isNotNull() & after), f"{folder}/on_time", batch_id)
             write_batch(readings.where(time.isNotNull() & ~after), f"{folder}/late", batch_id)
             seen = readings.agg(
                 F.max("event_time").alias("latest"),
@@ -70,7 +71,12 @@ def start_parting(
 
 
 def stream_on_time(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The readings that came in time, as a stream for the jobs after."""
+    """The readings that came in time, as a stream for the jobs after.
+
+    A batch is seen once and whole, also if it was run again. ``files_per_trigger`` may take its
+    files apart; give it only if the files of a batch are in time order, or a reading can become late
+    by another of its own batch.
+    """
     make_dir(spark, f"{folder}/on_time")
     reader = spark.readStream.schema(T.StructType([*READING.fields, T.StructField("batch", T.LongType())]))
     if files_per_trigger:

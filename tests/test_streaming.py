@@ -45,6 +45,7 @@ from metricwin.streaming.late import (
     arrival_counts,
     dropped_by_watermark,
     late_readings,
+    part_batches,
     start_parting,
     stream_on_time,
 )
@@ -304,6 +305,30 @@ def test_late_readings_are_kept_apart(spark, tmp_path):
     assert got == rows(run(stream_alerts(stream, CPU_MEM, DELAY), tmp_path, "dropped"))
 
 
+def test_a_batch_parted_again_reaches_a_following_stream_once(spark, tmp_path):
+    out = str(tmp_path / "parted")
+    part = part_batches(out, DELAY)
+    batches = [_both(0, 10.0) + _both(300, 20.0), _both(1, 90.0) + _both(310, 30.0)]
+    frames = [_full(spark.createDataFrame(batch, READING)) for batch in batches]
+
+    def follow():
+        got = run(stream_on_time(spark, out), tmp_path, "followed")
+        return sorted((r.value, r.metric) for r in got.collect())
+
+    part(frames[0], 0)
+    first = follow()
+    assert len(first) == 4
+    # The run broke off before its end was noted: the batch comes again.
+    part(frames[0], 0)
+    assert follow() == first
+    part(frames[1], 1)
+    part(frames[1], 1)
+    assert len(follow()) == 6
+    assert [r.value for r in late_readings(spark, out).collect()] == [90.0, 90.0]
+    counts = arrival_counts(spark, out).first()
+    assert (counts.on_time, counts.late, counts.timeless) == (6, 2, 0)
+
+
 def test_log_offsets_survive_a_retry(spark, data, tmp_path):
     """Offsets run on over publishes; one that stopped half way goes on with the same offsets."""
     sent = envelopes(wide_readings(read_events(spark, data)))
