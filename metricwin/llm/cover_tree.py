@@ -35,7 +35,7 @@ SLACK = 1e-9
 BALL_SLACK = 1e-7
 #: More than a product of two unit vectors in single precision can be off.
 ROUNDING = 1e-5
-ROWS = 512
+ROWS = 128
 #: A block's vectors, in bytes, unless its rows are given.
 BLOCK_BYTES = 4 << 20
 
