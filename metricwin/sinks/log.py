@@ -26,7 +26,9 @@ def _stage(envelopes: DataFrame, path: str, day: date | None) -> DataFrame:
     if not exists(spark, f"{path}/_SUCCESS"):
         time = F.current_timestamp()
         if day is not None:
-            time = F.coalesce(on_day(F.get_json_object("value", "$.timestamp"), day), time)
+            # In a step of its own, a message is parsed once and not for each part of the time.
+            envelopes = envelopes.withColumn("own_time", F.get_json_object("value", "$.timestamp"))
+            time = F.coalesce(on_day(F.col("own_time"), day), time)
         staged = envelopes.select(
             "topic",
             "value",

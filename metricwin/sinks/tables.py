@@ -57,7 +57,9 @@ def stamped(envelopes: DataFrame, day: date | None = None, partition: int | None
         partition = uuid.uuid4().int % (1 << 31)
     now = F.current_timestamp()
     if day is not None:
-        now = F.coalesce(on_day(F.get_json_object("value", "$.timestamp"), day), now)
+        # In a step of its own, a message is parsed once and not for each part of the time.
+        envelopes = envelopes.withColumn("own_time", F.get_json_object("value", "$.timestamp"))
+        now = F.coalesce(on_day(F.col("own_time"), day), now)
     return envelopes.select(
         "topic",
         "value",
