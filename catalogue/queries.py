@@ -27,7 +27,7 @@ from metricwin.sinks.tables import (
     write_readings,
 )
 from metricwin.sources.csv_tables import read_metric_csv, read_wide_text, wide_rejects, wide_rows
-from metricwin.sources.events import read_events, spread, stream_events, wide_readings
+from metricwin.sources.events import read_events, stream_events, wide_readings
 from metricwin.sources.topics import file_batch, file_stream
 from metricwin.specs import CPU_MEM, NET_DISK, TOPIC_METRIC, TOPICS, PairSpec, net_disk_spec
 from metricwin.storage import fresh_dir
@@ -62,14 +62,14 @@ REPLAY_DELAY = "40 days"
 DAY, DAY_DELAY = date(2024, 1, 1), "7 hours"
 
 
-def _wide(spark: SparkSession, folder: str) -> DataFrame:
+def _wide(spark: SparkSession, folder: str, dealt: bool = False) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return wide_readings(read_events(spark, folder))
+    return wide_readings(read_events(spark, folder), dealt)
 
 
 def _stream_wide(spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spread(wide_readings(stream_events(spark, folder)))
+    return wide_readings(stream_events(spark, folder), dealt=True)
 
 
 def _parsed(spark: SparkSession, folder: str, topics: Sequence[str] = TOPICS) -> DataFrame:
@@ -132,7 +132,7 @@ def publish_envelopes(spark: SparkSession, folder: str) -> DataFrame:
 def published_files(spark: SparkSession, folder: str) -> DataFrame:
     """Published to a folder of messages and read from there."""
     topic = fresh_dir(spark, "topic")
-    publish_files(stamped(envelopes(spread(_wide(spark, folder))), DAY), topic)
+    publish_files(stamped(envelopes(_wide(spark, folder, dealt=True)), DAY), topic)
     readings = ingest.accepted(ingest.parse_envelopes(file_batch(spark, topic)))
     return readings.select("metric", "server_id", "ts", "value")
 
@@ -391,7 +391,7 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def _topic_in_two_parts(spark: SparkSession, folder: str) -> tuple[str, list[DataFrame]]:
     """An empty topic folder, and the messages in two halves by offset."""
-    messages = dirty_envelopes(spread(_wide(spark, folder))).withColumn("partition", F.lit(0))
+    messages = dirty_envelopes(_wide(spark, folder, dealt=True)).withColumn("partition", F.lit(0))
     even = F.col("offset") % 2 == 0
     return fresh_dir(spark, "topic"), [messages.where(even), messages.where(~even)]
 
@@ -515,7 +515,7 @@ def _clamped_stream(spec: PairSpec) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "alerts")
-        for sent in _sent_in_parts(envelopes(spread(_wide(spark, folder))), [15]):
+        for sent in _sent_in_parts(envelopes(_wide(spark, folder, dealt=True)), [15]):
             publish_files(sent, topic)
             messages = file_stream(spark, topic)
             readings = ingest.accepted(ingest.parse_envelopes(messages, topics=spec.topics))
@@ -528,7 +528,7 @@ def _clamped_stream(spec: PairSpec) -> Query:
 def _consumed(spark: SparkSession, folder: str) -> str:
     """A month's messages consumed in three batches, each after a restart."""
     topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "consumed")
-    for sent in _sent_in_parts(dirty_envelopes(spread(_wide(spark, folder))), [10, 20]):
+    for sent in _sent_in_parts(dirty_envelopes(_wide(spark, folder, dealt=True)), [10, 20]):
         publish_files(sent, topic)
         start_consumer(file_stream(spark, topic), base).awaitTermination()
     return base
@@ -578,12 +578,12 @@ def published_log(spark: SparkSession, folder: str) -> DataFrame:
 def _parted(spark: SparkSession, folder: str) -> str:
     """The readings of ``stream_late``, parted into those on time and late."""
     topic, base = fresh_dir(spark, "topic"), fresh_dir(spark, "parted")
-    wide = _wide(spark, folder)
-    last = wide.agg(F.max("timestamp")).scalar()
+    wide = _wide(spark, folder, dealt=True)
+    last = _wide(spark, folder).agg(F.max("timestamp")).scalar()
     late = wide.where(F.col("timestamp") < last - F.expr("interval 1 hour"))
     late = late.withColumns({m: F.lit(1000.0) for m in CPU_MEM.metrics})
     for partition, sent in enumerate((wide, late)):
-        publish_files(envelopes(spread(sent)).withColumn("partition", F.lit(partition)), topic)
+        publish_files(envelopes(sent).withColumn("partition", F.lit(partition)), topic)
         messages = file_stream(spark, topic)
         readings = ingest.accepted(ingest.parse_envelopes(messages, topics=CPU_MEM.topics))
         start_parting(readings, base, STREAM_DELAY).awaitTermination()

@@ -37,19 +37,30 @@ def stream_events(
     return reader.parquet(f"{folder}/events*.parquet")
 
 
-def wide_readings(events: DataFrame) -> DataFrame:
-    """One wide reading per event, with its record time and offset beside it."""
+def wide_readings(events: DataFrame, dealt: bool = False) -> DataFrame:
+    """One wide reading per event, with its record time and offset beside it.
+
+    ``dealt``: over all tasks, see ``spread``, and before anything is made of the events.
+    """
     k = F.get_json_object("props", "$.k").cast("double")
+    events = events.select(
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.col("event_id").alias("offset"),
+        "user_id",
+        "value",
+        "props",
+    )
+    events = spread(events) if dealt else events
     return events.select(
-        F.date_format("ts", "HH:mm:ss").alias("ts"),
+        F.date_format("timestamp", "HH:mm:ss").alias("ts"),
         F.concat(F.lit("srv_"), (F.col("user_id") % 8).cast("string")).alias("server_id"),
         F.least("value", F.lit(100.0)).alias("cpu_pct"),
         k.alias("mem_pct"),
         (F.col("value") * 40).alias("net_in"),
         (F.col("value") * 20).alias("net_out"),
         (k * 30).alias("disk_io"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.col("event_id").alias("offset"),
+        "timestamp",
+        "offset",
     )
 
 

@@ -59,5 +59,20 @@ def test_messages_are_dealt_over_all_tasks(spark, data):
     assert sent.count() == sum(half.count() for half in halves)
 
 
+def test_events_are_dealt_before_anything_is_made_of_them(spark, data):
+    # One task may read a whole table; it should do no more than that.
+    halves = queries._topic_in_two_parts(spark, data)[1]
+    for df in (queries._wide(spark, data, dealt=True), *halves):
+        made, read = plan_of(df).split("Exchange hashpartitioning(offset", 1)
+        assert "get_json_object" in made and "date_format" in made
+        assert "get_json_object" not in read and "date_format" not in read
+
+
+def test_dealt_events_are_the_same_wide_readings(spark, data):
+    plain, dealt = queries._wide(spark, data), queries._wide(spark, data, dealt=True)
+    assert dealt.columns == plain.columns
+    assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
+
+
 def test_two_publishes_are_not_held_to_a_fixed_number_of_tasks(spark, data):
     assert not re.search(r"hashpartitioning\(.*, 7\)", plan_of(queries._published_twice(spark, data)))
