@@ -45,7 +45,10 @@ def consume_batches(
 
     def consume(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with scratch(spark), kept(ingest.parse_envelopes(batch, strict, day=day), "consumed") as parsed:
+        parsed = ingest.parse_envelopes(batch, strict, day=day)
+        # Nothing that is made of a batch holds the messages themselves.
+        parsed = parsed.select(*ingest.READING_COLUMNS, "reason")
+        with scratch(spark), kept(parsed, "consumed") as parsed:
             readings = ingest.accepted(parsed)
             for metric in METRIC_CSV_COLUMNS:
                 table = _csv_table(readings, metric)

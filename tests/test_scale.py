@@ -10,6 +10,8 @@ from metricwin.operators import ingest
 from metricwin.operators.publish import envelopes
 from metricwin.schemas import ENVELOPE
 from metricwin.sinks.tables import stamped
+from metricwin.storage import kept
+from metricwin.streaming import consumer
 
 ROWS = [
     ("topic-cpu", '{"timestamp": "00:00:05", "server_id": "a", "cpu_pct": 1.5, "cpu_pct": 2.5}'),
@@ -74,5 +76,21 @@ def test_dealt_events_are_the_same_wide_readings(spark, data):
     assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
 
 
+def test_consumer_keeps_no_messages_between_its_steps(spark, messages, tmp_path, monkeypatch):
+    seen = []
+
+    def noting(df, label):
+        seen.append(df.columns)
+        return kept(df, label)
+
+    monkeypatch.setattr(consumer, "kept", noting)
+    consumer.consume_batches(str(tmp_path), n=1)(messages, 0)
+    assert len(seen) == 1 and "message" not in seen[0]
+    totals = {r["kind"]: tuple(r)[1:] for r in consumer.consumed_totals(spark, str(tmp_path)).collect()}
+    assert totals == {"cpu": (1, 0, 0), "network": (1, 1, 0), "disk": (0, 1, 0), "total": (2, 2, 0)}
+    report = consumer.consumed_every_nth(spark, str(tmp_path)).select("kind", "ordinal", "value")
+    assert sorted(map(tuple, report.collect())) == [("cpu", 1, 2.5), ("network", 1, 1.0)]
+
+
 def test_two_publishes_are_not_held_to_a_fixed_number_of_tasks(spark, data):
     assert not re.search(r"hashpartitioning\(.*, 7\)", plan_of(queries._published_twice(spark, data)))
