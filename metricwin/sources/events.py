@@ -68,6 +68,9 @@ def spread(wide: DataFrame) -> DataFrame:
     """The same rows dealt over all tasks, for costly steps after a table of few files or row groups.
 
     A scan has no more tasks with rows than the table has row groups, and files written from it keep
-    that number for those who read them.
+    that number for those who read them. The number of tasks is given: by itself adaptive execution
+    would choose it by the size of the rows dealt, not by the work after it, and leave a few tasks
+    more than there are cores, the last of them alone.
     """
-    return wide.repartition("offset", "timestamp")
+    tasks = int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wide.repartition(tasks, "offset", "timestamp")

@@ -4,6 +4,7 @@ import re
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalogue import queries
 from metricwin.operators import ingest
@@ -76,6 +77,13 @@ def test_dealt_events_are_the_same_wide_readings(spark, data):
     assert plain.exceptAll(dealt).isEmpty() and dealt.exceptAll(plain).isEmpty()
 
 
+def test_dealt_events_keep_their_number_of_tasks(spark, data):
+    # Few bytes are dealt, much is made of them: their size must not decide on the tasks.
+    dealt = queries._wide(spark, data, dealt=True)
+    tasks = dealt.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_consumer_keeps_no_messages_between_its_steps(spark, messages, tmp_path, monkeypatch):
     seen = []
 
