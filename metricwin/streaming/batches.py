@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from metricwin.storage import exists, make_dir, replace_dir
+from metricwin.storage import exists, make_dir, make_file, replace_dir
 
 
 def start_batches(
@@ -33,17 +33,25 @@ def write_batch(df: DataFrame, place: str, batch: int, form: str = "parquet", **
     df.write.mode("overwrite").format(form).options(**options).save(f"{place}/batch={batch}")
 
 
-def write_batch_once(df: DataFrame, place: str, batch: int) -> None:
-    """As ``write_batch``, for places that a stream follows: it must neither see a batch in part nor
+def move_batch(spark: SparkSession, source: str, place: str, batch: int) -> None:
+    """Put a folder of written rows in the place of what an earlier try of the batch may have left.
+
+    There need be no such folder: a batch without rows is an empty one. It lies on the same file system.
+    """
+    make_dir(spark, source)
+    make_file(spark, f"{source}/_SUCCESS")
+    replace_dir(spark, source, f"{place}/batch={batch}")
+
+
+def move_batch_once(spark: SparkSession, source: str, place: str, batch: int) -> None:
+    """As ``move_batch``, for places that a stream follows: it must neither see a batch in part nor
     find its rows again in other files. A batch appears whole, and one that is there stays.
 
     A batch that is run again has the same rows, so nothing is lost by leaving the first ones. Where
     files are renamed one by one, as in object stores, a batch broken off meanwhile is put anew.
     """
-    spark, target = df.sparkSession, f"{place}/batch={batch}"
-    if not exists(spark, f"{target}/_SUCCESS"):
-        write_batch(df, f"{place}-staged", batch)
-        replace_dir(spark, f"{place}-staged/batch={batch}", target)
+    if not exists(spark, f"{place}/batch={batch}/_SUCCESS"):
+        move_batch(spark, source, place, batch)
 
 
 def _typed(schema: str | T.StructType) -> T.StructType:

@@ -16,44 +16,64 @@ from pyspark.sql.streaming import StreamingQuery
 
 from metricwin.operators.ingest import READING_COLUMNS
 from metricwin.schemas import LANDED
-from metricwin.storage import kept, make_dir, scratch
+from metricwin.storage import make_dir, remove, scratch, written
 from metricwin.streaming.batches import (
     last_batch,
+    move_batch,
+    move_batch_once,
     previous,
     read_batches,
     start_batches,
     write_batch,
-    write_batch_once,
 )
 
 SEEN = "latest timestamp, on_time long, late long, timeless long"
 READING = T.StructType([LANDED[c] for c in READING_COLUMNS])
+PARTED = T.StructType([*READING.fields, T.StructField("place", T.IntegerType())])
+
+
+#: What a reading is for its batch, as the number of the folder that it is written to.
+ON_TIME, LATE, TIMELESS = range(3)
 
 
 def part_batches(folder: str, delay: str) -> Callable[[DataFrame, int], None]:
-    """What ``start_parting`` does with a batch of readings; a repeated batch adds no row."""
+    """What ``start_parting`` does with a batch of readings; a repeated batch adds no row.
+
+    Readings are written once, each to the part that it belongs to, and the parts are put in their
+    places; they are counted from what was written.
+    """
 
     def part(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        with scratch(spark), kept(batch.select(*READING_COLUMNS), "parted") as readings:
+        with scratch(spark):
             before = previous(spark, f"{folder}/seen", SEEN, batch_id)
             # One row, or none before the first batch.
             watermark = before.select(F.expr(f"latest - interval {delay}").alias("w")).first()
             time = F.col("event_time")
             after = F.lit(True) if watermark is None or watermark.w is None else time > F.lit(watermark.w)
-            write_batch_once(readings.where(time.isNotNull() & after), f"{folder}/on_time", batch_id)
-            write_batch(readings.where(time.isNotNull() & ~after), f"{folder}/late", batch_id)
+            place = F.when(time.isNull(), TIMELESS).when(after, ON_TIME).otherwise(LATE)
+            # Beside its places, to be moved there; an earlier try may have left something.
+            parted = f"{folder}/parted"
+            remove(spark, parted)
+            rows = batch.select(*READING_COLUMNS).withColumn("place", place)
+            rows.write.partitionBy("place").parquet(parted)
+            readings = spark.read.schema(PARTED).parquet(parted)
             seen = readings.agg(
                 F.max("event_time").alias("latest"),
-                F.count_if(time.isNotNull() & after).alias("on_time"),
-                F.count_if(time.isNotNull() & ~after).alias("late"),
-                F.count_if(time.isNull()).alias("timeless"),
+                *[
+                    F.count_if(F.col("place") == n).alias(name)
+                    for name, n in (("on_time", ON_TIME), ("late", LATE), ("timeless", TIMELESS))
+                ],
             )
             totals = before.unionByName(seen).agg(
                 F.max("latest").alias("latest"),
                 *[F.sum(c).alias(c) for c in ("on_time", "late", "timeless")],
             )
-            write_batch(totals, f"{folder}/seen", batch_id)
+            staged = written(totals, "seen")
+            move_batch_once(spark, f"{parted}/place={ON_TIME}", f"{folder}/on_time", batch_id)
+            move_batch(spark, f"{parted}/place={LATE}", f"{folder}/late", batch_id)
+            write_batch(staged, f"{folder}/seen", batch_id)
+            remove(spark, parted)
 
     return part
 

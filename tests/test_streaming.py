@@ -329,6 +329,33 @@ def test_a_batch_parted_again_reaches_a_following_stream_once(spark, tmp_path):
     assert (counts.on_time, counts.late, counts.timeless) == (6, 2, 0)
 
 
+def test_a_batch_is_parted_in_one_write(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "parted")
+    part = part_batches(out, DELAY)
+    mixed = _both(310, 30.0) + _both(1, 90.0) + [("s", None, "cpu_pct", 1.0)]
+    first, second = (_full(spark.createDataFrame(b, READING)) for b in (_both(300, 20.0), mixed))
+    writer, written = type(first.write), []
+    for method in ("parquet", "save"):
+        plain = getattr(writer, method)
+
+        def noting(self, *args, plain=plain, **named):
+            written.append("value" in self._df.columns)
+            return plain(self, *args, **named)
+
+        monkeypatch.setattr(writer, method, noting)
+    part(first, 0)
+    assert written.count(True) == 1
+    part(second, 1)
+    part(second, 1)
+    assert written.count(True) == 3
+    on_time = spark.read.parquet(f"{out}/on_time").groupBy("batch").count().collect()
+    assert sorted(map(tuple, on_time)) == [(0, 2), (1, 2)]
+    assert [r.value for r in late_readings(spark, out).collect()] == [90.0, 90.0]
+    (counts,) = arrival_counts(spark, out).collect()
+    assert (counts.on_time, counts.late, counts.timeless) == (4, 2, 1)
+    assert not (tmp_path / "parted" / "parted").exists()
+
+
 def test_log_offsets_survive_a_retry(spark, data, tmp_path):
     """Offsets run on over publishes; one that stopped half way goes on with the same offsets."""
     sent = envelopes(wide_readings(read_events(spark, data)))
