@@ -14,6 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ ENTRY_SCHEMA = "vec_id long, v array<double>, cell int, salt int"
 PROBE_SCHEMA = "vec_id long, v array<double>, cell int, salt int"
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
 SALTS = 1 << 20
+#: Probes handed back at a time; each carries its query's vector.
+PROBES = 4096
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -80,6 +83,18 @@ def walk(
     return cells
 
 
+def salts(task: int, places: np.ndarray) -> np.ndarray:
+    """For each place of a task's rows a number below ``SALTS`` that spreads over any few parts.
+
+    All bits are mixed (SplitMix64): rows that come back every so many places, in this task or at
+    the same places in others, would else meet in some parts and leave others empty.
+    """
+    z = (places.astype(np.uint64) + np.uint64(task << 40)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) % np.uint64(SALTS)).astype(np.int32)
+
+
 def nearest_of_block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, entries: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +105,7 @@ def nearest_of_block(
     for at in range(0, len(queries), 256):
         part = queries[at : at + 256]
         rough = (part**2).sum(1)[:, None] - 2 * (part @ entries.T) + norms
-        slack = 1e-9 * (1 + np.abs(rough).max())
+        slack = 1e-9 * (1 + np.abs(rough).max(initial=0))
         for r, (q, qid) in enumerate(zip(part, query_ids[at : at + 256], strict=True)):
             allowed = np.flatnonzero(ids != qid)
             if len(allowed) > k and not repeated:
@@ -114,6 +129,19 @@ def nearest_of_block(
     )
 
 
+def lowest_hashed(sound: DataFrame, n: int) -> list[list[float]]:
+    """The vectors of the ``n`` rows whose vec_id hashes lowest, in that order.
+
+    Tasks first agree on the highest hash among them by hashes alone. What comes to the driver is
+    read from a table of ``n`` rows: the end of a plan would send it as many from every task.
+    """
+    hashed = sound.withColumn("place", F.xxhash64("vec_id"))
+    highest = hashed.select("place").orderBy("place").limit(n).agg(F.max("place")).scalar()
+    lowest = hashed.where(F.col("place") <= F.lit(highest)).orderBy("place", "vec_id").limit(n)
+    rows = table(lowest, "multi-sample").collect()
+    return [r["v"] for r in sorted(rows, key=lambda r: (r["place"], r["vec_id"]))]
+
+
 def search(
     vectors: DataFrame,
     is_query,
@@ -166,25 +194,24 @@ def _search_length(
     """``search`` among sound vectors of one length."""
     spark = names.sparkSession
     sound = names.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    picked = sound.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     half = max(1, dim // 2)
-    fitted = np.array([r["v"] for r in picked], np.float64)
+    fitted = np.array(lowest_hashed(sound, sample), np.float64)
     first = centroids(fitted[:, :half], centres)
     # One-dimensional vectors have no second half; all are then at its only centre.
     second = centroids(fitted[:, half:], centres) if dim > half else np.zeros((1, 0))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = 0
+        seen, task = 0, TaskContext.get().partitionId()
         for batch in batches:
             if not batch.num_rows:
                 continue
             v = matrix(batch.column("v"), dim)
             a = squared(v[:, :half], first).argmin(1)
             b = squared(v[:, half:], second).argmin(1)
-            salt = ((seen + np.arange(len(v))) * 2654435761) % SALTS
+            salt = salts(task, seen + np.arange(len(v)))
             seen += len(v)
             columns = [*batch.columns, pa.array((a * len(second) + b).astype(np.int32))]
-            columns.append(pa.array(salt.astype(np.int32)))
+            columns.append(pa.array(salt))
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "cell", "salt"])
 
     entries = table(sound.mapInArrow(assign, ENTRY_SCHEMA), "multi-index")
@@ -212,10 +239,11 @@ def _search_length(
             ]
             row = np.repeat(np.arange(len(v)), [len(c) for c in cells])
             flat = np.array([c for own in cells for c in own], np.int32)
-            taken = batch.take(pa.array(row))
-            columns = [taken.column("vec_id"), taken.column("v"), pa.array(flat)]
-            columns.append(taken.column("salt"))
-            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "cell", "salt"])
+            for at in range(0, len(row), PROBES):
+                taken = batch.take(pa.array(row[at : at + PROBES]))
+                columns = [taken.column("vec_id"), taken.column("v"), pa.array(flat[at : at + PROBES])]
+                columns.append(taken.column("salt"))
+                yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "v", "cell", "salt"])
 
     queries = entries.where(is_query).select("vec_id", "v", "salt")
     probes = table(queries.mapInArrow(probe, PROBE_SCHEMA), "multi-probes")
@@ -230,7 +258,8 @@ def _search_length(
     )
 
     def blocks(rows: DataFrame, own: str, other: str, queries: bool) -> DataFrame:
-        sized = rows.join(parts, "cell")
+        # Spark does not know that the parts are few, and takes probes by their files for fewer.
+        sized = rows.join(F.broadcast(parts), "cell")
         return sized.select(
             "cell",
             F.pmod("salt", F.col(own)).alias(own),
