@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import table
+from metricwin.llm.common import few_or_merged, table
 
 
-def _large(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node moves to the smallest node around it."""
+def _large(edges: DataFrame, n: int) -> DataFrame:
+    """Every larger neighbour of a node moves to the smallest node around it. ``n`` edges at most."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    moved = both.where("v > u").join(least, "u")
+    moved = both.where("v > u").join(few_or_merged(least, 2 * n), "u")
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours all move to the smallest of them. Needs u > v."""
+def _small(edges: DataFrame, n: int) -> DataFrame:
+    """A node and its smaller neighbours all move to the smallest of them. Needs u > v, ``n`` at most."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = edges.join(few_or_merged(least, n), "u").where("v > m")
+    moved = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -44,8 +45,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     edges = table(edges.distinct(), f"{label}-edges")
     before = _state(edges)
     while before[0]:
-        edges = table(_large(edges), f"{label}-large")
-        edges = table(_small(edges), f"{label}-small")
+        edges = table(_large(edges, before[0]), f"{label}-large")
+        edges = table(_small(edges, before[0]), f"{label}-small")
         now = _state(edges)
         if now == before:
             break

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import small_batches, table
+from metricwin.llm.common import merged, small_batches, table
 from metricwin.llm.components import components
 
 BITS = 64
@@ -110,7 +110,7 @@ def links(fps: DataFrame, distance: int = 2, crowd: int = 128) -> DataFrame:
     ]
     index = nodes.select("fp", F.inline(F.array(*exact)))
     counts = index.groupBy("seg", "value").agg(F.count("*").alias("members"))
-    index = table(index.join(counts, ["seg", "value"]), "simhash-index")
+    index = table(index.join(merged(counts), ["seg", "value"]), "simhash-index")
     calm = index.where(F.col("members") <= crowd).select("seg", "value", "fp")
     full = index.where(F.col("members") > crowd)
 
@@ -127,10 +127,11 @@ def links(fps: DataFrame, distance: int = 2, crowd: int = 128) -> DataFrame:
     probes = nodes.select(F.col("fp").alias("other"), F.inline(every))
     # A crowded key answers with one row that names no fingerprint.
     keys = full.select("seg", "value", F.lit(None).cast("long").alias("fp")).distinct()
-    reached = probes.join(calm.union(keys), ["seg", "value"]).select("other", "fp")
+    reached = probes.join(merged(calm.union(keys)), ["seg", "value"]).select("other", "fp")
     close = F.col("fp").isNull() | (_differing(F.col("fp"), F.col("other")) <= distance)
     reached = table(reached.where(close), "simhash-reached")
-    same = calm.join(calm.withColumnRenamed("fp", "other"), ["seg", "value"]).where("fp < other")
+    others = calm.withColumnRenamed("fp", "other")
+    same = calm.join(merged(others), ["seg", "value"]).where("fp < other")
     near = (
         same.select("other", "fp")
         .where(_differing(F.col("fp"), F.col("other")) <= distance)
@@ -174,15 +175,15 @@ def near_duplicates(
     fps = table(fingerprints(docs, shingle), "simhash")
     firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     linked = components(links(fps, distance, crowd), "simhash").withColumnRenamed("node", "fp")
-    linked = table(linked.join(firsts, "fp"), "simhash-linked")
+    linked = table(linked.join(merged(firsts), "fp"), "simhash-linked")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id")
-    of_all = firsts.join(named.withColumn("is_linked", F.lit(True)), "fp", "left").select(
+    named = linked.join(merged(least), "root").select("fp", "component_id")
+    of_all = firsts.join(merged(named.withColumn("is_linked", F.lit(True))), "fp", "left").select(
         "fp",
         F.when(F.col("is_linked"), F.col("component_id")).otherwise(F.col("first")).alias("component_id"),
     )
     of_all = table(of_all, "simhash-components")
-    return fps.join(of_all, "fp").select(
+    return fps.join(merged(of_all), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 

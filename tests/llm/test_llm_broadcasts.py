@@ -37,6 +37,15 @@ def docs(spark):
     return spark.range(40).select(F.col("id").alias("doc_id"), text.alias("text"))
 
 
+def test_simhash_joins_are_merged(docs, plans):
+    found = simhash.near_duplicates(docs)
+    written = of(plans, "simhash-index", "simhash-reached", "simhash-linked", "simhash-components")
+    for plan in [*written, plan_of(found)]:
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    by_text = found.join(docs, "doc_id").groupBy("text").agg(F.count_distinct("component_id").alias("n"))
+    assert [r["n"] for r in by_text.collect()] == [1] * 9
+
+
 @pytest.fixture
 def vectors(spark):
     v = F.array(*[F.hash("id", F.lit(i)).cast("double") / (1 << 28) for i in range(8)])
