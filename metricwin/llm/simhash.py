@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import merged, small_batches, table
+from metricwin.llm.common import few_or_merged, merged, small_batches, table
 from metricwin.llm.components import components
 
 BITS = 64
@@ -199,7 +199,7 @@ def keep_one(
     is no copy of anything and stays.
 
     Only the rows to drop are joined with ``docs``, not the rows to keep: they are few, so that
-    texts are shuffled only if they are too many to broadcast.
+    texts are shuffled only if they are too many to broadcast, by their number and not their files.
     """
     key = "row_key"
     while key in map(str.lower, docs.columns):
@@ -210,7 +210,8 @@ def keep_one(
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key)
     firsts = fps.groupBy("fp").agg(F.min(order).alias("first"))
     linked = components(links(fps, distance, crowd), "simhash").withColumnRenamed("node", "fp")
-    rooted = firsts.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = firsts.join(merged(linked), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(f"first.{key}")
-    dropped = table(fps.select(key).join(kept, key, "left_anti"), "simhash-dropped")
+    dropped = table(fps.select(key).join(merged(kept), key, "left_anti"), "simhash-dropped")
+    dropped = few_or_merged(dropped, dropped.count())
     return rows.join(dropped, key, "left_anti").select(docs.columns)

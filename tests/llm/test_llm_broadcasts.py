@@ -46,6 +46,23 @@ def test_simhash_joins_are_merged(docs, plans):
     assert [r["n"] for r in by_text.collect()] == [1] * 9
 
 
+def test_pipeline_keeps_one_without_a_broadcast_of_fingerprints(docs, plans):
+    kept = simhash.keep_one(docs)
+    for plan in of(plans, "simhash-index", "simhash-reached", "simhash-dropped"):
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(9))
+
+
+def test_many_rows_are_merged_and_few_left_to_spark(docs, spark, plans, monkeypatch):
+    edges = spark.range(1, 60).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
+    roots = [r["root"] for r in components.components(edges, "few").collect()]
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 4)
+    assert [r["root"] for r in components.components(edges, "many").collect()] == roots == [0] * 60
+    assert all("Broadcast" not in p for p in of(plans, "many-large", "many-small")[:2])
+    kept = simhash.keep_one(docs)
+    assert "SortMergeJoin" in plan_of(kept) and kept.count() == 9
+
+
 @pytest.fixture
 def vectors(spark):
     v = F.array(*[F.hash("id", F.lit(i)).cast("double") / (1 << 28) for i in range(8)])
