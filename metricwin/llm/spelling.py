@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricwin.llm.common import small_batches, table
+from metricwin.llm.common import merged, small_batches, table
 
 #: What a run of letters is.
 RUN = "[A-Za-zÀ-ÿ]+"
@@ -197,14 +197,12 @@ def near_pairs(words: DataFrame, symbols: int = 6) -> DataFrame:
     """
     dealt = symbol_map(words, symbols)
     reduced = table(reduced_words(words, dealt), "reduced-words")
-    met = _neighbours(reduced, symbols).join(
-        reduced.select(F.col("r").alias("near"), F.col("word").alias("b"), F.col("n").alias("b_n")),
-        "near",
-    )
+    seconds = reduced.select(F.col("r").alias("near"), F.col("word").alias("b"), F.col("n").alias("b_n"))
+    met = _neighbours(reduced, symbols).join(merged(seconds), "near")
     firsts = reduced.select("r", F.col("word").alias("a"), F.col("n").alias("a_n"))
     near = F.levenshtein("a", "b", 1) == 1
     once = (F.col("m.r") != F.col("m.near")) | (F.col("f.a") < F.col("m.b"))
-    both = met.alias("m").join(firsts.alias("f"), (F.col("m.r") == F.col("f.r")) & once & near)
+    both = met.alias("m").join(merged(firsts).alias("f"), (F.col("m.r") == F.col("f.r")) & once & near)
     return both.select("a", "a_n", "b", "b_n")
 
 
@@ -217,7 +215,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     links = table(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         onward = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = links.join(onward, "root", "left").select(
+        moved = links.join(merged(onward), "root", "left").select(
             "word",
             F.coalesce("further", "root").alias("root"),
             F.col("further").isNotNull().alias("moved"),
@@ -260,7 +258,7 @@ def group_variants(words: DataFrame, symbols: int = 6, ratio: int = 2) -> DataFr
     best = F.min(F.struct((-F.col("other_n")).alias("n"), F.col("other").alias("word")))
     about = mirrored.groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
     grown = -F.col("best.n") >= ratio * F.col("n")
-    found = words.join(about, "word", "left").select(
+    found = words.join(merged(about), "word", "left").select(
         "word",
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -269,7 +267,7 @@ def group_variants(words: DataFrame, symbols: int = 6, ratio: int = 2) -> DataFr
     )
     found = table(found, "forms")
     roots = _roots(found.where("form is not null"))
-    return found.join(roots, "word", "left").select(
+    return found.join(merged(roots), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
 

@@ -63,6 +63,15 @@ def test_many_rows_are_merged_and_few_left_to_spark(docs, spark, plans, monkeypa
     assert "SortMergeJoin" in plan_of(kept) and kept.count() == 9
 
 
+def test_spelling_joins_are_merged(spark, plans):
+    words = spark.createDataFrame([("house", 9), ("hous", 3), ("houses", 4), ("mouse", 5)], "word string, n long")
+    found = spelling.group_variants(words)
+    for plan in [*of(plans, "forms", "roots")[:1], plan_of(spelling.near_pairs(words)), plan_of(found)]:
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    rows = {r["word"]: (r["form"], r["n_near"]) for r in found.collect()}
+    assert rows == {"house": (None, 3), "hous": ("house", 1), "houses": ("house", 1), "mouse": (None, 1)}
+
+
 @pytest.fixture
 def vectors(spark):
     v = F.array(*[F.hash("id", F.lit(i)).cast("double") / (1 << 28) for i in range(8)])
