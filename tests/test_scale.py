@@ -13,6 +13,7 @@ from metricwin.schemas import ENVELOPE
 from metricwin.sinks.tables import stamped
 from metricwin.storage import kept
 from metricwin.streaming import consumer
+from metricwin.streaming.alerts import with_event_watermark
 
 ROWS = [
     ("topic-cpu", '{"timestamp": "00:00:05", "server_id": "a", "cpu_pct": 1.5, "cpu_pct": 2.5}'),
@@ -102,3 +103,27 @@ def test_consumer_keeps_no_messages_between_its_steps(spark, messages, tmp_path,
 
 def test_two_publishes_are_not_held_to_a_fixed_number_of_tasks(spark, data):
     assert not re.search(r"hashpartitioning\(.*, 7\)", plan_of(queries._published_twice(spark, data)))
+
+
+def test_stream_dedup_deals_its_messages(spark, data, monkeypatch):
+    plans = []
+
+    def noting(envelopes, topic):
+        plans.append(plan_of(envelopes))
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "publish_files", noting)
+    with pytest.raises(InterruptedError):
+        queries.stream_dedup(spark, data)
+    assert "Exchange hashpartitioning(offset" in plans[0]
+
+
+def test_watermark_does_not_read_messages_again(messages):
+    sent = messages.withColumn("timestamp", F.to_timestamp(F.lit("2024-01-01 00:00:06")))
+    parsed = with_event_watermark(ingest.accepted(ingest.parse_envelopes(sent)), "1 minute")
+    plan = plan_of(parsed)
+    # The filter on the time stands over the step that makes it, of a time text that is made once.
+    assert plan.count("RLIKE(trim(ts#") == 1 and plan.count("RLIKE(trim(CASE") == 0
+    found = [tuple(r) for r in parsed.orderBy("offset").select("metric", "value").collect()]
+    assert found == [("cpu_pct", 2.5), ("net_in", 1.0)]
+    assert with_event_watermark(ingest.accepted(ingest.parse_envelopes(messages)), "1 minute").isEmpty()
